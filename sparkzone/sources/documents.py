@@ -35,15 +35,28 @@ def well_formed(c: Column) -> Column:
     return F.try_parse_json(c).isNotNull()
 
 
+# A finished JSON file, or a part of a folder some job wrote under such a name.
+DOCUMENT_FILE = r"\.(json|ndjson)(/part-[^/]*)?$"
+LINE_FILE = r"\.ndjson(/part-[^/]*)?$"
+
+
+def _text_files(spark: SparkSession, path: str, whole: bool) -> DataFrame:
+    files = spark.read.option("wholetext", whole).option("recursiveFileLookup", True).text(path)
+    # Conditions on file metadata prune the listing; rejected files are never opened.
+    return (
+        files.withColumn("source_file_path", F.col("_metadata.file_path"))
+        .withColumn("bytes", F.col("_metadata.file_size"))
+        .filter(F.col("source_file_path").rlike(DOCUMENT_FILE) & ~F.contains("source_file_path", F.lit("/_tmp/")))
+    )
+
+
+def _oversized() -> Column:
+    return F.col("source_file_path").rlike(LINE_FILE) & (F.col("bytes") > WHOLE_FILE_BYTES)
+
+
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Whole text of each finished JSON file below a folder, except oversized NDJSON."""
-    wanted = (
-        ~F.contains(F.col("source_file_path"), F.lit("/_tmp/"))
-        & F.col("source_file_path").rlike(r"\.(json|ndjson)$")
-        & ~(F.endswith(F.col("source_file_path"), F.lit(".ndjson")) & (F.col("_metadata.file_size") > WHOLE_FILE_BYTES))
-    )
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.{json,ndjson}").text(path)
-    return files.withColumn("source_file_path", F.col("_metadata.file_path")).filter(wanted).select(
+    return _text_files(spark, path, True).filter(~_oversized()).select(
         "source_file_path", F.regexp_replace("value", r"^\s+|\s+$", "").alias("payload")
     )
 
@@ -68,12 +81,8 @@ def parse_payloads(payloads: DataFrame) -> Parsed:
 
 def read_large_ndjson(spark: SparkSession, path: str) -> Parsed:
     """Oversized NDJSON by line; one bad line rejects its whole file, as for small ones."""
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.ndjson").text(path)
-    lines = (
-        files.withColumn("source_file_path", F.col("_metadata.file_path"))
-        .filter((F.col("_metadata.file_size") > WHOLE_FILE_BYTES) & ~F.contains(F.col("source_file_path"), F.lit("/_tmp/")))
-        .filter(F.trim("value") != "")
-        .select("source_file_path", F.col("value").alias("record"))
+    lines = _text_files(spark, path, False).filter(_oversized() & (F.trim("value") != "")).select(
+        "source_file_path", F.col("value").alias("record")
     )
     bad = lines.filter(~well_formed(F.col("record"))).select("source_file_path").distinct()
     return Parsed(

@@ -97,7 +97,7 @@ def land_kafka(stream: DataFrame, root: str, topic: str, date, checkpoint: str,
         if label is None:
             return
         folder = f"{root.rstrip('/')}/{topic}/{day}"
-        batch.select(F.col("value").cast("string")).write.mode("overwrite").option("compression", "none").text(f"{folder}/{label['label']}.ndjson.d")
+        batch.select(F.col("value").cast("string")).write.mode("overwrite").option("compression", "none").text(f"{folder}/{label['label']}.ndjson")
         audit = batch.sparkSession.createDataFrame(
             [(topic, day, label["label"], label["ranges"], label["rows"])], "topic STRING, day STRING, label STRING, ranges STRING, rows BIGINT"
         )
