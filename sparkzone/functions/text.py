@@ -16,13 +16,18 @@ UNCLEAN_CHARS = r"[\u0000-\u0008\u000B\u000C\u000E-\u001F\u007F-\u009F\r\n\t]"
 ALLOWED_IMAGE_EXTENSIONS = r"\.(jpg|jpeg|png|webp)$"
 
 
+# Every repair below needs one of these, so a text without them is only trimmed.
+NEEDS_REPAIR = r"[\u0000-\u001F\u007F-\u009F°º]|  "
+
+
 def tidy(c: Column) -> Column:
     """Whitespace squeezed, broken dashes and degree signs repaired, control marks gone."""
-    c = F.regexp_replace(c, r"\s+", " ")
-    c = F.regexp_replace(c, BROKEN_DASH, "-")
-    c = F.regexp_replace(c, BROKEN_DEGREE_C, DEGREE_C)
-    c = F.regexp_replace(c, LOOSE_DEGREE_C, DEGREE_C)
-    return F.trim(F.regexp_replace(c, CONTROL_CHARS, ""))
+    fixed = F.regexp_replace(c, r"\s+", " ")
+    fixed = F.regexp_replace(fixed, BROKEN_DASH, "-")
+    fixed = F.regexp_replace(fixed, BROKEN_DEGREE_C, DEGREE_C)
+    fixed = F.regexp_replace(fixed, LOOSE_DEGREE_C, DEGREE_C)
+    fixed = F.regexp_replace(fixed, CONTROL_CHARS, "")
+    return F.trim(F.when(c.rlike(NEEDS_REPAIR), fixed).otherwise(c))
 
 
 def null_tokens(c: Column, keep: Column | None = None) -> Column:

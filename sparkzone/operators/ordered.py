@@ -51,9 +51,21 @@ def _bucket(order: str) -> Column:
     return F.when(bounds.isNull(), 0).when(value.isNull(), -1).otherwise(2 * below + on_bound)
 
 
-def partition_average(df: DataFrame, keys: Sequence[str], value: str, out: str, large_group: int = LARGE_GROUP) -> DataFrame:
+# A cheaper frame to count groups on, with its own names for the group columns.
+# Its groups must be at least as large as those of the frame itself.
+Probe = tuple[DataFrame, Sequence[str]]
+
+
+def _is_large(df: DataFrame, keys: Sequence[str], limit: int, probe: Probe | None) -> bool:
+    counted, names = probe or (df, keys)
+    return has_large_group(counted, names, limit)
+
+
+def partition_average(
+    df: DataFrame, keys: Sequence[str], value: str, out: str, large_group: int = LARGE_GROUP, probe: Probe | None = None
+) -> DataFrame:
     """Average of a value over its group, on every row."""
-    if not has_large_group(df, keys, large_group):
+    if not _is_large(df, keys, large_group, probe):
         return df.withColumn(out, F.avg(value).over(Window.partitionBy(*keys)))
     means = df.groupBy(*keys).agg(F.avg(value).alias(out))
     return null_safe_join(df, means, keys)
@@ -68,6 +80,7 @@ def rolling_average(
     rows: int = 5,
     tie: Column | None = None,
     large_group: int = LARGE_GROUP,
+    probe: Probe | None = None,
 ) -> DataFrame:
     """Average of the current and the ``rows - 1`` preceding rows of the group.
 
@@ -76,7 +89,7 @@ def rolling_average(
     """
     before = rows - 1
     tied = df.withColumn("__tie", fingerprint(*df.columns) if tie is None else tie)
-    if not has_large_group(df, keys, large_group):
+    if not _is_large(df, keys, large_group, probe):
         window = Window.partitionBy(*keys).orderBy(order, "__tie").rowsBetween(-before, 0)
         return tied.withColumn(out, F.avg(value).over(window)).drop("__tie")
 
@@ -112,10 +125,12 @@ def rolling_average(
     return averaged.filter(~F.col("__carried")).select(*df.columns, out)
 
 
-def rank_in_group(df: DataFrame, keys: Sequence[str], by: str, out: str, large_group: int = LARGE_GROUP) -> DataFrame:
+def rank_in_group(
+    df: DataFrame, keys: Sequence[str], by: str, out: str, large_group: int = LARGE_GROUP, probe: Probe | None = None
+) -> DataFrame:
     """SQL ``rank()`` by descending value within each group."""
     descending = F.col(by).desc_nulls_last()
-    if not has_large_group(df, keys, large_group):
+    if not _is_large(df, keys, large_group, probe):
         return df.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(descending)))
     work = _with_bounds(df, keys, by, large_group).withColumn("__bucket", _bucket(by)).drop("__bounds")
     counts = work.groupBy(*keys, "__bucket").agg(F.count("*").alias("__n"))

@@ -249,7 +249,10 @@ def mart_temperature_trends(
     trends = joined.select(
         F.col("area_name").alias("area"), "year", F.col("period_name").alias("period"), "period_type", "temperature_change_value", *extra
     )
-    annual = partition_average(trends, ["area", "year"], "temperature_change_value", "annual_avg_temperature_change", large_group)
+    # Areas and periods are counted on the fact alone; keys and names pair off.
+    annual = partition_average(
+        trends, ["area", "year"], "temperature_change_value", "annual_avg_temperature_change", large_group, (fact, ["area_key", "year_key"])
+    )
     rolled = rolling_average(
         annual,
         ["area", "period"],
@@ -259,6 +262,7 @@ def mart_temperature_trends(
         rows=5,
         tie=F.col("__order") if extra else None,
         large_group=large_group,
+        probe=(fact, ["area_key", "period_key"]),
     )
     return rolled.drop("__order")
 
@@ -271,7 +275,9 @@ def mart_vehicle_emission_summary(fact: DataFrame, vehicles: DataFrame, large_gr
         F.avg("fuel_consumption_comb_l_100_km").alias("avg_fuel_consumption_comb_l_100_km"),
         F.avg("fuel_consumption_comb_mpg").alias("avg_fuel_consumption_comb_mpg"),
     )
-    return rank_in_group(summary, ["vehicle_class"], "avg_co2_emissions_g_km", "emission_rank_in_class", large_group)
+    # A class has at most as many summary rows as vehicles.
+    probe = (vehicles, ["vehicle_class"])
+    return rank_in_group(summary, ["vehicle_class"], "avg_co2_emissions_g_km", "emission_rank_in_class", large_group, probe)
 
 
 def mart_disaster_tweet_features(fact: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, StringType
@@ -13,7 +15,7 @@ from ..functions.keys import fingerprint
 from ..functions.labels import governance_columns
 from ..functions.names import normalize_headers
 from ..operators import gates
-from ..operators.rows import all_filled, any_filled, fill_keys, keep_first, rejection_event
+from ..operators.rows import any_filled, fill_keys, keep_first, rejection_event
 from .rules import TableRules
 
 
@@ -115,6 +117,10 @@ def standardize(df: DataFrame, rules: TableRules) -> DataFrame:
     return values.select(*_rule_layer(values, rules))
 
 
+def _present(required: tuple[str, ...]) -> Column:
+    return reduce(and_, [F.col(c).isNotNull() for c in required], F.lit(True))
+
+
 def clean_structured(df: DataFrame, rules: TableRules, date, source: str = "") -> Cleaned:
     stamp = logicaldate.iso(date)
     raw = normalize_headers(df)
@@ -124,7 +130,8 @@ def clean_structured(df: DataFrame, rules: TableRules, date, source: str = "") -
     if missing:
         return Cleaned(rules, stamp, source, None, cleaned, [])
 
-    complete = all_filled(cleaned, rules.required)
+    # Cleaned text is never blank, so presence is all a required value needs.
+    complete = _present(rules.required)
     rejected = cleaned.filter(~complete).withColumn("reason", F.lit("missing_required_values"))
     keys = rules.sort_keys_for(cleaned.columns)
     valid = fill_keys(cleaned.filter(complete), keys)
@@ -139,7 +146,7 @@ def clean_structured(df: DataFrame, rules: TableRules, date, source: str = "") -
     counted = flagged.agg(
         F.count("*").alias("loaded"),
         F.count_if("zz_not_empty").alias("not_empty"),
-        F.count_if(F.col("zz_not_empty") & all_filled(flagged, rules.required)).alias("complete"),
+        F.count_if(F.col("zz_not_empty") & _present(rules.required)).alias("complete"),
     )
     return Cleaned(rules, stamp, source, valid, rejected, keys, counted)
 

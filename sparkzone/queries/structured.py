@@ -10,6 +10,7 @@ from ..operators import ordered, rows
 from ..plans import star
 from ..plans.rules import CLIMATE, TEMPERATURES, VEHICLES, TableRules
 from ..plans.structured import clean_structured
+from ..sharedfs import cut_lineage
 from .registry import DATE, clean, fp, query, table, tidy
 
 # --- vehicles: parts as models, line items as measurements ---------------------
@@ -58,7 +59,7 @@ VEHICLE_KEY_SQL = fp("make", "model", "vehicle_class", "transmission", "fuel_typ
       cast(rank() over (partition by vehicle_class order by co2 desc) as int) as emission_rank_in_class from summary""",
 )
 def vehicle_emission_summary(spark, folder):
-    clean_rows = vehicles(spark, folder)
+    clean_rows = cut_lineage(vehicles(spark, folder), "vehicles")
     mart = star.mart_vehicle_emission_summary(star.fact_vehicle_emission(clean_rows), star.dim_vehicle(clean_rows))
     return _rounded(mart, "avg_co2_emissions_g_km", "avg_fuel_consumption_comb_l_100_km", "avg_fuel_consumption_comb_mpg")
 
@@ -140,7 +141,7 @@ PERIOD_SQL = "case when contains(months, '-') then 'season' when contains(months
     from temps""",
 )
 def temperature_trends(spark, folder, large_group=ordered.LARGE_GROUP):
-    rows_ = temperatures(spark, folder)
+    rows_ = cut_lineage(temperatures(spark, folder), "temperatures")
     mart = star.mart_temperature_trends(
         star.fact_temperature_area_period(rows_),
         star.dim_area(rows_),
@@ -194,7 +195,7 @@ def climate_raw(spark: SparkSession, folder: str) -> DataFrame:
     totals = joined.groupBy(F.col("n_name").alias("Country"), F.year("o_orderdate").alias("Year")).agg(
         F.sum("o_totalprice").alias("CO2 Emissions"),
         # One nation has no population, for the zero denominator.
-        F.sum(F.when(F.col("n_name") == "NATION_3", 0).otherwise(1)).cast("double").alias("Population"),
+        F.sum(F.when(F.col("n_name") == "NATION_3", 0.0).otherwise(0.97)).alias("Population"),
         (F.sum("c_acctbal") - 300000).alias("GDP"),
         F.count_if(F.col("o_orderstatus") == "F").alias("Extreme Weather Events"),
         F.avg("o_totalprice").alias("Average Temperature"),
@@ -210,7 +211,7 @@ def climate(spark: SparkSession, folder: str) -> DataFrame:
 CLIMATE_SQL = """
 climate as (
   select lower(n_name) as country, cast(year(o_orderdate) as int) as year, sum(o_totalprice) as co2,
-    cast(sum(case when n_name = 'NATION_3' then 0 else 1 end) as double) as population,
+    sum(case when n_name = 'NATION_3' then 0.0::double else 0.97::double end) as population,
     case when sum(c_acctbal) - 300000 < 0 then null else sum(c_acctbal) - 300000 end as gdp,
     cast(count(*) filter (o_orderstatus = 'F') as int) as events, avg(o_totalprice) as temperature
   from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by all)
@@ -220,7 +221,7 @@ climate as (
 @query(
     "climate_country_year",
     f"""with {CLIMATE_SQL} select country, year, cast(year - year % 10 as int) as decade, 0.5::double as temperature_anomaly, round(temperature, 4) as average_temperature,
-      round(co2, 4) as co2_emissions, population, case when population = 0 then null else round(co2 / population, 4) end as co2_per_capita,
+      round(co2, 4) as co2_emissions, round(population, 4) as population, case when population = 0 then null else round(co2 / population, 4) end as co2_per_capita,
       round(gdp, 4) as gdp, case when population = 0 then null else round(gdp / population, 4) end as gdp_per_capita,
       case when gdp = 0 then null else round(co2 / gdp, 4) end as emission_intensity, 0.5::double as renewable_energy_usage, 0.5::double as forest_area,
       0.5::double as deforestation_rate, events as extreme_weather_events, 0.5::double as policy_score, 0.5::double as air_pollution_index,
@@ -229,7 +230,7 @@ climate as (
 def climate_country_year(spark, folder):
     rows_ = climate(spark, folder)
     mart = star.mart_climate_country_year(star.fact_climate_country_year(rows_), star.dim_country(rows_), star.dim_year(rows_))
-    measured = ("average_temperature", "co2_emissions", "co2_per_capita", "gdp", "gdp_per_capita", "emission_intensity")
+    measured = ("average_temperature", "co2_emissions", "population", "co2_per_capita", "gdp", "gdp_per_capita", "emission_intensity")
     return _rounded(mart, *measured, digits=4)
 
 
@@ -240,14 +241,14 @@ def dim_country(spark, folder):
 
 @query(
     "fact_climate_country_year",
-    f"""with {CLIMATE_SQL} select {fp('country')} as country_key, year as year_key, round(co2, 4) as co2_emissions, population, round(gdp, 4) as gdp,
+    f"""with {CLIMATE_SQL} select {fp('country')} as country_key, year as year_key, round(co2, 4) as co2_emissions, round(population, 4) as population, round(gdp, 4) as gdp,
     events as extreme_weather_events, round(temperature, 4) as average_temperature, 0.5::double as source_per_capita_emissions from climate""",
 )
 def fact_climate_country_year(spark, folder):
     fact = star.fact_climate_country_year(climate(spark, folder)).select(
         "country_key", "year_key", "co2_emissions", "population", "gdp", "extreme_weather_events", "average_temperature", "source_per_capita_emissions"
     )
-    return _rounded(fact, "co2_emissions", "gdp", "average_temperature", digits=4)
+    return _rounded(fact, "co2_emissions", "population", "gdp", "average_temperature", digits=4)
 
 
 @query(

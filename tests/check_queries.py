@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from sparkzone.queries import QUERIES, SQL  # noqa: E402
 from sparkzone.session import build_session  # noqa: E402
-from tests.oracle import compare, connect  # noqa: E402
+from tests.oracle import compare_rows, connect  # noqa: E402
 
 
 def main() -> int:
@@ -21,15 +21,17 @@ def main() -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = connect(folder), 0
     for name in names:
-        start = time.time()
+        start, took = time.time(), 0.0
         try:
             df = QUERIES[name](spark, folder)
-            problem = compare(df, con, SQL[name]) if name in SQL else f"rows={len(df.collect())} (no SQL)"
+            rows = [tuple(r) for r in df.collect()]
+            took = time.time() - start
+            problem = compare_rows(df.columns, rows, con, SQL[name]) if name in SQL else f"rows={len(rows)} (no SQL)"
         except Exception as error:  # noqa: BLE001
             problem = f"ERROR {type(error).__name__}: {str(error)[:1200]}"
         bad = problem is not None and "(no SQL)" not in problem
         failed += bad
-        print(f"{'FAIL' if bad else 'ok  '} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
+        print(f"{'FAIL' if bad else 'ok  '} {name} {took:.1f}s + sql {time.time() - start - took:.1f}s {problem or ''}", flush=True)
     print(f"{len(names) - failed}/{len(names)} agree")
     return failed
 

@@ -42,8 +42,10 @@ def _rows(columns, rows):
 
 def compare(spark_df, con, sql: str) -> str | None:
     """None if both agree, else what differs."""
-    mine_columns = spark_df.columns
-    mine = [tuple(r) for r in spark_df.collect()]
+    return compare_rows(spark_df.columns, [tuple(r) for r in spark_df.collect()], con, sql)
+
+
+def compare_rows(mine_columns, mine, con, sql: str) -> str | None:
     cursor = con.execute(sql)
     oracle_columns = [d[0] for d in cursor.description]
     theirs = cursor.fetchall()
