@@ -28,6 +28,16 @@ def all_filled(df: DataFrame, required: Sequence[str]) -> Column:
     return reduce(and_, [filled(df, c) for c in required], F.lit(True))
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is evaluated once per row.
+
+    The optimizer substitutes a projected expression into every filter above it;
+    the output of a generator is opaque to that, so an expensive parse is not
+    repeated per use. The one-element array keeps every row, null values too.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def drop_empty_rows(df: DataFrame) -> DataFrame:
     return df.filter(any_filled(df)) if df.columns else df
 

@@ -11,6 +11,7 @@ from .. import logicaldate
 from ..functions.labels import governance_columns
 from ..functions.names import topic_table
 from ..operators.gates import require_not_empty
+from ..operators.rows import computed_once
 from ..sources.documents import flatten_snapshots
 from ..sources.tables import append, replace_partitions
 
@@ -32,44 +33,59 @@ class CleanedDocuments:
 
 def clean_key(c: Column) -> Column:
     """One document key: ASCII only, lower snake case."""
-    ascii_only = F.regexp_replace(c, r"[^\x00-\x7F]", "")
-    return F.trim(F.lit("_"), F.regexp_replace(F.regexp_replace(F.lower(F.trim(ascii_only)), r"[^a-z0-9_]+", "_"), "_+", "_"))
+    low = F.lower(F.trim(c))
+    ascii_only = F.trim(F.regexp_replace(low, r"[^\x00-\x7F]", ""))
+    squeezed = F.regexp_replace(F.regexp_replace(ascii_only, r"[^a-z0-9_]+", "_"), "_+", "_")
+    return F.when(low.rlike("[^a-z0-9]"), F.trim(squeezed, F.lit("_"))).otherwise(low)
 
 
-def _plain(value: Column) -> Column:
+def _plain(value: Column, as_text: Column) -> Column:
     """Text of a JSON value: strings trimmed and lower-cased, nested values as JSON."""
-    is_text = F.schema_of_variant(value) == "STRING"
-    as_text = F.try_variant_get(value, "$", "string")
-    return F.when(is_text, F.lower(F.trim(as_text))).otherwise(as_text)
+    # Only a text that looks nested needs a second look at its JSON form.
+    nested = as_text.rlike(r"^[{\[]") & ~F.startswith(F.to_json(value), F.lit('"'))
+    return F.when(nested, as_text).otherwise(F.lower(F.trim(as_text)))
 
 
 def _last_wins(entries: Column) -> Column:
     """Two keys may clean to one name; the later entry is kept, as in a dictionary."""
-    return F.filter(
+    keys = F.transform(entries, lambda e: e["key"])
+    last = F.filter(
         entries,
         lambda e, i: ~F.exists(F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))), lambda later: later["key"] == e["key"]),
     )
+    return F.when(F.size(F.array_distinct(keys)) == F.size(entries), entries).otherwise(last)
 
 
 def normalize_records(docs: DataFrame, stations: bool) -> DataFrame:
     """``record`` (JSON text) to ``doc`` (map of cleaned keys to text); records that are no objects drop out."""
     flat = flatten_snapshots(docs) if stations else docs.filter(F.startswith(F.ltrim("record"), F.lit("{")))
-    parsed = flat.withColumn("__raw", F.map_entries(F.from_json("record", "map<string,variant>")))
-    entries = F.transform("__raw", lambda e: F.struct(clean_key(e["key"]).alias("key"), _plain(e["value"]).alias("value")))
+    parsed = computed_once(flat, "__raw", F.map_entries(F.from_json("record", "map<string,variant>")))
+    # Two passes, so that the text of a value is taken out once and then used freely.
+    texts = F.transform(
+        "__raw",
+        lambda e: F.struct(clean_key(e["key"]).alias("key"), e["value"].alias("value"), F.try_variant_get(e["value"], "$", "string").alias("text")),
+    )
+    entries = F.transform(texts, lambda e: F.struct(e["key"].alias("key"), _plain(e["value"], e["text"]).alias("value")))
     cleaned = parsed.withColumn("__entries", entries)
-    doc = F.map_from_entries(_last_wins(F.col("__entries")))
     others = [c for c in docs.columns if c != "record"]
     if not stations:
-        return cleaned.select(*others, doc.alias("doc"))
+        return _as_map(cleaned).select(*others, "doc")
+
+    # One more parse finds all nested parts the flat fields come from.
+    parts = ", ".join(f"{p}: struct<{', '.join(f'{n}: STRING' for n in FLAT_FIELDS)}>" for p in FLAT_PARENTS)
+    cleaned = computed_once(cleaned, "__parts", F.from_json("record", f"struct<{parts}, coordinates: struct<latitude: STRING, longitude: STRING>>"))
+    entry = lambda key, value: F.struct(F.lit(key).alias("key"), value.alias("value"))
+    added = F.array(
+        *[entry(f"{p}_{n}", F.lower(F.trim(F.col(f"__parts.{p}.{n}")))) for p in FLAT_PARENTS for n in FLAT_FIELDS],
+        *[entry(n, F.col(f"__parts.coordinates.{n}")) for n in ("latitude", "longitude")],
+    )
+    with_flat = cleaned.withColumn("__entries", F.concat("__entries", F.filter(added, lambda e: e["value"].isNotNull())))
+    return _as_map(with_flat).select(*others, "doc")
 
-    def nested(parent: str, name: str) -> Column:
-        found = F.get_json_object("record", f"$.{parent}.{name}")
-        return F.struct(F.lit(f"{parent}_{name}").alias("key"), F.lower(F.trim(found)).alias("value"))
 
-    coordinate = lambda name: F.struct(F.lit(name).alias("key"), F.get_json_object("record", f"$.coordinates.{name}").alias("value"))
-    added = F.array(*[nested(p, n) for p in FLAT_PARENTS for n in FLAT_FIELDS], coordinate("latitude"), coordinate("longitude"))
-    with_flat = cleaned.withColumn("__entries", F.concat("__entries", F.filter(added, lambda e: e["value"].isNotNull())))
-    return with_flat.select(*others, doc.alias("doc"))
+def _as_map(df: DataFrame) -> DataFrame:
+    listed = computed_once(df, "__list", F.col("__entries"))
+    return computed_once(listed, "doc", F.map_from_entries(_last_wins(F.col("__list"))))
 
 
 def field(doc: str, name: str) -> Column:

@@ -1 +1,152 @@
-"""placeholder"""
+"""Vector collection upkeep and search over the embeddings."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..operators import vectors as vec
+from ..sources.tables import upsert
+from .registry import DATE, query, table
+
+
+def collection(spark: SparkSession, folder: str) -> DataFrame:
+    e = table(spark, folder, "embeddings")
+    return e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("embeddings"), F.col("label").cast("string").alias("label"))
+
+
+def label_queries(spark: SparkSession, folder: str) -> DataFrame:
+    """One query per label: the mean vector of all its members."""
+    means = collection(spark, folder).groupBy("label").agg(Summarizer.mean(array_to_vector("embeddings")).alias("m"))
+    return means.select(F.col("label").alias("query_id"), vector_to_array("m").alias("embeddings"))
+
+
+TOP_SQL = """
+with parts as (select label, i, avg(cast(embedding[i] as double)) as m from embeddings, generate_series(1, 64) g(i) group by all),
+q as (select cast(label as varchar) as query_id, list(m order by i) as m from parts group by label),
+s as (select query_id, vec_id as id, cast(label as varchar) as label, list_cosine_similarity(m, cast(embedding as double[])) as score from q, embeddings),
+r as (select *, cast(row_number() over (partition by query_id order by score desc, id) as int) as rank from s)
+"""
+
+
+@query("vector_topk", TOP_SQL + "select query_id, id, round(score, 6) as score, rank, label from r where rank <= 5")
+def vector_topk(spark, folder):
+    hits = vec.top_k(label_queries(spark, folder), collection(spark, folder), 5, output=["label"])
+    return hits.withColumn("score", F.round("score", 6))
+
+
+@query("vector_topk_tiled", TOP_SQL + "select query_id, id, round(score, 6) as score, rank from r where rank <= 5")
+def vector_topk_tiled(spark, folder):
+    """As if there were too many queries to send to every task."""
+    hits = vec.top_k(label_queries(spark, folder), collection(spark, folder), 5, max_sent=2)
+    return hits.withColumn("score", F.round("score", 6))
+
+
+@query("vector_cells_exact", TOP_SQL + "select query_id, id, round(score, 6) as score, rank from r where rank <= 5")
+def vector_cells_exact(spark, folder):
+    stored, cells = vec.build_cells(collection(spark, folder), nlist=16)
+    hits = vec.top_k_cells(label_queries(spark, folder), stored, cells, 5)
+    return hits.withColumn("score", F.round("score", 6))
+
+
+@query("vector_cells_recall")
+def vector_cells_recall(spark, folder):
+    """Share of the exact hits found per number of cells probed; depends on the clustering, so SQL cannot state it."""
+    queries, vectors = label_queries(spark, folder), collection(spark, folder)
+    stored, cells = vec.build_cells(vectors, nlist=16)
+    exact = vec.top_k(queries, vectors, 5).select("query_id", "id")
+    parts = None
+    for nprobe in (1, 4, 16):
+        found = vec.top_k_cells(queries, stored, cells, 5, nprobe).select("query_id", "id", F.lit(1).alias("hit"))
+        recall = exact.join(found, ["query_id", "id"], "left").agg(F.round(F.count("hit") / F.count("*"), 4).alias("recall"))
+        part = recall.select(F.lit(nprobe).alias("nprobe"), "recall")
+        parts = part if parts is None else parts.unionAll(part)
+    return parts
+
+
+@query(
+    "vector_normalize",
+    "select vec_id as id, cast(round(sqrt(list_sum([cast(x as double) * cast(x as double) for x in embedding])), 4) as double) as norm, cast(1.0 as double) as unit_norm from embeddings",
+)
+def vector_normalize(spark, folder):
+    norm = lambda v: F.round(F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))), 4)
+    c = collection(spark, folder).withColumn("unit", vec.l2_normalize(F.col("embeddings")))
+    return c.select("id", norm(F.col("embeddings")).alias("norm"), norm(F.col("unit")).alias("unit_norm"))
+
+
+@query(
+    "vector_upsert",
+    """with new as (select vec_id as id, cast(label as varchar) || '-new' as label, 2 as version from embeddings where label >= 5 union all select vec_id + 1000000, cast(label as varchar), 2 from embeddings where label = 0)
+    select vec_id as id, coalesce(n.label, cast(e.label as varchar)) as label, cast(coalesce(n.version, 1) as int) as version from embeddings e left join new n on n.id = e.vec_id
+    union all select id, label, version from new where id >= 1000000""",
+)
+def vector_upsert(spark, folder):
+    old = collection(spark, folder).select("id", "label", F.lit(1).alias("version"))
+    number = F.col("label").cast("int")
+    changed = old.filter(number >= 5).select("id", F.concat("label", F.lit("-new")).alias("label"), F.lit(2).alias("version"))
+    added = old.filter(number == 0).select((F.col("id") + 1_000_000).alias("id"), "label", F.lit(2).alias("version"))
+    return upsert(old, changed.unionByName(added), "id", "version")
+
+
+def image_rows(spark: SparkSession, folder: str) -> DataFrame:
+    d = table(spark, folder, "documents")
+    path = F.when(F.col("source") != "src1", F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".jpg"))).otherwise(F.lit(" "))
+    return d.select(
+        F.col("doc_id").cast("string").alias("file_id"), path.alias("file_path"), F.col("lang").alias("label"),
+        F.when(F.col("source") == "src2", "JSON").otherwise("Image").alias("file_type"), (F.col("source") == "src3").alias("is_corrupted"),
+    )
+
+
+@query(
+    "pending_work",
+    """with w as (select doc_id, sha256(doc_id || '||' || source || '/' || doc_id || '.jpg') as id, source || '/' || doc_id || '.jpg' as image_path, lang as label from documents where source not in ('src1', 'src2', 'src3'))
+    select id, image_path, label from w where doc_id not in (select doc_id from labels where quality = 1)""",
+)
+def pending_work(spark, folder):
+    done = table(spark, folder, "labels").join(table(spark, folder, "documents"), "doc_id")
+    key = F.sha2(F.concat_ws("||", F.col("doc_id").cast("string"), F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".jpg"))), 256)
+    status = done.select(key.alias("id"), F.when(F.col("quality") == 1, "SUCCESS").otherwise("FAILED_IMAGE_READ").alias("status"))
+    return vec.pending_work(image_rows(spark, folder), status)
+
+
+def _read(path: str) -> str:
+    if path.startswith("src4/"):
+        raise OSError("no such image")
+    return path
+
+
+def _embed(paths: list):
+    """Stand-in encoder: two numbers from the path."""
+    import numpy as np
+
+    return np.array([[len(p), 1.0] for p in paths])
+
+
+def encoded(spark: SparkSession, folder: str) -> DataFrame:
+    return vec.encode(vec.pending_work(image_rows(spark, folder)), _read, _embed, 2)
+
+
+@query(
+    "vector_encode",
+    """select source || '/' || doc_id || '.jpg' as image_path, case when source = 'src4' then 'FAILED_IMAGE_READ' else 'SUCCESS' end as status, case when source = 'src4' then 'no such image' else '' end as error_msg,
+    cast(case when source = 'src4' then 0 else 2 end as int) as vector_dim from documents where source not in ('src1', 'src2', 'src3')""",
+)
+def vector_encode(spark, folder):
+    return encoded(spark, folder).select("image_path", "status", "error_msg", "vector_dim")
+
+
+@query(
+    "vector_quality",
+    """with n as (select count(*) as total, count(*) filter (source <> 'src4') as ok from documents where source not in ('src1', 'src2', 'src3'))
+    select 'image_vector_catalog' as asset_name, 'collection_exists' as check_name, 'PASS' as status, 'image_vector_catalog' as observed_value from n
+    union all select 'image_vector_catalog', 'embedding_dimension', 'PASS', '0' from n union all select 'image_vector_catalog', 'row_count_nonzero', 'PASS', ok::varchar from n
+    union all select 'image_embedding_status', 'status_records_written', 'PASS', total || '/' || total from n union all select 'image_embedding_status', 'embedding_success_count', 'PASS', ok::varchar from n
+    union all select 'image_embedding_status', 'embedding_failure_count', case when total = ok then 'PASS' else 'WARN' end, (total - ok)::varchar from n""",
+)
+def vector_quality(spark, folder):
+    rows = encoded(spark, folder)
+    stored = vec.collection_rows(rows, "documents", "stand-in", 2, DATE)
+    status = vec.status_rows(rows, "documents", "stand-in", 2, "image_vector_catalog", DATE)
+    checks = vec.vector_quality(stored, status, "image_vector_catalog", 2, DATE)
+    return checks.select("asset_name", "check_name", "status", "observed_value")

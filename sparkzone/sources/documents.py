@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.rows import computed_once
+
 # NDJSON files above this size are read by line, so one file is many tasks.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
@@ -65,16 +67,16 @@ def parse_payloads(payloads: DataFrame) -> Parsed:
     """A payload is an object, an array, or one JSON value per line; anything else rejects its file."""
     body = F.col("payload")
     lines = F.filter(F.split(body, r"\r?\n"), lambda x: F.trim(x) != "")
-    shaped = payloads.filter(body != "").withColumn("__whole", well_formed(body))
+    shaped = computed_once(payloads.filter(body != ""), "__whole", well_formed(body))
     by_line = F.when(~F.exists(lines, lambda x: ~well_formed(x)), lines)
     records = (
         F.when(F.col("__whole") & starts_with(body, "["), elements(body))
         .when(F.col("__whole") & starts_with(body, "{"), F.array(body))
         .when(~F.col("__whole"), by_line)
     )
-    split = shaped.select("source_file_path", records.alias("records"))
+    split = computed_once(shaped, "records", records)
     return Parsed(
-        split.filter("records is not null").select("source_file_path", F.explode("records").alias("record")),
+        split.select("source_file_path", F.explode("records").alias("record")),
         split.filter("records is null").select("source_file_path", F.lit("invalid_json_payload").alias("reason")),
     )
 
@@ -110,4 +112,5 @@ def flatten_snapshots(docs: DataFrame, col: str = "record") -> DataFrame:
         starts_with(record, "["), F.when(starts_with(F.get(items, 0), "["), nested).otherwise(items)
     )
     others = [c for c in docs.columns if c != col]
-    return docs.select(*others, F.explode(F.filter(stations, lambda x: starts_with(x, "{"))).alias(col))
+    listed = computed_once(docs, "__stations", F.filter(stations, lambda x: starts_with(x, "{")))
+    return listed.select(*others, F.explode("__stations").alias(col))
