@@ -1 +1,129 @@
-"""placeholder"""
+"""CSV landing, integrity proofs and routing."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import sharedfs
+from ..functions import text
+from ..functions.keys import fingerprint
+from ..operators import integrity
+from ..plans import landing
+from ..sources import tables
+from .registry import DATE, fp, query, table
+
+
+@query("row_fingerprint", f"select {fp('o_orderkey', 'o_custkey', 'o_orderstatus', 'o_orderpriority')} as row_hash, count(*) as n from orders group by 1")
+def row_fingerprint(spark, folder):
+    return integrity.row_counts(table(spark, folder, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
+
+
+DIFF_SQL = f"""
+with a as (select {fp('doc_id', 'source', 'lang')} as h, count(*) as n from (select doc_id, source, lang from documents union all select doc_id, source, lang from documents where source = 'src1') group by 1),
+b as (select {fp('doc_id', 'source', 'lang')} as h, count(*) as n from (select doc_id, case source when 'src2' then null else source end as source, lang from documents) group by 1)
+select 'left' as side, h as row_hash, n from (select * from a except all select * from b) union all select 'right', h, n from (select * from b except all select * from a)
+"""
+
+
+@query("row_fingerprint_diff", DIFF_SQL)
+def row_fingerprint_diff(spark, folder):
+    """A table with doubled rows against one with edited rows."""
+    d = table(spark, folder, "documents").select("doc_id", "source", "lang")
+    left = d.unionAll(d.filter("source = 'src1'"))
+    right = d.withColumn("source", F.when(F.col("source") != "src2", F.col("source")))
+    return integrity.diff_tables(left, right)
+
+
+@query("table_signature", "select true as same_rows, false as edited_rows, count(*) as row_count from orders")
+def table_signature(spark, folder):
+    """The signature ignores row order and notices an edit."""
+    o = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    edited = o.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "P", "X").otherwise(F.col("o_orderstatus")))
+    sign = lambda df: integrity.table_signature(df).select("signature").scalar()
+    own = integrity.table_signature(o)
+    return own.select(
+        (F.col("signature") == sign(o.repartition("o_custkey"))).alias("same_rows"), (F.col("signature") == sign(edited)).alias("edited_rows"), "row_count"
+    )
+
+
+@query(
+    "csv_landing",
+    """select o_orderstatus, count(*) as n, cast(sum(o_orderkey) as bigint) as keys, round(sum(o_totalprice), 2) as price, min(o_orderdate) as first_date from orders group by 1""",
+)
+def csv_landing(spark, folder):
+    """Written as CSV, landed with inferred types, proven equal, and summed up."""
+    root = sharedfs.new_folder(spark, "csv")
+    orders = table(spark, folder, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    orders.write.option("header", True).csv(f"{root}/raw")
+    landing.land_csv(spark, f"{root}/raw", f"{root}/table", "orders", expected_columns=6)
+    landed = tables.read_table(spark, f"{root}/table")
+    return landed.groupBy("o_orderstatus").agg(
+        F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.round(F.sum("o_totalprice"), 2).alias("price"),
+        F.min("o_orderdate").cast("timestamp_ntz").alias("first_date"),
+    )
+
+
+@query("replace_partition", "select case when o_orderstatus = 'F' then 'F' else o_orderstatus end as status, count(*) * case when o_orderstatus = 'F' then 2 else 1 end as n from orders group by o_orderstatus")
+def replace_partition(spark, folder):
+    """A second write replaces only the partition it contains."""
+    path = sharedfs.new_folder(spark, "days")
+    rows = table(spark, folder, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    tables.replace_partitions(rows, path, "status")
+    again = rows.filter("status = 'F'")
+    tables.replace_partitions(again.unionAll(again), path, "status")
+    return spark.read.parquet(path).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query("append_merge", "select count(*) as n, count(*) filter (o_orderstatus = 'F') as extra from (select o_orderstatus from orders)")
+def append_merge(spark, folder):
+    """An appended batch may bring a new column."""
+    path = sharedfs.new_folder(spark, "merge")
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    tables.append(rows.filter("o_orderstatus <> 'F'"), path)
+    tables.append(rows.filter("o_orderstatus = 'F'").withColumn("extra", F.lit("x")), path)
+    return tables.read_table(spark, path, merge_schema=True).agg(F.count("*").alias("n"), F.count("extra").alias("extra"))
+
+
+@query("pending_files", "select page_id, url as path from pages where not contains(url, '/en/') and length(html) > 1000")
+def pending_files(spark, folder):
+    """Files of some size that no earlier run has marked as processed."""
+    manifest = sharedfs.new_folder(spark, "manifest")
+    files = table(spark, folder, "pages").select("page_id", F.col("url").alias("path"), F.when(F.char_length("html") > 1000, F.char_length("html")).otherwise(0).alias("length"))
+    tables.mark_processed(files.filter(F.contains("path", F.lit("/en/"))), manifest)
+    return tables.pending(spark, files, manifest).select("page_id", "path")
+
+
+@query(
+    "page_route",
+    r"""with m as (select page_id, url as path, case when contains(url, '/fr/') then 'image/png' when contains(url, '/de/') then 'application/json' else 'text/csv' end as content_type from pages),
+    p as (select *, case when content_type like 'image/%' then 'image' when content_type = 'application/json' then 'semistructured' else 'structured' end as category,
+      regexp_replace(regexp_extract(case when content_type = 'text/csv' then 'Report ' || page_id || '.csv' else path end, '([^/]*)$', 1), '([^.])\.[^.]*$', '\1') as stem, regexp_extract(list_extract(string_split(path, '.'), -1), '^([^?]*)', 1) as ext from m)
+    select page_id, category, 'persistent-landing/' || case category when 'structured' then 'structured/raw/' when 'image' then 'unstructured/image/' else 'semistructured/20260524/' end || stem || '_1779616800000.' || ext as destination from p""",
+)
+def page_route(spark, folder):
+    url = F.col("url")
+    kind = F.when(F.contains(url, F.lit("/fr/")), "image/png").when(F.contains(url, F.lit("/de/")), "application/json").otherwise("text/csv")
+    manifest = table(spark, folder, "pages").select(
+        "page_id",
+        url.alias("path"),
+        kind.alias("content_type"),
+        F.concat(F.lit("Report "), F.col("page_id").cast("string"), F.lit(".csv")).alias("landing_name"),
+        F.char_length("html").alias("length"),
+    )
+    return landing.route(manifest, DATE, "persistent-landing/").select("page_id", "category", "destination")
+
+
+@query(
+    "uri_parts",
+    "select page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#]*)', 1) as bucket, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*/*([^?#]*)', 1) as key from pages",
+)
+def uri_parts(spark, folder):
+    return table(spark, folder, "pages").select("page_id", text.uri_bucket(F.col("url")).alias("bucket"), text.uri_key(F.col("url")).alias("key"))
+
+
+@query("row_key_nulls", f"select l_orderkey, l_linenumber, {fp('a', 'b')} as key from (select *, case when l_returnflag = 'A' then null else l_returnflag end as a, case when l_linestatus = 'F' then null else l_linestatus end as b from lineitem)")
+def row_key_nulls(spark, folder):
+    """A null on the left and one on the right give different keys."""
+    flag = F.when(F.col("l_returnflag") != "A", F.col("l_returnflag"))
+    status = F.when(F.col("l_linestatus") != "F", F.col("l_linestatus"))
+    return table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", fingerprint(flag, status).alias("key"))

@@ -1 +1,37 @@
-"""placeholder"""
+"""The text classifier over documents and their languages. What it learns is not a matter of SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from .. import sharedfs
+from ..plans import classifier, star
+from .registry import DATE, query, table
+
+
+def training(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as texts, labelled by the quality reviewers gave them."""
+    docs = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
+    kind = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").otherwise("poor")
+    rows = docs.select(F.col("doc_id").alias("id"), "text", kind.alias("kind"))
+    facts = star.text_features(rows, "id", "text", "kind")
+    return facts.select("tweet_id", "tweet_text", "disaster_type", "word_count")
+
+
+def trained(spark: SparkSession, folder: str) -> classifier.Trained:
+    return classifier.train_classifier(training(spark, folder), key="tweet_id", iterations=50)
+
+
+@query("classifier_metrics")
+def classifier_metrics(spark, folder):
+    fitted = trained(spark, folder)
+    stored = classifier.store_model(spark, fitted.model, sharedfs.new_folder(spark, "model"), DATE)
+    return classifier.metrics_record(fitted, *stored, DATE).drop("model_uri", "model_artifact_sha256", "model_artifact_bytes")
+
+
+@query("classifier_reject")
+def classifier_reject(spark, folder):
+    """Every labelled text scored; unsure answers become unknown."""
+    fitted = trained(spark, folder)
+    answers = classifier.predict_or_unknown(fitted.model, fitted.labels, training(spark, folder), 0.6)
+    return answers.groupBy("disaster_type", "predicted_label").agg(F.count("*").alias("n"), F.round(F.min("confidence"), 4).alias("least_confidence"))
