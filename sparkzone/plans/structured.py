@@ -29,7 +29,7 @@ class Cleaned:
     valid: DataFrame | None
     rejected: DataFrame
     sort_keys: list[str]
-    counted: DataFrame | None = None
+    raw: DataFrame
 
     def event(self) -> DataFrame:
         """The audit row of the rejection; no row if nothing was rejected."""
@@ -39,7 +39,13 @@ class Cleaned:
 
     def audit(self) -> DataFrame:
         """Rows before and after each row-changing step."""
-        counts = self.counted.select("*", self.valid.agg(F.count("*")).scalar().alias("kept"))
+        flagged = standardize(self.raw.withColumn("zz_not_empty", any_filled(self.raw)), self.rules)
+        counted = flagged.agg(
+            F.count("*").alias("loaded"),
+            F.count_if("zz_not_empty").alias("not_empty"),
+            F.count_if(F.col("zz_not_empty") & _present(self.rules.required)).alias("complete"),
+        )
+        counts = counted.select("*", self.valid.agg(F.count("*")).scalar().alias("kept"))
         step = lambda order, name, before, after: F.struct(
             F.lit(order).alias("step_no"),
             F.lit(name).alias("step"),
@@ -128,7 +134,7 @@ def clean_structured(df: DataFrame, rules: TableRules, date, source: str = "") -
     cleaned = standardize(raw.filter(any_filled(raw)), rules)
     missing = [c for c in rules.required if c not in raw.columns]
     if missing:
-        return Cleaned(rules, stamp, source, None, cleaned, [])
+        return Cleaned(rules, stamp, source, None, cleaned, [], raw)
 
     # Cleaned text is never blank, so presence is all a required value needs.
     complete = _present(rules.required)
@@ -141,14 +147,7 @@ def clean_structured(df: DataFrame, rules: TableRules, date, source: str = "") -
         valid = keep_first(valid, keys, [fingerprint(*valid.columns)])
     valid = valid.withColumns(governance_columns("landing-zone", stamp, source, "valid", rules.schema_version))
 
-    # Same layers without the filter, pruned to what the counts need.
-    flagged = standardize(raw.withColumn("zz_not_empty", any_filled(raw)), rules)
-    counted = flagged.agg(
-        F.count("*").alias("loaded"),
-        F.count_if("zz_not_empty").alias("not_empty"),
-        F.count_if(F.col("zz_not_empty") & _present(rules.required)).alias("complete"),
-    )
-    return Cleaned(rules, stamp, source, valid, rejected, keys, counted)
+    return Cleaned(rules, stamp, source, valid, rejected, keys, raw)
 
 
 def sorted_layout(df: DataFrame, keys: list[str]) -> DataFrame:
