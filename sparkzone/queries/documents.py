@@ -13,13 +13,14 @@ from ..plans import stations as st
 from ..plans.documents import clean_documents
 from ..sources.documents import flatten_snapshots, parse_documents, parse_payloads
 from ..sources.files import json_shape
+from ..sources.tables import spread
 from .registry import DATE, query, table
 
 # --- weather: one event, one observation --------------------------------------------
 
 
 def weather_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    e = table(spark, folder, "events")
+    e = spread(table(spark, folder, "events"))
     k = F.get_json_object("props", "$.k").cast("int")
     code = F.when(k < 30, 0).when(k < 50, 45).when(k < 70, 61).when(k < 90, 95).otherwise(7)
     lost = (F.col("event_type") == "error") & (F.col("value") < 20)
@@ -207,6 +208,7 @@ def json_profile(spark, folder):
 
 def station_payloads(spark: SparkSession, folder: str) -> DataFrame:
     l, s, p, n, r = (table(spark, folder, x) for x in ("lineitem", "supplier", "part", "nation", "region"))
+    l = spread(l.select("l_orderkey", "l_suppkey", "l_partkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_quantity"))
     joined = (
         l.join(s, l.l_suppkey == s.s_suppkey)
         .join(p, l.l_partkey == p.p_partkey)

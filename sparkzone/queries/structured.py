@@ -11,13 +11,15 @@ from ..plans import star
 from ..plans.rules import CLIMATE, TEMPERATURES, VEHICLES, TableRules
 from ..plans.structured import clean_structured
 from ..sharedfs import cut_lineage
+from ..sources.tables import spread
 from .registry import DATE, clean, fp, query, table, tidy
 
 # --- vehicles: parts as models, line items as measurements ---------------------
 
 
 def vehicles_raw(spark: SparkSession, folder: str) -> DataFrame:
-    lines, parts = table(spark, folder, "lineitem"), table(spark, folder, "part")
+    needed = ("l_partkey", "l_linenumber", "l_linestatus", "l_returnflag", "l_quantity", "l_tax", "l_extendedprice")
+    lines, parts = spread(table(spark, folder, "lineitem").select(*needed)), table(spark, folder, "part")
     return lines.join(parts, lines.l_partkey == parts.p_partkey).select(
         F.upper("p_brand").alias("Make"),
         F.concat(F.lit(" "), "p_name").alias("Model"),
@@ -91,6 +93,7 @@ def fact_vehicle_emission(spark, folder):
 
 def temperatures_raw(spark: SparkSession, folder: str) -> DataFrame:
     orders, customers, nations = (table(spark, folder, n) for n in ("orders", "customer", "nation"))
+    orders = spread(orders)
     joined = orders.join(customers, orders.o_custkey == customers.c_custkey).join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     urgent, high = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority") == "2-HIGH"
     quarter, month = F.quarter("o_orderdate").cast("string"), F.month("o_orderdate").cast("string")
@@ -317,7 +320,7 @@ SENSOR_RULES = TableRules(
 
 def readings(spark: SparkSession, folder: str) -> DataFrame:
     """Events with the defects cleaning must deal with: null tokens, infinities, negatives, bad numbers, blank rows."""
-    e = table(spark, folder, "events")
+    e = spread(table(spark, folder, "events"))
     blank = F.col("event_type") == "signup"
     keep = lambda c: F.when(~blank | (F.col("value") < 100), c)
     reading = (

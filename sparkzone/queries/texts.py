@@ -10,6 +10,7 @@ from ..operators.ordered import stratified_split
 from ..plans import star
 from ..plans.rules import TWEETS
 from ..plans.structured import clean_structured
+from ..sources.tables import spread
 from .registry import DATE, clean, fp, query, table
 
 
@@ -17,7 +18,7 @@ def tweets_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as tweets: tags and emojis as bracketed text, plus a mention, links and keywords the prose lacks."""
     suffix = F.concat(F.lit(" @user_"), F.col("doc_id").cast("string"), F.lit(" https://x.example www.example.com YouTube "))
     words = F.when(F.col("source") == "src1", "EMERGENCY rescue help!").when(F.col("source") == "src2", "damage, dead?").otherwise("safe?")
-    return table(spark, folder, "documents").select(
+    return spread(table(spark, folder, "documents").select("doc_id", "text", "lang", "source")).select(
         F.col("doc_id").alias("Tweet ID"),
         F.concat("text", suffix, words).alias("Tweet Text"),
         F.col("lang").alias("Disaster Type"),

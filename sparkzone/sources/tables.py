@@ -62,6 +62,16 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> Da
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer tasks than the cluster has cores, spread over them ahead of heavy parsing.
+
+    A large table already has more splits than cores and is returned as it is.
+    Only for plain scans: asking a plan with exchanges for its partitions would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def discover_datasets(spark: SparkSession, base: str) -> list[str]:
     """Dataset folders directly below ``base``, sorted; each must hold data."""
     found = [p for p in sharedfs.child_folders(spark, base) if is_dataset_folder(p.rstrip("/").rsplit("/", 1)[-1])]
