@@ -28,7 +28,6 @@ HEADLINE = (
     "row_fingerprint_diff",
     "weather_summary",
     "dim_station",
-    "station_sensor_catalog",
     "image_canonical",
     "pending_work",
     "vector_topk",

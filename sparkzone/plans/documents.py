@@ -39,11 +39,15 @@ def clean_key(c: Column) -> Column:
     return F.when(low.rlike("[^a-z0-9]"), F.trim(squeezed, F.lit("_"))).otherwise(low)
 
 
-def _plain(value: Column, as_text: Column) -> Column:
+# A text value that itself starts like JSON; documents without one need no second parse.
+TEXT_LIKE_JSON = r'":\s*"[{\[]'
+
+
+def _plain(entry: Column, typed: Column) -> Column:
     """Text of a JSON value: strings trimmed and lower-cased, nested values as JSON."""
-    # Only a text that looks nested needs a second look at its JSON form.
-    nested = as_text.rlike(r"^[{\[]") & ~F.startswith(F.to_json(value), F.lit('"'))
-    return F.when(nested, as_text).otherwise(F.lower(F.trim(as_text)))
+    text = entry["value"]
+    is_text = F.coalesce(F.startswith(F.to_json(F.try_element_at(typed, entry["key"])), F.lit('"')), F.lit(False))
+    return F.when(text.rlike(r"^[{\[]") & ~is_text, text).otherwise(F.lower(F.trim(text)))
 
 
 def _last_wins(entries: Column) -> Column:
@@ -59,13 +63,12 @@ def _last_wins(entries: Column) -> Column:
 def normalize_records(docs: DataFrame, stations: bool) -> DataFrame:
     """``record`` (JSON text) to ``doc`` (map of cleaned keys to text); records that are no objects drop out."""
     flat = flatten_snapshots(docs) if stations else docs.filter(F.startswith(F.ltrim("record"), F.lit("{")))
-    parsed = computed_once(flat, "__raw", F.map_entries(F.from_json("record", "map<string,variant>")))
-    # Two passes, so that the text of a value is taken out once and then used freely.
-    texts = F.transform(
-        "__raw",
-        lambda e: F.struct(clean_key(e["key"]).alias("key"), e["value"].alias("value"), F.try_variant_get(e["value"], "$", "string").alias("text")),
+    parsed = computed_once(flat, "__raw", F.map_entries(F.from_json("record", "map<string,string>")))
+    types = F.when(F.col("record").rlike(TEXT_LIKE_JSON), F.from_json("record", "map<string,variant>"))
+    parsed = computed_once(parsed, "__typed", types)
+    entries = F.transform(
+        "__raw", lambda e: F.struct(clean_key(e["key"]).alias("key"), _plain(e, F.col("__typed")).alias("value"))
     )
-    entries = F.transform(texts, lambda e: F.struct(e["key"].alias("key"), _plain(e["value"], e["text"]).alias("value")))
     cleaned = parsed.withColumn("__entries", entries)
     others = [c for c in docs.columns if c != "record"]
     if not stations:

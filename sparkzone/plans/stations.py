@@ -23,9 +23,8 @@ ITEMS = "array<struct<id: BIGINT, name: STRING>>"
 
 
 def first_field(*candidates: str) -> Column:
-    """The first present spelling of a document field; NaN counts as missing."""
-    values = [field("doc", c) for c in candidates]
-    return F.coalesce(*[F.when(F.lower(v) != "nan", v) for v in values])
+    """The first present spelling of a document field."""
+    return F.coalesce(*[field("doc", c) for c in candidates])
 
 
 def json_field(schema: str, *candidates: str) -> Column:

@@ -79,8 +79,10 @@ def test_stations_are_exploded(spark, tmp_path):
 def test_hours_close_with_the_watermark(spark, tmp_path):
     hours = [weather(time=f"2024-01-01T{h:02d}:30:00", temperature=float(h)) for h in (1, 1, 2, 6)]
     put(tmp_path / "in", "a.json", hours)
-    put(tmp_path / "in", "b.json", [weather(time="2024-01-01T01:10:00")])  # too late
-    os.utime(tmp_path / "in" / "a.json", (1_700_000_000, 1_700_000_000))
+    put(tmp_path / "in", "b.json", [weather(time="2024-01-01T06:40:00")])
+    put(tmp_path / "in", "c.json", [weather(time="2024-01-01T01:10:00")])  # too late
+    for age, name in enumerate(("c.json", "b.json", "a.json")):
+        os.utime(tmp_path / "in" / name, (1_700_000_000 - 100 * age,) * 2)
     stream = ev.hourly_stream(ev.weather_stream(source(spark, tmp_path / "in")))
     query = sinks.append_files(stream, str(tmp_path / "out"), str(tmp_path / "ck"), available_now=True)
     query.awaitTermination()
