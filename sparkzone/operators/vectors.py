@@ -349,7 +349,8 @@ def top_k_cells(
     schema = _result_schema(queries, cell_vectors, query_id, id)
     few = _bounded_rows(queries.select(query_id, vector), max_sent)
     if few is None:
-        raise ValueError(f"more than {max_sent} queries: search them in batches, or use top_k")
+        # Too many queries to plan probes for on the driver; the tiled search is exact for any number.
+        return top_k(queries, cell_vectors, k, query_id, id, vector, max_sent=max_sent)
     centres = cells.orderBy("cell").collect()
     query_ids, matrix = [r[0] for r in few], _unit([r[1] for r in few])
     similarity = matrix @ _unit([c["centre"] for c in centres]).T

@@ -46,6 +46,7 @@ def test_exact_search_by_every_route(data):
     stored, cells = vec.build_cells(vectors, nlist=6)
     assert stored.count() == 300
     assert found(vec.top_k_cells(queries, stored, cells, 4)) == expected
+    assert found(vec.top_k_cells(queries, stored, cells, 4, max_sent=3)) == expected
 
 
 def test_more_probes_never_lose_hits(data):
