@@ -201,7 +201,7 @@ def climate_raw(spark: SparkSession, folder: str) -> DataFrame:
         F.sum(F.when(F.col("n_name") == "NATION_3", 0.0).otherwise(0.97)).alias("Population"),
         (F.sum("c_acctbal") - 300000).alias("GDP"),
         F.count_if(F.col("o_orderstatus") == "F").alias("Extreme Weather Events"),
-        F.avg("o_totalprice").alias("Average Temperature"),
+        (F.avg("o_totalprice") / 7).alias("Average Temperature"),
     )
     filled = {m for m in ("co2_emissions", "population", "gdp", "extreme_weather_events", "average_temperature")}
     return totals.select("*", *[F.lit(0.5).alias(m) for m in star.CLIMATE_MEASURES if m not in filled])
@@ -216,7 +216,7 @@ climate as (
   select lower(n_name) as country, cast(year(o_orderdate) as int) as year, sum(o_totalprice) as co2,
     sum(case when n_name = 'NATION_3' then 0.0::double else 0.97::double end) as population,
     case when sum(c_acctbal) - 300000 < 0 then null else sum(c_acctbal) - 300000 end as gdp,
-    cast(count(*) filter (o_orderstatus = 'F') as int) as events, avg(o_totalprice) as temperature
+    cast(count(*) filter (o_orderstatus = 'F') as int) as events, avg(o_totalprice) / 7 as temperature
   from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by all)
 """
 
