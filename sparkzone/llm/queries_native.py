@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, sharding
+from . import chat, mixing, quality, sharding
 from .common import table
 from .registry import query
 
@@ -66,3 +66,55 @@ def shard_sql(limit: int) -> str:
 @query("op2_extendible_hash_shards", shard_sql(SHARD_BYTES))
 def op2_extendible_hash_shards(spark, sf_dir):
     return sharding.shard_rows(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+def _mix_hash(*parts: str, at: int = 1) -> str:
+    return f"('0x' || md5(concat_ws(':', '{mixing.SEED}', {', '.join(parts)}))[{at}:{at + 14}])::bigint"
+
+
+@query(
+    "op8_hypergeometric_mix",
+    f"""
+    with d as (
+      select row_number() over () as row, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as size from documents
+    ), a as (
+      select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as rank from d group by source
+    ), b as (
+      select *, ((rank - 1) % 3 + 1)::double as weight, 3.0::double * source_size as cap, sum(source_size) over ()::double as total from a
+    ), c as (
+      select *, (total - coalesce(sum(cap) over (order by cap / weight, rank rows between unbounded preceding and 1 preceding), 0))
+        / sum(weight) over (order by cap / weight, rank rows between current row and unbounded following) as own_level from b
+    ), e as (
+      select *, max(own_level) over () as level from c
+    ), s as (
+      select *, floor(target + 0.5)::bigint as want, greatest(1, least({mixing.MAX_BLOCKS}, ceil(source_size / {mixing.BLOCK_WORDS})))::bigint as blocks
+      from (select *, least(cap, level * weight) as target from e)
+    ), p as (
+      select d.*, s.rank, source_size, target, case when source_size > 0 then want // source_size else 0 end as repeats,
+        case when source_size > 0 then want % source_size else 0 end as rest,
+        {_mix_hash("coalesce(d.doc_id::varchar, 'null')", "s.rank::varchar", "d.size::varchar")} % blocks as block,
+        {_mix_hash("coalesce(d.doc_id::varchar, 'null')", "s.rank::varchar", "d.size::varchar", at=16)} as ord
+      from d join s on d.source is not distinct from s.source
+    ), k as (
+      select rank, block, sum(size) as words, any_value(repeats) as repeats, any_value(rest) as rest from p group by all
+    ), l as (
+      select *, sum(words) over (partition by rank order by {_mix_hash("'block'", "rank::varchar", "repeats::varchar", "block::varchar")}, block) - words as before from k
+    ), m as (
+      select p.*, greatest(0, least(words, l.rest - before)) as drawn, words,
+        sum(size) over (partition by p.rank, p.block order by ord, doc_id rows between unbounded preceding and current row) - size as inside
+      from p join l using (rank, block)
+    ), n as (
+      select *, case when drawn = words then size else greatest(0, least(size, drawn - inside)) end as partly from m
+    )
+    select doc_id, size, source_size, target, (repeats * size + partly)::bigint as taken,
+      (case when size > 0 then repeats else 0 end + (partly > 0)::int)::bigint as draws from n
+    """,
+)
+def op8_hypergeometric_mix(spark, sf_dir):
+    return mixing.taken_per_row(table(spark, sf_dir, "documents"))
+
+
+@query("op9_weak_supervision")
+def op9_weak_supervision(spark, sf_dir):
+    out = quality.judged(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
