@@ -4,6 +4,6 @@ from __future__ import annotations
 
 from .registry import QUERIES, SQL
 
-from . import queries_native  # noqa: E402,F401 - it registers itself
+from . import queries_free, queries_native  # noqa: E402,F401 - they register themselves
 
 __all__ = ["QUERIES", "SQL"]
