@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import packing, tokens
+from . import merkle, packing, simhash, substrings, tokens, toxicity
 from .common import table
 from .registry import query
 
@@ -20,3 +20,25 @@ def op3_multi_length_packing(spark, sf_dir):
 def op7_prefix_token_counts(spark, sf_dir):
     counted = tokens.prefix_counts(table(spark, sf_dir, "documents"), TOKEN_LIMIT, keep_steps=False)
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "bytes_in_budget")
+
+
+@query("op4_merkle_fingerprints")
+def op4_merkle_fingerprints(spark, sf_dir):
+    return merkle.compare_neighbours(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op10_counterfactual_toxicity")
+def op10_counterfactual_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.train(docs, labels))
+
+
+@query("op5_fixed_block_substrings")
+def op5_fixed_block_substrings(spark, sf_dir):
+    return substrings.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op6_simhash_balls")
+def op6_simhash_balls(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
