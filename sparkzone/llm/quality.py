@@ -57,13 +57,13 @@ class Rule:
 
 
 RULES = (
-    Rule("symbols_per_word", "n_symbols / n_words", 0.05, 0.2),
-    Rule("symbols_per_char", "n_symbols / word_chars", 0.01, 0.05),
-    Rule("plain_words", "n_plain / n_words", 0.8, 0.65),
-    Rule("word_length", "abs(word_chars / n_words - 5.5)", 1.5, 2.0),
-    Rule("repeated_words", "n_repeat_words / n_words", 0.1, 0.3),
-    Rule("repeated_lines", "n_dup_lines / n_lines", 0.15, 0.3),
-    Rule("capitals", "n_upper / word_chars", 0.15, 0.4),
+    Rule("symbols_per_word", "try_divide(n_symbols, n_words)", 0.05, 0.2),
+    Rule("symbols_per_char", "try_divide(n_symbols, word_chars)", 0.01, 0.05),
+    Rule("plain_words", "try_divide(n_plain, n_words)", 0.8, 0.65),
+    Rule("word_length", "abs(try_divide(word_chars, n_words) - 5.5)", 1.5, 2.0),
+    Rule("repeated_words", "try_divide(n_repeat_words, n_words)", 0.1, 0.3),
+    Rule("repeated_lines", "try_divide(n_dup_lines, n_lines)", 0.15, 0.3),
+    Rule("capitals", "try_divide(n_upper, word_chars)", 0.15, 0.4),
 )
 
 
