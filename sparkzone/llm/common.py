@@ -30,3 +30,11 @@ def written(frame: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import text_of, written
+from .common import free_name, text_of, written
 from .graph import components
 
 SHINGLE, SEED, RADIUS, BITS = 3, 42, 3, 64
@@ -177,6 +177,7 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     """The documents without near-duplicates of one with a smaller id; of rows alike in id and fingerprint one stays."""
     found = near_duplicates(documents)
     keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("fp").alias("keep_fp"))
-    marked = documents.withColumn("_fp", _fingerprints(text_of()))
-    kept = marked.join(keep, marked["doc_id"].eqNullSafe(keep["component_id"]) & (marked["_fp"] == keep["keep_fp"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_fp"]).select(*documents.columns)
+    fp = free_name(documents.columns, "_fp")
+    marked = documents.withColumn(fp, _fingerprints(text_of()))
+    kept = marked.join(keep, marked["doc_id"].eqNullSafe(keep["component_id"]) & (marked[fp] == keep["keep_fp"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", fp]).select(*documents.columns)

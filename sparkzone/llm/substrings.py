@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, text_of, written
+from .common import WORD, free_name, text_of, written
 
 WINDOW, BLOCK = 50, 25
 # Text bytes behind a bucket of hashes and a group of documents, and the most of either.
@@ -265,15 +265,15 @@ def cut_words(text: str, gone: np.ndarray) -> str:
     return "".join(out).rstrip(" \t\n\x0b\x0c\r")
 
 
-def _cut_documents(texts: pa.Table, repeats: pa.Table, schema: pa.Schema) -> pa.Table:
+def _cut_documents(texts: pa.Table, repeats: pa.Table, schema: pa.Schema, key: str) -> pa.Table:
     found = _per_id(repeats, np.uint64)
     out = []
     for batch in _unpacked(texts):
         new = []
-        for key, text in zip(batch.column("_id").to_pylist(), batch.column("text").to_pylist()):
-            gone = None if text is None else _removed(text, found.get(key))
+        for doc, text in zip(batch.column(key).to_pylist(), batch.column("text").to_pylist()):
+            gone = None if text is None else _removed(text, found.get(doc))
             new.append(text if gone is None else cut_words(text, gone))
-        table = pa.Table.from_batches([batch]).drop_columns(["_id"])
+        table = pa.Table.from_batches([batch]).drop_columns([key])
         changed = table.set_column(table.column_names.index("text"), "text", pa.array(new, pa.string()))
         if "n_chars" in changed.column_names:
             counts = [n if t is None or t == old else len(t) for n, t, old in zip(batch.column("n_chars").to_pylist(), new, batch.column("text").to_pylist())]
@@ -282,14 +282,14 @@ def _cut_documents(texts: pa.Table, repeats: pa.Table, schema: pa.Schema) -> pa.
     return pa.concat_tables(out).cast(schema) if out else schema.empty_table()
 
 
-def _packed(documents: DataFrame, groups: int) -> DataFrame:
+def _packed(documents: DataFrame, groups: int, key: str = "_id") -> DataFrame:
     """Rows dealt to groups by id, compressed: ``at`` and an Arrow stream ``docs``."""
-    keyed = documents.withColumn("_id", F.coalesce("doc_id", F.lit(LAST_ID)))
+    keyed = documents.withColumn(key, F.coalesce("doc_id", F.lit(LAST_ID)))
 
     def pack(batches):
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         for batch in batches:
-            at = _group(batch.column("_id").to_numpy(), groups)
+            at = _group(batch.column(key).to_numpy(), groups)
             order = np.argsort(at, kind="stable")
             edges = np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]]) if len(at) else []
             keys, blobs = [], []
@@ -329,5 +329,6 @@ def without_repeats(documents: DataFrame) -> DataFrame:
 
     repeats, groups = _found(documents)
     schema = to_arrow_schema(documents.schema)
-    packed = _packed(documents, groups)
-    return packed.groupBy("at").cogroup(repeats.groupBy("at")).applyInArrow(lambda d, r: _cut_documents(d, r, schema), documents.schema)
+    key = free_name(documents.columns, "_id")
+    packed = _packed(documents, groups, key)
+    return packed.groupBy("at").cogroup(repeats.groupBy("at")).applyInArrow(lambda d, r: _cut_documents(d, r, schema, key), documents.schema)
