@@ -42,7 +42,7 @@ LEAST_DOCUMENTS = 4
 COUNTED = 300_000
 BEGINNINGS = (3, 4, 5, 6, 7)
 SHARED_BY = (1, 2, 3, 4)
-PENALTY = 4.0
+PENALTY = 40.0
 RIDGE = 1e-5
 ROUNDS = 400
 
