@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import or_
 
@@ -15,15 +16,11 @@ from ..functions.labels import (
     ASSET_FIELDS,
     ASSET_VERSION,
     asset_columns,
-    asset_type,
-    document_domain,
-    document_usage,
     governance_columns,
     policy_columns,
-    structured_domain,
-    structured_usage,
 )
 from ..sources.tables import overwrite
+from .purposes import DOCUMENTS, STRUCTURED, kind_of
 
 
 @dataclass(frozen=True)
@@ -38,17 +35,25 @@ class Asset:
     structured: bool = True
     storage: str = "parquet"
 
+    # Said here, or else looked up among the declared assets.
+    own_domain: str | None = None
+    own_usage: str | None = None
+
+    @property
+    def family(self):
+        return STRUCTURED if self.structured else DOCUMENTS
+
     @property
     def domain(self) -> str:
-        return (structured_domain if self.structured else document_domain)(self.name)
+        return self.own_domain or self.family.domain_of(self.name)
 
     @property
     def usage(self) -> str:
-        return (structured_usage if self.structured else document_usage)(self.name)
+        return self.own_usage or self.family.use_of(self.name)
 
 
 def with_metadata(df: DataFrame, name: str, source_assets: str, date) -> DataFrame:
-    return df.withColumns(asset_columns(name, source_assets, logicaldate.iso(date)))
+    return df.withColumns(asset_columns(kind_of(name), source_assets, logicaldate.iso(date)))
 
 
 def publish(spark: SparkSession, assets: Sequence[Asset], root: str, date, sort_keys: Mapping[str, Sequence[str]] = {}) -> list[Asset]:
@@ -62,7 +67,7 @@ def publish(spark: SparkSession, assets: Sequence[Asset], root: str, date, sort_
         full = with_metadata(asset.df, asset.name, asset.source_assets, date)
         overwrite(full, path, sort_keys.get(asset.name, ()))
         published.append(
-            Asset(asset.name, spark.read.schema(full.schema).parquet(path), asset.source_assets, path, asset.key, asset.structured, asset.storage)
+            replace(asset, df=spark.read.schema(full.schema).parquet(path), location=path)
         )
     return published
 
@@ -123,7 +128,7 @@ def worst_status(checks: DataFrame) -> DataFrame:
 def _registry(assets: Sequence[Asset]) -> DataFrame:
     """One row per asset name; driver-side metadata, never data."""
     spark = assets[0].df.sparkSession
-    rows = [(a.name, a.domain, asset_type(a.name), a.storage, a.location, a.source_assets, a.usage, a.structured) for a in assets]
+    rows = [(a.name, a.domain, kind_of(a.name), a.storage, a.location, a.source_assets, a.usage, a.structured) for a in assets]
     schema = (
         "asset_name STRING, domain STRING, asset_type STRING, storage_system STRING, location STRING, "
         "source_assets STRING, downstream_usage STRING, structured BOOLEAN"
@@ -182,17 +187,19 @@ SUMMARY_KINDS = {
 def trusted_summary(datasets: Mapping[str, tuple[str, DataFrame]], date) -> DataFrame:
     """One row per trusted dataset: counts, schema, lineage, policy.
 
-    ``datasets`` maps a name to (kind, frame). A dataset that cannot be read is
-    left out with a warning, as one broken source must not hide the others.
+    ``datasets`` maps a name to (kind, frame). A dataset that cannot be analysed keeps its
+    row, with the status ``unreadable`` and no counts, so that it hides neither itself nor the others.
     """
     rows = []
     for name, (kind, df) in sorted(datasets.items()):
         try:
             rows.append(_summary_row(name, kind, df, date))
         except Exception as error:  # noqa: BLE001
-            import warnings
-
-            warnings.warn(f"trusted summary skips {name}: {error}", stacklevel=2)
+            warnings.warn(f"{name} can't be read: {error}", stacklevel=2)
+            nothing = SparkSession.active().createDataFrame([("unreadable",)], "validation_status STRING")
+            row = _summary_row(name, kind, nothing, date)
+            unknown = {c: F.lit(None).cast(row.schema[c].dataType) for c in ("record_count", "column_or_key_count", "schema_json")}
+            rows.append(row.withColumns(unknown))
     return reduce(DataFrame.unionAll, rows)
 
 

@@ -36,7 +36,7 @@ def test_metadata_gaps_fail(spark):
     assert checks["metadata_complete"] == "FAIL"
 
 
-def test_summary_skips_what_cannot_be_read(spark):
+def test_summary_keeps_what_cannot_be_read(spark):
     class Broken:
         columns = ["x"]
 
@@ -47,7 +47,8 @@ def test_summary_skips_what_cannot_be_read(spark):
     with warnings.catch_warnings(record=True) as seen:
         warnings.simplefilter("always")
         out = gov.trusted_summary({"a": ("table", spark.range(3)), "b": ("collection", Broken())}, DATE)
-    assert [r["record_count"] for r in out.collect()] == [3] and seen
+    found = {r["dataset_name"]: (r["record_count"], r["validation_status"], r["schema_json"] is None) for r in out.collect()}
+    assert found == {"a": (3, "valid", False), "b": (None, "unreadable", True)} and seen
 
 
 TEXTS = [("the red cat sat", "a"), ("the red dog ran", "a"), ("blue sky above town", "b")]

@@ -3,7 +3,8 @@ from __future__ import annotations
 import pytest
 
 from sparkzone import logicaldate
-from sparkzone.functions import labels, names
+from sparkzone.functions import names
+from sparkzone.plans.purposes import DOCUMENTS, STRUCTURED, kind_of
 from sparkzone.plans.rules import TWEETS, VEHICLES, rules_for
 
 
@@ -49,9 +50,10 @@ def test_logical_dates():
         logicaldate.parse(None)
 
 
-def test_asset_labels():
-    assert [labels.asset_type(n) for n in ("dim_x", "fact_x", "mart_x", "bridge_x", "image_vector", "counts")] == [
+def test_asset_purposes():
+    assert [kind_of(n) for n in ("dim_x", "fact_x", "mart_x", "bridge_x", "image_vector", "counts")] == [
         "dimension", "fact", "mart", "bridge", "embedding", "metric",
     ]
-    assert labels.structured_domain("dim_year") == "climate_environment" and labels.structured_domain("dim_vehicle") == "vehicle_emissions"
-    assert labels.document_domain("dim_sensor") == "barcelona_air_quality"
+    assert STRUCTURED.domain_of("dim_year") == "climate_environment" and STRUCTURED.domain_of("dim_vehicle") == "vehicle_emissions"
+    assert STRUCTURED.use_of("fact_tweet_features") == "natural disaster classifier" and STRUCTURED.domain_of("dim_new") == "shared_analytics"
+    assert DOCUMENTS.domain_of("dim_sensor") == "barcelona_air_quality" and DOCUMENTS.domain_of("dim_country") == "barcelona_environment"
