@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.rows import computed_once
 
-# NDJSON files above this size are read by line, so one file is many tasks.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
-
 
 @dataclass(frozen=True)
 class Parsed:
@@ -20,8 +17,7 @@ class Parsed:
     malformed: DataFrame
 
 
-def topic_folder(root: str, topic: str, day: str) -> str:
-    return f"{root.rstrip('/')}/{topic}/{day}"
+END_MARK = "end-of-the-value"
 
 
 def starts_with(c: Column, mark: str) -> Column:
@@ -34,33 +30,41 @@ def elements(c: Column) -> Column:
 
 
 def well_formed(c: Column) -> Column:
-    return F.try_parse_json(c).isNotNull()
+    """Whether the text is one JSON value and nothing else.
+
+    Spark's parser stops after the first value, so the text is also read as a member followed by another.
+    """
+    member = F.json_object_keys(F.concat(F.lit('{"value":'), c, F.lit(f',"{END_MARK}":0}}')))
+    return F.try_parse_json(c).isNotNull() & F.coalesce(member == F.array(F.lit("value"), F.lit(END_MARK)), F.lit(False))
 
 
-# A finished JSON file, or a part of a folder some job wrote under such a name.
-DOCUMENT_FILE = r"\.(json|ndjson)(/part-[^/]*)?$"
+# A finished JSON file, or a part of a folder some job wrote under such a name. The name says
+# how a file is read, whatever its size: ``.json`` is one text, ``.ndjson`` is lines.
+WHOLE_FILE = r"\.json(/part-[^/]*)?$"
 LINE_FILE = r"\.ndjson(/part-[^/]*)?$"
+UNREADABLE = "invalid_json_payload"
 
 
-def _text_files(spark: SparkSession, path: str, whole: bool) -> DataFrame:
-    files = spark.read.option("wholetext", whole).option("recursiveFileLookup", True).text(path)
+def _text_files(spark: SparkSession, path: str | list[str], names: str, whole: bool) -> DataFrame:
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=whole)
     # Conditions on file metadata prune the listing; rejected files are never opened.
     return (
         files.withColumn("source_file_path", F.col("_metadata.file_path"))
         .withColumn("bytes", F.col("_metadata.file_size"))
-        .filter(F.col("source_file_path").rlike(DOCUMENT_FILE) & ~F.contains("source_file_path", F.lit("/_tmp/")))
+        .filter(F.col("source_file_path").rlike(names) & ~F.contains("source_file_path", F.lit("/_tmp/")))
     )
 
 
-def _oversized() -> Column:
-    return F.col("source_file_path").rlike(LINE_FILE) & (F.col("bytes") > WHOLE_FILE_BYTES)
+def read_payloads(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Whole text of each finished ``.json`` file below a folder; a file is one value of one task."""
+    return _text_files(spark, path, WHOLE_FILE, True).select(
+        "source_file_path", F.regexp_replace("value", r"^\s+|\s+$", "").alias("payload"), "bytes"
+    )
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Whole text of each finished JSON file below a folder, except oversized NDJSON."""
-    return _text_files(spark, path, True).filter(~_oversized()).select(
-        "source_file_path", F.regexp_replace("value", r"^\s+|\s+$", "").alias("payload")
-    )
+def _of_one_value(body: Column) -> Column:
+    """Records of one well-formed JSON value; null if it is neither list nor object."""
+    return F.when(starts_with(body, "["), elements(body)).when(starts_with(body, "{"), F.array(body))
 
 
 def parse_payloads(payloads: DataFrame) -> Parsed:
@@ -69,38 +73,43 @@ def parse_payloads(payloads: DataFrame) -> Parsed:
     lines = F.filter(F.split(body, r"\r?\n"), lambda x: F.trim(x) != "")
     shaped = computed_once(payloads.filter(body != ""), "__whole", well_formed(body))
     by_line = F.when(~F.exists(lines, lambda x: ~well_formed(x)), lines)
-    records = (
-        F.when(F.col("__whole") & starts_with(body, "["), elements(body))
-        .when(F.col("__whole") & starts_with(body, "{"), F.array(body))
-        .when(~F.col("__whole"), by_line)
-    )
+    records = F.when(F.col("__whole"), _of_one_value(body)).otherwise(by_line)
     split = computed_once(shaped, "records", records)
     return Parsed(
         split.select("source_file_path", F.explode("records").alias("record")),
-        split.filter("records is null").select("source_file_path", F.lit("invalid_json_payload").alias("reason")),
+        split.filter("records is null").select("source_file_path", F.lit(UNREADABLE).alias("reason")),
     )
 
 
-def read_large_ndjson(spark: SparkSession, path: str) -> Parsed:
-    """Oversized NDJSON by line; one bad line rejects its whole file, as for small ones."""
-    lines = _text_files(spark, path, False).filter(_oversized() & (F.trim("value") != "")).select(
-        "source_file_path", F.col("value").alias("record")
+def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return _text_files(spark, path, LINE_FILE, False).filter(F.trim("value") != "").select("source_file_path", F.trim("value").alias("record"), "bytes")
+
+
+def line_shapes(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Per ``.ndjson`` file: lines ``n``, ``bad`` ones, ``first`` (the least text, the line itself if alone), size."""
+    return _lines(spark, path).groupBy("source_file_path").agg(
+        F.count_if(~well_formed(F.col("record"))).alias("bad"), F.count("*").alias("n"), F.min("record").alias("first"), F.max("bytes").alias("bytes")
     )
-    bad = lines.filter(~well_formed(F.col("record"))).select("source_file_path").distinct()
+
+
+def read_lines(spark: SparkSession, path: str) -> Parsed:
+    """``.ndjson`` files by line, so that one file is many tasks.
+
+    One bad line rejects its whole file. A file of a single line is one value, as in ``parse_payloads``.
+    """
+    files = line_shapes(spark, path).withColumn("alone", F.col("n") == 1)
+    readable = (F.col("bad") == 0) & (~F.col("alone") | F.substring("first", 1, 1).isin("[", "{"))
+    kept = _lines(spark, path).join(files.filter(readable).select("source_file_path", "alone"), "source_file_path")
+    records = F.when(F.col("alone"), _of_one_value(F.col("record"))).otherwise(F.array("record"))
     return Parsed(
-        lines.join(bad, "source_file_path", "left_anti"),
-        bad.select("source_file_path", F.lit("invalid_json_payload").alias("reason")),
+        kept.select("source_file_path", F.explode(records).alias("record")),
+        files.filter(~readable).select("source_file_path", F.lit(UNREADABLE).alias("reason")),
     )
 
 
 def parse_documents(spark: SparkSession, path: str) -> Parsed:
-    small, large = parse_payloads(read_payloads(spark, path)), read_large_ndjson(spark, path)
-    return Parsed(small.docs.unionByName(large.docs), small.malformed.unionByName(large.malformed))
-
-
-def read_multiline_json(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    reader = spark.read.option("multiLine", True)
-    return (reader.schema(schema) if schema else reader).json(path)
+    whole, lines = parse_payloads(read_payloads(spark, path)), read_lines(spark, path)
+    return Parsed(whole.docs.unionByName(lines.docs), whole.malformed.unionByName(lines.malformed))
 
 
 def flatten_snapshots(docs: DataFrame, col: str = "record") -> DataFrame:

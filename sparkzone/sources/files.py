@@ -8,7 +8,8 @@ from .. import logicaldate
 from ..functions.labels import OWNER, RETENTION, STEWARD
 from ..functions.times import file_epoch
 from ..operators.joins import not_yet_done
-from .documents import elements, parse_payloads, read_payloads, starts_with, well_formed  # noqa: F401
+from .documents import line_shapes, read_payloads, starts_with, well_formed
+from .tables import list_files
 
 # Columns of a landing catalogue row, in order.
 CATALOGUE_COLUMNS = (
@@ -65,16 +66,25 @@ def normalize_catalogue(df: DataFrame, date) -> DataFrame:
     return df.select(*[column(c).alias(c) for c in CATALOGUE_COLUMNS])
 
 
-def image_metadata(spark: SparkSession, path: str) -> DataFrame:
+def new_files(spark: SparkSession, path: str, catalogue: DataFrame | None) -> list[str]:
+    """Paths below a folder that the catalogue lacks.
+
+    They come from the listing, which Spark keeps on the driver for any scan; no file is opened.
+    """
+    listed = list_files(spark, path).filter("length > 0").select(F.col("path").alias("file_path"))
+    return sorted(r["file_path"] for r in not_yet_done(listed, catalogue, "file_path").collect())
+
+
+def image_metadata(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Size, digest and decoded dimensions per image; what cannot be decoded is marked corrupted."""
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).filter("length > 0")
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).filter("length > 0")
     # Only the digest leaves the task that read the bytes.
     files = raw.select(F.col("path").alias("file_path"), F.col("length").alias("file_size_bytes"), F.md5("content").alias("md5"))
     decoded = (
         spark.read.format("image")
         .option("recursiveFileLookup", True)
         .option("dropInvalid", True)
-        .load(path)
+        .load(paths)
         .select("image.origin", "image.width", "image.height", "image.nChannels")
     )
     joined = files.join(decoded, F.regexp_replace("file_path", "^file:/+", "/") == F.regexp_replace("origin", "^file:/+", "/"), "left")
@@ -93,11 +103,12 @@ def image_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def profile_images(spark: SparkSession, path: str, date, catalogue: DataFrame | None = None, labels: DataFrame | None = None) -> DataFrame:
-    """Landing catalogue rows for images not yet catalogued.
+    """Landing catalogue rows for images not yet catalogued; only these are read.
 
     ``labels`` may add ``label``, ``url`` and ``source`` per ``file_path``.
     """
-    found = not_yet_done(image_metadata(spark, path), catalogue, "file_path")
+    todo = new_files(spark, path, catalogue)
+    found = image_metadata(spark, todo) if todo else image_metadata(spark, path).limit(0)
     if labels is not None:
         found = found.join(labels, "file_path", "left")
     optional = lambda name: F.col(name) if name in found.columns else F.lit(None).cast("string")
@@ -140,42 +151,64 @@ def nesting_level(payload: Column) -> Column:
     return depth - empty.cast("int")
 
 
-def _spread(items: Column) -> Column:
-    """One level of nested lists replaced by their elements."""
-    return F.flatten(F.transform(items, lambda x: F.when(starts_with(x, "["), elements(x)).otherwise(F.array(x))))
+def _flat_records(payload: Column, level: Column) -> Column:
+    """Values that remain when lists within lists are spread down to ``level``.
 
+    One walk over the brackets and values outside strings, with a state of three numbers, so
+    that neither the plan nor the memory depends on the depth.
+    """
+    bare = F.regexp_replace(payload, r'"(?:[^"\\]|\\.)*"', "0")
+    tokens = F.regexp_extract_all(bare, F.lit(r"[\[\]{}]|[^\[\]{},:\s]+"), F.lit(0))
+    long = lambda n: F.lit(n).cast("long")
+    start = F.struct(long(0).alias("lists"), long(0).alias("objects"), long(0).alias("found"))
 
-def json_shape(payloads: DataFrame) -> DataFrame:
-    """Nesting level, keys of the first object and flattened record count per payload.
+    def step(s: Column, t: Column) -> Column:
+        lists, objects, found = s["lists"], s["objects"], s["found"]
+        inside = (objects == 0) & (lists >= 1)
+        counts = inside & F.when(t == "[", lists == level).otherwise((t != "]") & (t != "}") & (lists <= level))
+        return F.struct(
+            F.when((t == "[") & (objects == 0), lists + 1).when((t == "]") & (objects == 0), lists - 1).otherwise(lists).alias("lists"),
+            F.when(t == "{", objects + 1).when(t == "}", objects - 1).otherwise(objects).alias("objects"),
+            (found + counts.cast("long")).alias("found"),
+        )
 
-    The deepest level present decides how often lists are spread, so no depth is cut off.
-    """
+    return F.when(level == 0, 1).otherwise(F.aggregate(tokens, start, step, lambda s: s["found"]))
+
+
+def json_shape(payloads: DataFrame) -> DataFrame:
+    """Nesting level, keys of the first object and flattened record count per payload."""
     leveled = payloads.filter(well_formed(F.col("payload"))).withColumn("nesting_level", nesting_level(F.col("payload")))
-    deepest = leveled.agg(F.max("nesting_level")).first()[0] or 0
-    level = F.col("nesting_level")
-    first, content = F.col("payload"), elements(F.col("payload"))
-    keys = F.when(level == 0, F.json_object_keys(first))
-    count = F.when(level == 0, 1)
-    for depth in range(1, deepest + 1):
-        first, content = F.get(elements(first), 0), _spread(content)
-        keys = keys.when(level == depth, F.json_object_keys(first))
-        count = count.when(level == depth, F.size(content))
+    opening = F.regexp_extract("payload", r"^([\s\[]*)", 1)
+    first = F.substring(F.col("payload"), F.char_length(opening) + 1, F.char_length("payload"))
+    keys = F.when(starts_with(first, "{"), F.json_object_keys(first))
+    size = F.col("bytes") if "bytes" in payloads.columns else F.octet_length("payload")
     return leveled.select(
         "source_file_path",
         "nesting_level",
         F.coalesce(keys, F.array().cast("array<string>")).alias("schema_keys"),
-        count.cast("long").alias("record_count"),
-        F.octet_length("payload").cast("long").alias("file_size_bytes"),
+        _flat_records(F.col("payload"), F.col("nesting_level")).cast("long").alias("record_count"),
+        size.cast("long").alias("file_size_bytes"),
     )
 
 
 def profile_json_files(spark: SparkSession, path: str, topic: str, date, catalogue: DataFrame | None = None) -> DataFrame:
-    """Landing catalogue rows for JSON files not yet catalogued."""
-    shapes = not_yet_done(
-        json_shape(read_payloads(spark, path).filter("payload <> ''")).withColumnRenamed("source_file_path", "file_path"),
-        None if catalogue is None else catalogue.filter("file_type = 'JSON'").select("file_path"),
-        "file_path",
+    """Landing catalogue rows for JSON files not yet catalogued: one per file, and only these are read."""
+    known = None if catalogue is None else catalogue.filter("file_type = 'JSON'").select("file_path")
+    todo = new_files(spark, path, known)
+    whole = read_payloads(spark, todo or path).filter("payload <> ''")
+    lines = line_shapes(spark, todo or path)
+    # A file of a single line is one payload, like any other.
+    single = lines.filter("n = 1").select("source_file_path", F.col("first").alias("payload"), "bytes")
+    many = lines.filter("n > 1 and bad = 0").select(
+        "source_file_path",
+        F.lit(0).alias("nesting_level"),
+        F.coalesce(F.json_object_keys("first"), F.array().cast("array<string>")).alias("schema_keys"),
+        F.col("n").alias("record_count"),
+        F.col("bytes").cast("long").alias("file_size_bytes"),
     )
+    shapes = json_shape(whole.unionByName(single)).unionByName(many).withColumnRenamed("source_file_path", "file_path")
+    if not todo:
+        shapes = shapes.limit(0)
     name = file_name(F.col("file_path"))
     rows = shapes.select(
         name.alias("file_id"),

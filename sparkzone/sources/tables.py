@@ -3,56 +3,56 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from .. import sharedfs
 from ..functions.names import is_dataset_folder
 from ..operators.gates import GateError, require_columns, require_paths
 
-# Rows looked at to infer the types of a CSV, whatever its size.
-INFERENCE_ROWS = 200_000
 
+def read_raw_csv(spark: SparkSession, path: str, encoding: str | None = None, multi_line: bool = False, schema: str | None = None) -> DataFrame:
+    """CSV with header; columns go by each file's own header, and a file may lack some.
 
-def read_raw_csv(spark: SparkSession, path: str, encoding: str | None = None, multi_line: bool = False) -> DataFrame:
-    """CSV with header. Types come from the first rows; a later value that does not fit is an error, never a null.
+    Types are the narrowest that all values of all files have, found in one aggregation over
+    the texts; ``schema`` (``name type, ...``) saves that pass, and a value that does not fit it
+    is an error, never a null. A file read with ``multi_line`` is one task.
 
     Files are listed one by one, so ``year=...`` folders do not become columns.
     """
     files = sharedfs.data_files(spark, path)
     if not files:
         raise GateError(f"no CSV under {path}")
-    options = {"header": True, "encoding": encoding or "UTF-8", "multiLine": multi_line, "mode": "FAILFAST", "escape": '"'}
-    if multi_line:
-        return spark.read.options(**options, inferSchema=True).csv(files)
-    # The header row alone names the columns; types are probed on text columns.
-    names = spark.read.options(**options).csv(files[0]).columns
-    text = spark.read.options(**options).schema(_string_schema(names)).csv(files)
-    return spark.read.options(**options).schema(_probe_types(text)).csv(files)
+    reader = spark.read.options(header=True, encoding=encoding or "UTF-8", multiLine=multi_line, mode="FAILFAST", escape='"')
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in files:  # only the header of each is read
+        by_header.setdefault(tuple(reader.csv(file).columns), []).append(file)
+    texts = [reader.schema(_string_schema(names)).csv(group) for names, group in by_header.items()]
+    text = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), texts)
+    kinds = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(schema)} if schema else _probe_types(text)
+    return text.select(*[F.col(f"`{n}`").cast(kinds.get(n, "string")).alias(n) for n in text.columns])
 
 
 def _string_schema(names: Sequence[str]) -> str:
     return ", ".join(f"`{n}` STRING" for n in names)
 
 
-def _probe_types(text: DataFrame) -> str:
-    """Narrowest type that every probed value of a column has, in one aggregation."""
-    head = text.limit(INFERENCE_ROWS)
+def _probe_types(text: DataFrame) -> dict[str, str]:
+    """Narrowest type that every value of a column has, in one aggregation over all rows."""
     kinds = ("bigint", "double", "boolean", "timestamp")
     quoted = [F.col(f"`{c}`") for c in text.columns]
-    fits = head.agg(
+    fits = text.agg(
         *[
             F.struct(*[F.bool_and(c.try_cast(k).isNotNull() | c.isNull()).alias(k) for k in kinds], F.count(c).alias("n")).alias(f"c{i}")
             for i, c in enumerate(quoted)
         ]
     ).first()
-    ddl = []
-    for i, name in enumerate(text.columns):
-        fit = fits[f"c{i}"]
-        kind = next((k for k in kinds if fit["n"] and fit[k]), "string")
-        ddl.append(f"`{name}` {kind}")
-    return ", ".join(ddl)
+    return {
+        name: next((k for k in kinds if fits[f"c{i}"]["n"] and fits[f"c{i}"][k]), "string")
+        for i, name in enumerate(text.columns)
+    }
 
 
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:

@@ -60,6 +60,30 @@ def test_every_shape_of_file(spark, tmp_path):
     assert sorted(r[0].rsplit("/", 1)[1] for r in parsed.malformed.select("source_file_path").collect()) == ["broken.json", "halfbroken.ndjson", "scalar.json"]
 
 
+def test_files_of_several_lines(spark, tmp_path):
+    path = write(
+        tmp_path,
+        pretty__json=json.dumps(station(1), indent=2),
+        list__json=json.dumps([station(2), station(3)], indent=1),
+        nested__json=json.dumps([[station(4)], [station(5)]], indent=1),
+        inline__json="\n".join(json.dumps(station(i)) for i in (6, 7)),
+        lines__ndjson="\n\n".join(json.dumps(station(i)) for i in (8, 9)) + "\n",
+        single__ndjson=json.dumps([station(10), station(11)]),
+        scalars__ndjson="1\n2\n",
+        scalar__ndjson="1\n",
+        # Good and complete lines beside a broken one: none of them may come through.
+        half__ndjson=json.dumps(station(12)) + "\n" + json.dumps(station(13)) + '\n{"id"',
+        half__json=json.dumps(station(14)) + '\n{"id"',
+        broken__json='{\n"id":\n1\n',
+    )
+    parsed = parse_documents(spark, path)
+    assert parsed.docs.count() == 13
+    out = clean_documents(parsed.docs.filter("record like '%id%'"), "airquality-barcelona", DATE)
+    assert sorted(int(r[0]) for r in out.valid.select(F.col("doc")["id"]).collect()) == list(range(1, 12))
+    bad = [r[0].rsplit("/", 1)[1] for r in parsed.malformed.select("source_file_path").collect()]
+    assert sorted(bad) == ["broken.json", "half.json", "half.ndjson", "scalar.ndjson"]
+
+
 def docs(spark, *records):
     return spark.createDataFrame([("f", json.dumps(r)) for r in records], "source_file_path STRING, record STRING")
 
