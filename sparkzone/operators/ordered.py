@@ -1,11 +1,12 @@
 """Ordered computations that survive a group holding a third of all rows.
 
-A Spark window sends each of its groups to one task. Every function here first
-asks, with one aggregation over the group columns alone, whether any group is
-large. If none is, the plain window is planned. Otherwise large groups are cut
-into chunks along the order at approximate quantiles, and what crosses a chunk
-border (the last rows, or a count) is computed from per-chunk summaries. The
-result is the same either way; quantile error only moves chunk borders.
+A Spark window sends each of its groups to one task. The functions here deal the rows to
+ranges of (group, order, digest) instead, so that any group, and any run of equal or missing
+values within it, is cut as often as its rows ask for; ``ranges``, by default the session's
+shuffle partitions, says how many there are. The ranges are written once, as later steps have to see the same
+cuts. Windows then run within a group's part of a range, and what crosses a border, the last
+rows or a count, comes from the few groups that do. There is one plan for every size and for
+every type that can be ordered.
 """
 
 from __future__ import annotations
@@ -15,102 +16,49 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.keys import fingerprint
+from ..sharedfs import cut_lineage
 from .joins import null_safe_join
 from .rows import top_per_key
 
-# Above this many rows a group is no longer left to one task.
-LARGE_GROUP = 5_000_000
-_QUANTILES = [i / 64 for i in range(1, 64)]
 
+def _ranged(df: DataFrame, ranges: int | None, keys: Sequence[str], *order: Column) -> DataFrame:
+    """Adds ``__chunk``: the number of the row's range, ascending with (keys, order)."""
+    by = [*[F.col(k).asc_nulls_first() for k in keys], *order]
+    ranged = df.repartitionByRange(ranges, *by) if ranges else df.repartitionByRange(*by)
+    return cut_lineage(ranged.withColumn("__chunk", F.spark_partition_id()), "ranges")
 
-def large_groups(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias("__rows")).filter(F.col("__rows") > limit).select(*keys)
 
+def _spanning(work: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Groups that a border cuts: the last one of a range, where the next range begins with it."""
+    group = F.struct(*keys)
+    ends = work.groupBy("__chunk").agg(F.min(group).alias("low"), F.max(group).alias("high"))
+    # One row per range.
+    following = F.lead("low").over(Window.orderBy("__chunk"))
+    return ends.withColumn("next", following).filter(F.col("next").isNotNull() & F.col("high").eqNullSafe(F.col("next"))).select("high.*").distinct()
 
-def has_large_group(df: DataFrame, keys: Sequence[str], limit: int = LARGE_GROUP) -> bool:
-    return not large_groups(df, keys, limit).isEmpty()
 
-
-def _with_bounds(df: DataFrame, keys: Sequence[str], order: str, limit: int) -> DataFrame:
-    """Adds ``__bounds``, the quantile values of a large group; null for other groups."""
-    large = null_safe_join(df.select(*keys, order), large_groups(df, keys, limit), keys, "left_semi")
-    bounds = large.groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx(order, F.array(*[F.lit(q) for q in _QUANTILES]), F.lit(10_000))).alias("__bounds")
-    )
-    return null_safe_join(df, bounds, keys)
-
-
-def _bucket(order: str) -> Column:
-    """Order-preserving bucket of a row: even between two bounds, odd on a bound, -1 without a value.
-
-    A heavy value is itself a bound, so it never shares a bucket with other values.
-    """
-    value, bounds = F.col(order), F.col("__bounds")
-    below = F.size(F.filter(bounds, lambda b: b < value))
-    on_bound = F.array_contains(bounds, value).cast("int")
-    return F.when(bounds.isNull(), 0).when(value.isNull(), -1).otherwise(2 * below + on_bound)
-
-
-# A cheaper frame to count groups on, with its own names for the group columns.
-# Its groups must be at least as large as those of the frame itself.
-Probe = tuple[DataFrame, Sequence[str]]
-
-
-def _is_large(df: DataFrame, keys: Sequence[str], limit: int, probe: Probe | None) -> bool:
-    counted, names = probe or (df, keys)
-    return has_large_group(counted, names, limit)
-
-
-def partition_average(
-    df: DataFrame, keys: Sequence[str], value: str, out: str, large_group: int = LARGE_GROUP, probe: Probe | None = None
-) -> DataFrame:
+def partition_average(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """Average of a value over its group, on every row."""
-    if not _is_large(df, keys, large_group, probe):
-        return df.withColumn(out, F.avg(value).over(Window.partitionBy(*keys)))
     means = df.groupBy(*keys).agg(F.avg(value).alias(out))
     return null_safe_join(df, means, keys)
 
 
 def rolling_average(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    value: str,
-    out: str,
-    rows: int = 5,
-    tie: Column | None = None,
-    large_group: int = LARGE_GROUP,
-    probe: Probe | None = None,
+    df: DataFrame, keys: Sequence[str], order: str, value: str, out: str, rows: int = 5, tie: Column | None = None, ranges: int | None = None
 ) -> DataFrame:
     """Average of the current and the ``rows - 1`` preceding rows of the group.
 
-    Rows with equal ``order`` are ordered by a fingerprint, which ``tie`` may
-    replace; it must be a uniform hex digest.
+    Rows with equal ``order`` are ordered by a fingerprint, which ``tie`` may replace.
     """
     before = rows - 1
     tied = df.withColumn("__tie", fingerprint(*df.columns) if tie is None else tie)
-    if not _is_large(df, keys, large_group, probe):
-        window = Window.partitionBy(*keys).orderBy(order, "__tie").rowsBetween(-before, 0)
-        return tied.withColumn(out, F.avg(value).over(window)).drop("__tie")
-
-    bucket = F.col("__bucket")
-    spread = F.conv(F.substring("__tie", 1, 1), 16, 10).cast("int")
-    # A one-value bucket is ordered by the digest alone and may be cut along it.
-    chunk = bucket * 16 + F.when(bucket % 2 != 0, spread).otherwise(0)
-    work = (
-        _with_bounds(tied, keys, order, large_group)
-        .withColumn("__bucket", _bucket(order))
-        .withColumn("__chunk", chunk)
-        .withColumn("__cut", F.col("__bounds").isNotNull())
-        .drop("__bounds", "__bucket")
-    )
-    backwards = [F.col(order).desc_nulls_last(), F.col("__tie").desc()]
+    work = _ranged(tied, ranges, keys, F.col(order).asc_nulls_first(), F.col("__tie"))
     needed = list(dict.fromkeys([*keys, order, value]))
-    tails = top_per_key(work.filter("__cut").select(*needed, "__tie", "__chunk"), [*keys, "__chunk"], backwards, before, "__r")
-    # A few rows per chunk and a bounded number of chunks per group: small enough for one window.
-    placed = tails.withColumn(
-        "__pos", F.row_number().over(Window.partitionBy(*keys).orderBy("__chunk", F.col("__r").desc()))
-    )
+    cut = null_safe_join(work.select(*needed, "__tie", "__chunk"), _spanning(work, keys), keys, "left_semi")
+    backwards = [F.col(order).desc_nulls_last(), F.col("__tie").desc()]
+    tails = top_per_key(cut, [*keys, "__chunk"], backwards, before, "__r")
+    # A few rows per range of a cut group.
+    placed = tails.withColumn("__pos", F.row_number().over(Window.partitionBy(*keys).orderBy("__chunk", F.col("__r").desc())))
     starts = placed.groupBy(*keys, "__chunk").agg(F.min("__pos").alias("__first"))
     wanted = starts.filter("__first > 1").select(
         *keys,
@@ -119,28 +67,36 @@ def rolling_average(
     )
     carried = null_safe_join(wanted, placed.drop("__chunk", "__r"), [*keys, "__pos"], "inner")
     carried = carried.select(*needed, "__tie", F.col("__into").alias("__chunk"), F.lit(True).alias("__carried"))
-    both = work.drop("__cut").withColumn("__carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
+    both = work.withColumn("__carried", F.lit(False)).unionByName(carried, allowMissingColumns=True)
     window = Window.partitionBy(*keys, "__chunk").orderBy(order, "__tie").rowsBetween(-before, 0)
     averaged = both.withColumn(out, F.avg(value).over(window))
     return averaged.filter(~F.col("__carried")).select(*df.columns, out)
 
 
-def rank_in_group(
-    df: DataFrame, keys: Sequence[str], by: str, out: str, large_group: int = LARGE_GROUP, probe: Probe | None = None
-) -> DataFrame:
+def rank_in_group(df: DataFrame, keys: Sequence[str], by: str, out: str, ranges: int | None = None) -> DataFrame:
     """SQL ``rank()`` by descending value within each group."""
     descending = F.col(by).desc_nulls_last()
-    if not _is_large(df, keys, large_group, probe):
-        return df.withColumn(out, F.rank().over(Window.partitionBy(*keys).orderBy(descending)))
-    work = _with_bounds(df, keys, by, large_group).withColumn("__bucket", _bucket(by)).drop("__bounds")
-    counts = work.groupBy(*keys, "__bucket").agg(F.count("*").alias("__n"))
-    ahead = Window.partitionBy(*keys).orderBy(F.col("__bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "__bucket", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead"))
-    inside = Window.partitionBy(*keys, "__bucket").orderBy(descending)
-    mixed = work.filter("__bucket % 2 = 0").withColumn("__inner", F.rank().over(inside))
-    single = work.filter("__bucket % 2 <> 0").withColumn("__inner", F.lit(1))
-    joined = null_safe_join(mixed.unionByName(single), offsets, [*keys, "__bucket"])
-    return joined.withColumn(out, (F.col("__ahead") + F.col("__inner")).cast("int")).select(*df.columns, out)
+    # The digest splits runs of one value.
+    work = _ranged(df, ranges, keys, descending, F.xxhash64(*df.columns))
+    ranked = work.withColumn("__inner", F.rank().over(Window.partitionBy(*keys, "__chunk").orderBy(descending)))
+    parts = null_safe_join(work.select(*keys, by, "__chunk"), _spanning(work, keys), keys, "left_semi")
+    sums = parts.groupBy(*keys, "__chunk").agg(
+        F.count("*").alias("__n"), F.max(by).alias("__high"), F.min(by).alias("__low"), F.count_if(F.col(by).isNull()).alias("__nulls")
+    )
+    ahead = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = cut_lineage(sums.withColumn("__ahead", F.coalesce(F.sum("__n").over(ahead), F.lit(0))), "ranges-sums")
+    # A value at a border can lie in several ranges; its rank is the one of the first of them.
+    leading = sums.select(*keys, F.col("__high").alias(by), (F.col("__ahead") + 1).alias("__rank"))
+    valued = null_safe_join(parts, sums.select(*keys, "__chunk", "__ahead", "__low", "__nulls"), [*keys, "__chunk"], "inner")
+    last = F.when(F.col("__nulls") == 0, F.col("__low"))
+    counted = valued.groupBy(*keys, "__chunk").agg(
+        F.first(last).alias(by), (F.first("__ahead") + F.count_if(~F.col(by).eqNullSafe(last)) + 1).alias("__rank")
+    )
+    firsts = leading.unionByName(counted.drop("__chunk")).groupBy(*keys, by).agg(F.min("__rank").alias("__rank"))
+    joined = null_safe_join(ranked, sums.select(*keys, "__chunk", "__ahead"), [*keys, "__chunk"])
+    joined = null_safe_join(joined, firsts, [*keys, by])
+    own = F.coalesce("__ahead", F.lit(0)) + F.col("__inner")
+    return joined.withColumn(out, F.least(own, F.coalesce("__rank", own)).cast("int")).select(*df.columns, out)
 
 
 def stratified_split(
@@ -148,20 +104,21 @@ def stratified_split(
 ) -> tuple[DataFrame, DataFrame]:
     """(train, test): exactly ``ceil(test * n)`` rows of each label go to test, repeatably.
 
-    Rows are ordered by a seeded digest. Counts per digest prefix find the one
-    prefix in which a label's quota ends; only that prefix is ranked.
+    Rows are ordered by a seeded digest. Counts per digest prefix find the prefix in which a
+    label's quota ends, and counts below it the longer prefix; of a label's rows about one in
+    16 million are left to rank, and no order is longer than 4,096 prefixes.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    marked = df.withColumn("__digest", digest).withColumn("__prefix", F.substring("__digest", 1, 3))
-    counts = marked.groupBy(label, "__prefix").agg(F.count("*").alias("__n"))
-    running = Window.partitionBy(label).orderBy("__prefix").rowsBetween(Window.unboundedPreceding, 0)
-    totals = counts.withColumn("__upto", F.sum("__n").over(running)).withColumn(
-        "__quota", F.ceil(F.sum("__n").over(Window.partitionBy(label)) * F.lit(test))
-    )
-    cut = totals.filter("__upto >= __quota and __upto - __n < __quota").select(
-        label, "__prefix", (F.col("__quota") - F.col("__upto") + F.col("__n")).alias("__take")
-    )
-    edge = null_safe_join(marked.select(label, "__prefix", "__digest"), cut, [label, "__prefix"], "inner")
+    marked = df.withColumn("__digest", digest)
+    totals = marked.groupBy(label).agg(F.ceil(F.count("*") * F.lit(test)).alias("__take"))
+    edge = null_safe_join(marked.select(label, "__digest"), totals, [label])
+    for digits in (3, 6):
+        edge = edge.withColumn("__prefix", F.substring("__digest", 1, digits))
+        counts = edge.groupBy(label, "__prefix").agg(F.count("*").alias("__n"), F.first("__take").alias("__take"))
+        running = Window.partitionBy(label).orderBy("__prefix").rowsBetween(Window.unboundedPreceding, 0)
+        ends = counts.withColumn("__upto", F.sum("__n").over(running)).filter("__upto >= __take and __upto - __n < __take")
+        cut = ends.select(label, "__prefix", (F.col("__take") - F.col("__upto") + F.col("__n")).alias("__take"))
+        edge = null_safe_join(edge.drop("__take"), cut, [label, "__prefix"], "inner").drop("__prefix")
     ranked = edge.withColumn("__r", F.row_number().over(Window.partitionBy(label).orderBy("__digest")))
     limits = ranked.filter("__r = __take").select(label, F.col("__digest").alias("__last"))
     joined = null_safe_join(marked, limits, [label])

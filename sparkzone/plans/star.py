@@ -12,7 +12,7 @@ from ..functions import features, numbers, text
 from ..functions.keys import surrogate_key
 from ..functions.names import pick_column
 from ..operators.joins import star_join
-from ..operators.ordered import LARGE_GROUP, partition_average, rank_in_group, rolling_average
+from ..operators.ordered import partition_average, rank_in_group, rolling_average
 from ..operators.rows import explode_bridge
 
 
@@ -242,17 +242,14 @@ def mart_climate_country_year(fact: DataFrame, countries: DataFrame, years: Data
 
 
 def mart_temperature_trends(
-    fact: DataFrame, areas: DataFrame, years: DataFrame, periods: DataFrame, large_group: int = LARGE_GROUP, tie: Column | None = None
+    fact: DataFrame, areas: DataFrame, years: DataFrame, periods: DataFrame, tie: Column | None = None, ranges: int | None = None
 ) -> DataFrame:
     joined = star_join(fact, {"area_key": areas, "year_key": years, "period_key": periods})
     extra = [] if tie is None else [tie.alias("__order")]
     trends = joined.select(
         F.col("area_name").alias("area"), "year", F.col("period_name").alias("period"), "period_type", "temperature_change_value", *extra
     )
-    # Areas and periods are counted on the fact alone; keys and names pair off.
-    annual = partition_average(
-        trends, ["area", "year"], "temperature_change_value", "annual_avg_temperature_change", large_group, (fact, ["area_key", "year_key"])
-    )
+    annual = partition_average(trends, ["area", "year"], "temperature_change_value", "annual_avg_temperature_change")
     rolled = rolling_average(
         annual,
         ["area", "period"],
@@ -261,23 +258,28 @@ def mart_temperature_trends(
         "rolling_5y_period_avg",
         rows=5,
         tie=F.col("__order") if extra else None,
-        large_group=large_group,
-        probe=(fact, ["area_key", "period_key"]),
+        ranges=ranges,
     )
     return rolled.drop("__order")
 
 
-def mart_vehicle_emission_summary(fact: DataFrame, vehicles: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
-    joined = star_join(fact, {"vehicle_key": vehicles})
+def mart_vehicle_emission_summary(fact: DataFrame, vehicles: DataFrame) -> DataFrame:
+    """Averages per kind of vehicle, ranked within its class.
+
+    Facts are summed per vehicle key before the join, so one row per vehicle meets its dimension.
+    """
+    measures = ("co2_emissions_g_km", "fuel_consumption_comb_l_100_km", "fuel_consumption_comb_mpg")
+    sums = fact.groupBy("vehicle_key").agg(
+        F.count("*").alias("n"),
+        *[F.sum(m).alias(f"sum_{m}") for m in measures],
+        *[F.count(m).alias(f"count_{m}") for m in measures],
+    )
+    joined = star_join(sums, {"vehicle_key": vehicles})
     summary = joined.groupBy("make", "model", "vehicle_class", "fuel_type").agg(
-        F.count("*").alias("vehicle_record_count"),
-        F.avg("co2_emissions_g_km").alias("avg_co2_emissions_g_km"),
-        F.avg("fuel_consumption_comb_l_100_km").alias("avg_fuel_consumption_comb_l_100_km"),
-        F.avg("fuel_consumption_comb_mpg").alias("avg_fuel_consumption_comb_mpg"),
+        F.sum("n").alias("vehicle_record_count"),
+        *[F.try_divide(F.sum(f"sum_{m}"), F.sum(f"count_{m}")).alias(f"avg_{m}") for m in measures],
     )
-    # A class has at most as many summary rows as vehicles.
-    probe = (vehicles, ["vehicle_class"])
-    return rank_in_group(summary, ["vehicle_class"], "avg_co2_emissions_g_km", "emission_rank_in_class", large_group, probe)
+    return rank_in_group(summary, ["vehicle_class"], "avg_co2_emissions_g_km", "emission_rank_in_class")
 
 
 def mart_disaster_tweet_features(fact: DataFrame) -> DataFrame:

@@ -143,20 +143,20 @@ PERIOD_SQL = "case when contains(months, '-') then 'season' when contains(months
       round(avg(value) over (partition by area, months order by year, {fp("flag_description")} rows between 4 preceding and current row), 6) as rolling_5y_period_avg
     from temps""",
 )
-def temperature_trends(spark, folder, large_group=ordered.LARGE_GROUP):
+def temperature_trends(spark, folder, ranges=None):
     rows_ = cut_lineage(temperatures(spark, folder), "temperatures")
     mart = star.mart_temperature_trends(
         star.fact_temperature_area_period(rows_),
         star.dim_area(rows_),
         star.dim_year(rows_),
         star.dim_time_period(rows_),
-        large_group,
         fingerprint("flag_description"),
+        ranges,
     )
     return _rounded(mart, "annual_avg_temperature_change", "rolling_5y_period_avg")
 
 
-# The same mart planned as if every group were too large for one task.
+# The same mart with its groups cut many times.
 query(
     "temperature_trends_chunked",
     f"""with {TEMPERATURES_SQL}
@@ -164,7 +164,7 @@ query(
       round(avg(value) over (partition by area, year), 6) as annual_avg_temperature_change,
       round(avg(value) over (partition by area, months order by year, {fp("flag_description")} rows between 4 preceding and current row), 6) as rolling_5y_period_avg
     from temps""",
-)(lambda spark, folder: temperature_trends(spark, folder, large_group=10))
+)(lambda spark, folder: temperature_trends(spark, folder, ranges=60))
 
 
 @query("dim_area", f"with {TEMPERATURES_SQL} select distinct {fp('area')} as area_key, area_code_m49, area as area_name from temps")
@@ -266,34 +266,49 @@ def dim_year_union(spark, folder):
     )
 
 
-# --- ordered operators, each also as if its groups were large ----------------------
+# --- ordered operators, each also with its groups cut many times ----------------------
 
 RANK_SQL = """select o_orderkey, o_orderpriority, o_totalprice, cast(rank() over (partition by o_orderpriority order by o_totalprice desc) as int) as price_rank from orders"""
 
 
-def _rank(spark, folder, large_group=ordered.LARGE_GROUP):
+def _rank(spark, folder, ranges=None):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    return ordered.rank_in_group(orders, ["o_orderpriority"], "o_totalprice", "price_rank", large_group)
+    return ordered.rank_in_group(orders, ["o_orderpriority"], "o_totalprice", "price_rank", ranges)
 
 
 query("rank_in_group", RANK_SQL)(_rank)
-query("rank_in_group_chunked", RANK_SQL)(lambda spark, folder: _rank(spark, folder, 100))
+query("rank_in_group_chunked", RANK_SQL)(lambda spark, folder: _rank(spark, folder, 50))
+
+
+
+@query(
+    "rank_text_in_group",
+    """select event_id, kind, word, cast(rank() over (partition by kind order by word desc nulls last) as int) as word_rank
+    from (select event_id, event_type as kind, case when event_type = 'view' then null else props end as word from events)""",
+)
+def rank_text_in_group(spark, folder):
+    """By text, with a group in which every value is missing."""
+    events = table(spark, folder, "events").select(
+        "event_id", F.col("event_type").alias("kind"), F.when(F.col("event_type") != "view", F.col("props")).alias("word")
+    )
+    return ordered.rank_in_group(events, ["kind"], "word", "word_rank", ranges=20)
+
 
 ROLLING_SQL = f"""select l_orderkey, l_linenumber, l_suppkey, l_shipdate, l_quantity, round(avg(l_quantity) over (partition by l_suppkey order by l_shipdate,
   {fp("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")} rows between 4 preceding and current row), 6) as rolling_quantity from lineitem"""
 
 
-def _rolling(spark, folder, large_group=ordered.LARGE_GROUP):
+def _rolling(spark, folder, ranges=None):
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_shipdate").cast("timestamp").alias("l_shipdate"), "l_quantity"
     )
     tie = fingerprint("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    rolled = ordered.rolling_average(lines, ["l_suppkey"], "l_shipdate", "l_quantity", "rolling_quantity", 5, tie, large_group)
+    rolled = ordered.rolling_average(lines, ["l_suppkey"], "l_shipdate", "l_quantity", "rolling_quantity", 5, tie, ranges)
     return _rounded(rolled.drop("l_partkey").withColumn("l_shipdate", F.to_timestamp_ntz(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))), "rolling_quantity")
 
 
 query("rolling_average", ROLLING_SQL)(_rolling)
-query("rolling_average_chunked", ROLLING_SQL)(lambda spark, folder: _rolling(spark, folder, 200))
+query("rolling_average_chunked", ROLLING_SQL)(lambda spark, folder: _rolling(spark, folder, 50))
 
 
 @query(
@@ -302,7 +317,7 @@ query("rolling_average_chunked", ROLLING_SQL)(lambda spark, folder: _rolling(spa
 )
 def partition_average(spark, folder):
     events = table(spark, folder, "events").select("event_id", "event_type", "value")
-    return _rounded(ordered.partition_average(events, ["event_type"], "value", "type_average", large_group=1000), "type_average")
+    return _rounded(ordered.partition_average(events, ["event_type"], "value", "type_average"), "type_average")
 
 
 # --- cleaning steps ---------------------------------------------------------------
@@ -418,7 +433,7 @@ def clean_strings(spark, folder):
 
 @query(
     "null_tokens",
-    f"""with t as (select event_id, case event_type when 'error' then ' N/A' when 'click' then 'None ' when 'view' then '--' when 'signup' then 'C' else 'degrees  c' end as u from events)
+    f"""with t as (select event_id, case event_type when 'error' then ' N/A' when 'view' then 'None ' when 'view' then '--' when 'signup' then 'C' else 'degrees  c' end as u from events)
     select event_id, {clean('u')} as token, case when lower({tidy('u')}) in ('', '-', '--', 'n/a', 'na', 'nan', 'none', 'null') then null
     when lower({tidy('u')}) in ('c', 'celsius', 'degree c', 'degrees c') then '°C' else {tidy('u')} end as unit from t""",
 )

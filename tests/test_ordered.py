@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from sparkzone.functions.keys import fingerprint
-from sparkzone.operators.ordered import has_large_group, partition_average, rank_in_group, rolling_average, stratified_split
+from sparkzone.operators.ordered import _ranged, partition_average, rank_in_group, rolling_average, stratified_split
 
 
 @pytest.fixture(scope="module")
@@ -29,24 +29,34 @@ def as_set(df):
 def test_rolling_average_in_chunks_equals_the_window(skewed, rows):
     window = Window.partitionBy("grp").orderBy("year", fingerprint("id")).rowsBetween(-(rows - 1), 0)
     expected = skewed.withColumn("r", F.round(F.avg("v").over(window), 9))
-    chunked = rolling_average(skewed, ["grp"], "year", "v", "r", rows, fingerprint("id"), large_group=50)
+    chunked = rolling_average(skewed, ["grp"], "year", "v", "r", rows, fingerprint("id"), ranges=40)
     assert as_set(chunked.withColumn("r", F.round("r", 9))) == as_set(expected)
 
 
 def test_rank_in_chunks_equals_the_window(skewed):
     expected = skewed.withColumn("k", F.rank().over(Window.partitionBy("grp").orderBy(F.col("v").desc_nulls_last())))
-    assert as_set(rank_in_group(skewed, ["grp"], "v", "k", large_group=50)) == as_set(expected)
+    assert as_set(rank_in_group(skewed, ["grp"], "v", "k", ranges=40)) == as_set(expected)
     assert as_set(rank_in_group(skewed, ["grp"], "v", "k")) == as_set(expected)
 
 
+@pytest.mark.parametrize("column", ["CAST(v AS STRING)", "CAST(NULL AS STRING)", "IF(grp = 'hot', NULL, year)", "1"])
+def test_rank_of_any_type_and_of_missing_values(skewed, column):
+    df = skewed.withColumn("x", F.expr(column))
+    expected = df.withColumn("k", F.rank().over(Window.partitionBy("grp").orderBy(F.col("x").desc_nulls_last())))
+    assert as_set(rank_in_group(df, ["grp"], "x", "k", ranges=40)) == as_set(expected)
+
+
 def test_partition_average_joins_null_groups(skewed):
-    plain, joined = partition_average(skewed, ["grp"], "v", "m"), partition_average(skewed, ["grp"], "v", "m", large_group=1)
-    rounded = lambda df: as_set(df.withColumn("m", F.round("m", 9)))
-    assert rounded(plain) == rounded(joined)
+    window = skewed.withColumn("m", F.round(F.avg("v").over(Window.partitionBy("grp")), 9))
+    assert as_set(partition_average(skewed, ["grp"], "v", "m").withColumn("m", F.round("m", 9))) == as_set(window)
 
 
-def test_large_groups(skewed):
-    assert has_large_group(skewed, ["grp"], 1000) and not has_large_group(skewed, ["grp"], 3000)
+def test_a_hot_group_and_value_are_cut(spark):
+    # A third of the rows in one group, all with one order value: no range holds many of them.
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g"), F.lit(1).alias("o"), "id")
+    work = _ranged(df, 30, ["g"], F.col("o").asc_nulls_first(), F.md5(F.col("id").cast("string")))
+    largest = work.filter("g = 'hot'").groupBy("__chunk").count().agg(F.max("count")).first()[0]
+    assert largest <= 2 * 30_000 / 30
 
 
 def test_split_is_exact_and_repeatable(spark, skewed):
