@@ -21,6 +21,9 @@ from .rows import keep_first
 MAX_SENT_QUERIES = 4096
 TILE_QUERIES = 1024
 TILE_VECTORS = 8192
+# Scores held at once, and what the names of carried fields begin with.
+SCORES_AT_ONCE = 1 << 21
+FIELD = "field_"
 
 # Fields of a vector collection.
 COLLECTION_FIELDS = (
@@ -95,7 +98,7 @@ def _encode_batch(rows: pd.DataFrame, read: Reader, encoder: Encoder, dimension:
         try:
             loaded.append((row, read(row.image_path)))
         except Exception as error:  # noqa: BLE001
-            out.append((row.id, row.image_path, row.label, "FAILED_IMAGE_READ", str(error)[:2048], 0, None))
+            out.append((row.id, row.image_path, row.label, "FAILED_IMAGE_READ", str(error), 0, None))
     if not loaded:
         return out
     try:
@@ -103,7 +106,7 @@ def _encode_batch(rows: pd.DataFrame, read: Reader, encoder: Encoder, dimension:
         vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-12)
         done = [(r.id, r.image_path, r.label, "SUCCESS", "", dimension, v) for (r, _), v in zip(loaded, vectors, strict=True)]
     except Exception as error:  # noqa: BLE001
-        done = [(r.id, r.image_path, r.label, "FAILED_EMBEDDING", str(error)[:2048], 0, None) for r, _ in loaded]
+        done = [(r.id, r.image_path, r.label, "FAILED_EMBEDDING", str(error), 0, None) for r, _ in loaded]
     return out + done
 
 
@@ -182,36 +185,55 @@ def _unit(matrix) -> np.ndarray:
 
 
 class _Best:
-    """The k best (score, id) per query seen so far; ties go to the smaller id."""
+    """The k best hits per query seen so far; ties go to the smaller id. A hit keeps its output fields."""
 
     def __init__(self, queries: int, k: int):
         self.k = k
         self.scores = [np.empty(0) for _ in range(queries)]
         self.ids = [np.empty(0, dtype=object) for _ in range(queries)]
+        self.fields = [np.empty(0, dtype=object) for _ in range(queries)]
 
-    def offer(self, query: int, scores: np.ndarray, ids: np.ndarray) -> None:
+    def offer(self, query: int, scores: np.ndarray, frame: pd.DataFrame) -> None:
         if len(self.scores[query]) >= self.k:
-            hopeful = scores >= self.scores[query][-1]
-            scores, ids = scores[hopeful], ids[hopeful]
-            if not len(scores):
-                return
+            at = np.flatnonzero(scores >= self.scores[query][-1])
         elif len(scores) > 4 * self.k:
             # Keep every row tied with the k-th score, so the tie rule sees them all.
-            floor = np.partition(scores, len(scores) - self.k)[len(scores) - self.k]
-            scores, ids = scores[scores >= floor], ids[scores >= floor]
-        s, i = np.concatenate([self.scores[query], scores]), np.concatenate([self.ids[query], ids])
+            at = np.flatnonzero(scores >= np.partition(scores, len(scores) - self.k)[len(scores) - self.k])
+        else:
+            at = np.arange(len(scores))
+        if not len(at):
+            return
+        hits = frame.iloc[at]
+        fields = np.empty(len(at), dtype=object)
+        carried = [hits[c] for c in frame.columns if c.startswith(FIELD)]
+        for n, values in enumerate(zip(*carried) if carried else [()] * len(at)):
+            fields[n] = values
+        s, i = np.concatenate([self.scores[query], scores[at]]), np.concatenate([self.ids[query], hits["id"].to_numpy(dtype=object)])
+        f = np.concatenate([self.fields[query], fields])
         keep = np.lexsort((i, -s))[: self.k]
-        self.scores[query], self.ids[query] = s[keep], i[keep]
+        self.scores[query], self.ids[query], self.fields[query] = s[keep], i[keep], f[keep]
 
-    def frame(self, query_ids: Sequence, id_dtype) -> pd.DataFrame:
+    def frame(self, query_ids: Sequence, output: Sequence[str]) -> pd.DataFrame:
         lengths = [len(s) for s in self.scores]
-        return pd.DataFrame(
-            {
-                "query_id": np.repeat(np.asarray(query_ids, dtype=object), lengths),
-                "id": np.concatenate(self.ids) if self.ids else np.empty(0, dtype=object),
-                "score": np.concatenate(self.scores) if self.scores else np.empty(0),
-            }
+        joined = lambda parts: np.concatenate(parts) if parts else np.empty(0, dtype=object)
+        found = pd.DataFrame(
+            {"query_id": np.repeat(np.asarray(query_ids, dtype=object), lengths), "id": joined(self.ids), "score": joined(self.scores).astype(float)}
         )
+        fields = joined(self.fields)
+        for n, name in enumerate(output):
+            found[name] = pd.Series([f[n] for f in fields], dtype=object)
+        return found
+
+    def score_all(self, wanted: np.ndarray, matrix: np.ndarray, frame: pd.DataFrame) -> None:
+        """Offer a frame of vectors to some queries, in blocks that bound the scores held at once."""
+        if not len(frame) or not len(wanted):
+            return
+        unit = _unit(frame["v"].to_numpy()).T
+        step = max(1, SCORES_AT_ONCE // len(frame))
+        for at in range(0, len(wanted), step):
+            some = wanted[at : at + step]
+            for query, scores in zip(some, matrix[some] @ unit):
+                self.offer(query, scores, frame)
 
 
 def _final_top(partial: DataFrame, k: int) -> DataFrame:
@@ -220,62 +242,51 @@ def _final_top(partial: DataFrame, k: int) -> DataFrame:
     return partial.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
 
 
-def _result_schema(queries: DataFrame, vectors: DataFrame, query_id: str, id: str) -> str:
+def _result_schema(queries: DataFrame, vectors: DataFrame, query_id: str, id: str, output: Sequence[str]) -> str:
     kind = lambda df, c: df.schema[c].dataType.simpleString()
-    return f"query_id {kind(queries, query_id)}, id {kind(vectors, id)}, score DOUBLE"
+    fields = "".join(f", `{c}` {kind(vectors, c)}" for c in output)
+    return f"query_id {kind(queries, query_id)}, id {kind(vectors, id)}, score DOUBLE{fields}"
 
 
-def _scan_top_k(vectors: DataFrame, query_ids: list, matrix: np.ndarray, k: int, schema: str, id: str, vector: str, probes=None) -> DataFrame:
-    """One pass over the vectors with a bounded set of queries in each task.
+def _candidates(vectors: DataFrame, id: str, vector: str, output: Sequence[str], *more: str | Column) -> DataFrame:
+    """What a search reads of the vectors; output fields go by place."""
+    return vectors.select(F.col(id).alias("id"), F.col(vector).alias("v"), *[F.col(c).alias(f"{FIELD}{n}") for n, c in enumerate(output)], *more)
 
-    ``probes`` maps a cell to the positions of the queries that look into it.
-    """
+
+def _scan_top_k(candidates: DataFrame, query_ids: list, matrix: np.ndarray, k: int, schema: str, output: Sequence[str]) -> DataFrame:
+    """One pass over the vectors with a bounded set of queries in each task."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = _Best(len(query_ids), k)
         for frame in frames:
-            if probes is None:
-                parts = [(frame, range(len(query_ids)))]
-            else:
-                parts = [(part, probes.get(cell, ())) for cell, part in frame.groupby("cell", sort=False)]
-            for part, wanted in parts:
-                wanted = np.asarray(list(wanted), dtype=int)
-                if not len(part) or not len(wanted):
-                    continue
-                scores = matrix[wanted] @ _unit(part["v"].to_numpy()).T
-                ids = part["id"].to_numpy(dtype=object)
-                for row, query in enumerate(wanted):
-                    best.offer(query, scores[row], ids)
-        yield best.frame(query_ids, None)
-
-    columns = [F.col(id).alias("id"), F.col(vector).alias("v")] + (["cell"] if probes is not None else [])
-    return vectors.select(*columns).mapInPandas(run, schema)
-
-
-def _tiled_top_k(queries: DataFrame, vectors: DataFrame, k: int, schema: str, query_id: str, id: str, vector: str, n_queries: int) -> DataFrame:
-    """Exact search for any number of queries: bounded tiles of queries meet bounded tiles of vectors.
-
-    Tiles are cut by a hash of the id, so no tile depends on how values are
-    distributed. Only the k best per query leave a pair of tiles.
+            best.score_all(np.arange(len(query_ids)), matrix, frame)
+        yield best.frame(query_ids, output)
+
+    return candidates.mapInPandas(run, schema)
+
+
+def _tiled_top_k(probes: DataFrame, candidates: DataFrame, k: int, schema: str, output: Sequence[str]) -> DataFrame:
+    """Queries (query_id, q, cell) meet the vectors of their cells, both in tiles of bounded size.
+
+    Tiles are cut by a hash of the id, so neither a hot cell nor a popular one makes a large
+    task. Only the k best per query leave a pair of tiles.
     """
-    n_vectors = vectors.count()
-    q_tiles, v_tiles = -(-n_queries // TILE_QUERIES), max(1, -(-n_vectors // TILE_VECTORS))
-    tile = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = queries.select(
-        F.col(query_id).alias("query_id"), F.col(vector).alias("q"), tile(query_id, q_tiles).alias("qt"), every(v_tiles).alias("vt")
-    )
-    right = vectors.select(F.col(id).alias("id"), F.col(vector).alias("v"), tile(id, v_tiles).alias("vt"), every(q_tiles).alias("qt"))
+    spread_of = lambda df, size, name: df.groupBy("cell").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
+    tiles = spread_of(probes, TILE_QUERIES, "q_tiles").join(spread_of(candidates, TILE_VECTORS, "v_tiles"), "cell")
+    tile = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = probes.join(tiles, "cell").select("query_id", "q", "cell", tile("query_id", "q_tiles").alias("qt"), every("v_tiles").alias("vt"))
+    fields = [c for c in candidates.columns if c != "cell"]
+    right = candidates.join(tiles, "cell").select(*fields, "cell", tile("id", "v_tiles").alias("vt"), every("q_tiles").alias("qt"))
 
     def meet(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         best = _Best(len(q), k)
-        if len(q) and len(v):
-            scores, ids = _unit(q["q"].to_numpy()) @ _unit(v["v"].to_numpy()).T, v["id"].to_numpy(dtype=object)
-            for row in range(len(q)):
-                best.offer(row, scores[row], ids)
-        return best.frame(q["query_id"].tolist(), None)
+        if len(q):
+            best.score_all(np.arange(len(q)), _unit(q["q"].to_numpy()), v)
+        return best.frame(q["query_id"].tolist(), output)
 
-    return left.groupBy("qt", "vt").cogroup(right.groupBy("qt", "vt")).applyInPandas(meet, schema)
+    by = ("cell", "qt", "vt")
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(meet, schema)
 
 
 def _bounded_rows(df: DataFrame, bound: int) -> list | None:
@@ -294,21 +305,20 @@ def top_k(
     output: Sequence[str] = (),
     max_sent: int = MAX_SENT_QUERIES,
 ) -> DataFrame:
-    """Exact cosine top k per query: query_id, id, score, rank and the ``output`` fields of each hit."""
-    schema = _result_schema(queries, vectors, query_id, id)
+    """Exact cosine top k per query: query_id, id, score, rank and the ``output`` fields of each hit.
+
+    A vector stored twice can be hit twice. Up to ``max_sent`` queries travel to the vectors;
+    more meet them in tiles, with the same result. ``top_k_cells`` prunes.
+    """
+    schema = _result_schema(queries, vectors, query_id, id, output)
     few = _bounded_rows(queries.select(query_id, vector), max_sent)
     if few is None:
-        partial = _tiled_top_k(queries, vectors, k, schema, query_id, id, vector, queries.count())
+        probes = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("q"), F.lit(0).alias("cell"))
+        partial = _tiled_top_k(probes, _candidates(vectors, id, vector, output, F.lit(0).alias("cell")), k, schema, output)
     else:
         matrix = _unit([r[1] for r in few]) if few else np.empty((0, 0))
-        partial = _scan_top_k(vectors, [r[0] for r in few], matrix, k, schema, id, vector)
-    return _with_output(_final_top(partial, k), vectors, id, output)
-
-
-def _with_output(hits: DataFrame, vectors: DataFrame, id: str, output: Sequence[str]) -> DataFrame:
-    if not output:
-        return hits
-    return hits.join(vectors.select(F.col(id).alias("id"), *output), "id")
+        partial = _scan_top_k(_candidates(vectors, id, vector, output), [r[0] for r in few], matrix, k, schema, output)
+    return _final_top(partial, k)
 
 
 def build_cells(vectors: DataFrame, nlist: int = 128, vector: str = "embeddings", seed: int = 2026) -> tuple[DataFrame, DataFrame]:
@@ -337,42 +347,45 @@ def top_k_cells(
     query_id: str = "query_id",
     id: str = "id",
     vector: str = "embeddings",
-    max_sent: int = MAX_SENT_QUERIES,
+    output: Sequence[str] = (),
 ) -> DataFrame:
-    """Cosine top k that reads only some cells.
+    """Cosine top k that reads only some cells, for any number of queries.
 
     With ``nprobe`` the nearest cells are read and the result is approximate.
     Without it the result is exact: the nearest cell gives a score to beat, and
     a cell is read only if its centre and radius leave room for a better one.
     Store the vectors partitioned by cell and the others are not even opened.
     """
-    schema = _result_schema(queries, cell_vectors, query_id, id)
-    few = _bounded_rows(queries.select(query_id, vector), max_sent)
-    if few is None:
-        # Too many queries to plan probes for on the driver; the tiled search is exact for any number.
-        return top_k(queries, cell_vectors, k, query_id, id, vector, max_sent=max_sent)
+    schema = _result_schema(queries, cell_vectors, query_id, id, output)
+    # As many rows as there are cells, a parameter of the index.
     centres = cells.orderBy("cell").collect()
-    query_ids, matrix = [r[0] for r in few], _unit([r[1] for r in few])
-    similarity = matrix @ _unit([c["centre"] for c in centres]).T
-    numbers = [c["cell"] for c in centres]
+    numbers, middle = np.array([c["cell"] for c in centres]), _unit([c["centre"] for c in centres]).T
+    radius = np.array([c["radius"] for c in centres])
+    kind = queries.schema[query_id].dataType.simpleString()
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).cast("array<double>").alias("q"))
 
-    def probe(chosen: np.ndarray) -> dict[int, list[int]]:
-        return {numbers[c]: np.flatnonzero(chosen[:, c]).tolist() for c in range(len(numbers)) if chosen[:, c].any()}
+    def probe(wanted: DataFrame, choose) -> DataFrame:
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                if len(frame):
+                    row, cell = np.nonzero(choose(_unit(frame["q"].to_numpy()) @ middle, frame))
+                    yield pd.DataFrame({"query_id": frame["query_id"].to_numpy()[row], "q": frame["q"].to_numpy()[row], "cell": numbers[cell]})
 
-    def scan(plan: dict[int, list[int]]) -> DataFrame:
-        picked = cell_vectors.filter(F.col("cell").isin(*plan))
-        return _final_top(_scan_top_k(picked, query_ids, matrix, k, schema, id, vector, plan), k)
+        return wanted.mapInPandas(run, f"query_id {kind}, q ARRAY<DOUBLE>, cell INT")
 
-    ranks = np.argsort(np.argsort(-similarity, axis=1), axis=1)
+    nearest = lambda n: lambda similarity, _: np.argsort(np.argsort(-similarity, axis=1), axis=1) < n
+    found = lambda probes, fields: _final_top(
+        _tiled_top_k(probes, _candidates(cell_vectors, id, vector, fields, "cell"), k, schema if fields == output else plain, fields), k
+    )
+    plain = _result_schema(queries, cell_vectors, query_id, id, ())
     if nprobe is not None:
-        return scan(probe(ranks < nprobe))
-    # At most k rows per query come back: the k-th is the score to beat.
-    first = {q: [] for q in query_ids}
-    for row in scan(probe(ranks < 1)).collect():
-        first[row["query_id"]].append(row["score"])
-    beat = np.array([min(first[q]) if len(first[q]) >= k else -1.0 for q in query_ids])
-    angle = np.arccos(np.clip(similarity, -1, 1))
-    radius = np.array([c["radius"] for c in centres])
-    reachable = np.cos(np.maximum(angle - radius[None, :], 0.0))
-    # The margin covers the float32 rounding of stored unit vectors.
-    return scan(probe((reachable >= beat[:, None] - 1e-5) | (ranks < 1)))
+        return found(probe(asked, nearest(nprobe)), output)
+    # The k-th score of the nearest cell is the one to beat.
+    first = found(probe(asked, nearest(1)), ()).filter(F.col("rank") == k).select("query_id", F.col("score").alias("beat"))
+
+    def reachable(similarity: np.ndarray, frame: pd.DataFrame) -> np.ndarray:
+        best = np.cos(np.maximum(np.arccos(np.clip(similarity, -1, 1)) - radius[None, :], 0.0))
+        # The margin covers the float32 rounding of stored unit vectors.
+        return (best >= frame["beat"].fillna(-1.0).to_numpy()[:, None] - 1e-5) | nearest(1)(similarity, frame)
+
+    return found(probe(asked.join(first, "query_id", "left"), reachable), output)

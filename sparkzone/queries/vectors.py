@@ -13,7 +13,12 @@ from .registry import DATE, query, table
 
 def collection(spark: SparkSession, folder: str) -> DataFrame:
     e = table(spark, folder, "embeddings")
-    return e.select(F.col("vec_id").alias("id"), F.col("embedding").alias("embeddings"), F.col("label").cast("string").alias("label"))
+    return e.select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("embeddings"), F.col("label").cast("string").alias("label"),
+        F.concat(F.lit("images/"), F.col("vec_id").cast("string")).alias("image_path"), F.lit("embeddings").alias("source_assets"),
+        F.lit("2026-05-24T10:00:00+00:00").alias("created_at"), F.lit("exploitation_v1").alias("schema_version"),
+        F.lit("stand-in").alias("embedding_model"), F.size("embedding").cast("long").alias("embedding_dimension"),
+    )
 
 
 def label_queries(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,9 +35,14 @@ r as (select *, cast(row_number() over (partition by query_id order by score des
 """
 
 
-@query("vector_topk", TOP_SQL + "select query_id, id, round(score, 6) as score, rank, label from r where rank <= 5")
+@query(
+    "vector_topk",
+    TOP_SQL
+    + """select query_id, id, round(score, 6) as score, rank, label, 'images/' || id as image_path, 'embeddings' as source_assets, '2026-05-24T10:00:00+00:00' as created_at,
+    'exploitation_v1' as schema_version, 'stand-in' as embedding_model, cast(64 as bigint) as embedding_dimension from r where rank <= 5""",
+)
 def vector_topk(spark, folder):
-    hits = vec.top_k(label_queries(spark, folder), collection(spark, folder), 5, output=["label"])
+    hits = vec.top_k(label_queries(spark, folder), collection(spark, folder), 5, output=vec.HIT_FIELDS)
     return hits.withColumn("score", F.round("score", 6))
 
 
@@ -50,6 +60,26 @@ def vector_cells_exact(spark, folder):
     return hits.withColumn("score", F.round("score", 6))
 
 
+@query(
+    "vector_cells_many_queries",
+    """with u as (select vec_id, label, [cast(x as double) for x in embedding] as v from embeddings),
+    s as (select a.vec_id as query_id, b.vec_id as id, list_cosine_similarity(a.v, b.v) as score from u a, u b where a.vec_id % 50 = 0)
+    select query_id, id, round(score, 5) as score, cast(row_number() over (partition by query_id order by score desc, id) as int) as rank from s qualify rank <= 3""",
+)
+def vector_cells_many_queries(spark, folder):
+    """Every fiftieth vector against all of them, all cells probed."""
+    vectors = collection(spark, folder)
+    stored, cells = vec.build_cells(vectors, nlist=16)
+    asked = vectors.filter("id % 50 = 0").select(F.col("id").alias("query_id"), "embeddings")
+    return vec.top_k_cells(asked, stored, cells, 3, nprobe=16).withColumn("score", F.round("score", 5))
+
+
+@query("vector_cells_full_probe", "select 16 as nprobe, cast(1.0 as double) as recall")
+def vector_cells_full_probe(spark, folder):
+    """With every cell probed nothing may be missed."""
+    return vector_cells_recall(spark, folder).filter("nprobe = 16")
+
+
 @query("vector_cells_recall")
 def vector_cells_recall(spark, folder):
     """Share of the exact hits found per number of cells probed; depends on the clustering, so SQL cannot state it."""

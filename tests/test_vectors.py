@@ -46,7 +46,7 @@ def test_exact_search_by_every_route(data):
     stored, cells = vec.build_cells(vectors, nlist=6)
     assert stored.count() == 300
     assert found(vec.top_k_cells(queries, stored, cells, 4)) == expected
-    assert found(vec.top_k_cells(queries, stored, cells, 4, max_sent=3)) == expected
+    assert found(vec.top_k_cells(queries, stored, cells, 4, nprobe=6)) == expected
 
 
 def test_more_probes_never_lose_hits(data):
@@ -66,6 +66,14 @@ def test_hits_carry_fields(data):
     assert hits.filter(F.col("label") != F.concat(F.lit("l"), (F.col("id") % 3).cast("string"))).count() == 0
 
 
+@pytest.mark.parametrize("max_sent", [2, 100])
+def test_an_id_stored_twice_gives_k_hits(spark, max_sent):
+    v = spark.createDataFrame([(1, [1.0, 0.0], "a"), (1, [1.0, 0.1], "b"), (2, [0.0, 1.0], "c")], "id INT, embeddings ARRAY<FLOAT>, label STRING")
+    q = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(3)], "query_id INT, embeddings ARRAY<DOUBLE>")
+    hits = vec.top_k(q, v, 2, output=["label"], max_sent=max_sent)
+    assert rows(hits.select("query_id", "rank", "id", "label"), "query_id", "rank") == [(i, r, 1, x) for i in range(3) for r, x in ((1, "a"), (2, "b"))]
+
+
 def test_upsert_keeps_the_newest(spark):
     old = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "id INT, v STRING, at INT")
     new = spark.createDataFrame([(2, "c", 2), (3, "d", 2)], "id INT, v STRING, at INT")
