@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.keys import file_key
 from ..functions.labels import ASSET_VERSION, asset_columns
 from ..functions.names import pick_column
 from .. import logicaldate
+from ..sharedfs import cut_lineage
 from .joins import not_yet_done
 from .rows import keep_first
 
@@ -78,7 +80,8 @@ def encode(work: DataFrame, read: Reader, encoder: Encoder, dimension: int, batc
     """Embeds images on the executors; every row comes back with a status.
 
     An unreadable image fails alone; a failing batch fails its own rows only.
-    ``encoder`` is called with at most ``batch`` images.
+    ``encoder`` is called with at most ``batch`` images. The outcome is written once, so that
+    statuses and collection come from the same run of the encoder.
     """
     schema = "id STRING, image_path STRING, label STRING, status STRING, error_msg STRING, vector_dim INT, embeddings ARRAY<FLOAT>"
 
@@ -89,7 +92,7 @@ def encode(work: DataFrame, read: Reader, encoder: Encoder, dimension: int, batc
                 out.extend(_encode_batch(frame.iloc[start : start + batch], read, encoder, dimension))
             yield pd.DataFrame(out, columns=["id", "image_path", "label", "status", "error_msg", "vector_dim", "embeddings"])
 
-    return work.select("id", "image_path", "label").mapInPandas(run, schema)
+    return cut_lineage(work.select("id", "image_path", "label").mapInPandas(run, schema), "encoded")
 
 
 def _encode_batch(rows: pd.DataFrame, read: Reader, encoder: Encoder, dimension: int) -> list[tuple]:
@@ -176,6 +179,70 @@ def vector_quality(collection: DataFrame | None, status: DataFrame, name: str, d
     return run.select(F.explode(checks).alias("c")).select("c.*").withColumns(stamped)
 
 
+# What the catalogue and the lineage say about the two image assets.
+IMAGE_DOMAIN = "image_search"
+IMAGE_ASSETS = {
+    # kind: (asset type, zone before, transformation, use)
+    "collection": ("embedding", "trusted-zone", "image_vectorization.clip_embedding", "image similarity search"),
+    "status": ("metric", "exploitation-zone", "image_vectorization.status_catalogue", "embedding audit and retry monitoring"),
+}
+STATUS_ASSET = "image_embedding_status"
+
+
+@dataclass(frozen=True)
+class ImageAssets:
+    """A vector collection and the statuses of the runs that filled it."""
+
+    collection: str
+    source: str
+    status_location: str
+    model: str
+    dimension: int
+    storage: str = "parquet"
+
+    def rows(self) -> list[tuple]:
+        """(kind, asset, location, made from) of both."""
+        return [("collection", self.collection, self.collection, self.source), ("status", STATUS_ASSET, self.status_location, self.collection)]
+
+
+def image_asset_catalogue(assets: ImageAssets, collection: DataFrame, status: DataFrame, checks: DataFrame, date) -> DataFrame:
+    """Catalogue rows of both assets, with the model; one check that fails makes both WARN."""
+    spark = collection.sparkSession
+    counts = collection.agg(F.lit("collection").alias("kind"), F.count("*").alias("record_count")).unionAll(
+        status.agg(F.lit("status").alias("kind"), F.count("*").alias("record_count"))
+    )
+    worst = checks.agg(F.when(F.coalesce(F.bool_and(F.col("status") == "PASS"), F.lit(True)), "PASS").otherwise("WARN").alias("quality_status"))
+    said = [(kind, name, place, made, *[IMAGE_ASSETS[kind][i] for i in (0, 1, 3)]) for kind, name, place, made in assets.rows()]
+    named = spark.createDataFrame(said, "kind STRING, asset_name STRING, location STRING, source_assets STRING, asset_type STRING, source_system STRING, downstream_usage STRING")
+    # Two rows, two counts and one status.
+    return named.join(counts, "kind").join(worst, F.lit(True)).select(
+        "asset_name",
+        F.lit(IMAGE_DOMAIN).alias("domain"),
+        "asset_type",
+        F.lit(assets.storage).alias("storage_system"),
+        "location",
+        "source_system",
+        "source_assets",
+        "downstream_usage",
+        F.lit("analytics").alias("owner"),
+        "quality_status",
+        "record_count",
+        F.lit(logicaldate.iso(date)).alias("created_at"),
+        F.lit(ASSET_VERSION).alias("schema_version"),
+        F.lit(assets.model).alias("embedding_model"),
+        F.lit(assets.dimension).cast("long").alias("embedding_dimension"),
+    )
+
+
+def image_asset_lineage(spark: SparkSession, assets: ImageAssets, date) -> DataFrame:
+    stamp = logicaldate.iso(date)
+    rows = [(name, IMAGE_ASSETS[kind][1], made, IMAGE_ASSETS[kind][2], IMAGE_ASSETS[kind][3], stamp, ASSET_VERSION) for kind, name, _, made in assets.rows()]
+    return spark.createDataFrame(
+        rows,
+        "asset_name STRING, upstream_zone STRING, upstream_assets STRING, transformation_name STRING, downstream_usage STRING, created_at STRING, schema_version STRING",
+    )
+
+
 # --- search ----------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ from ..functions.names import topic_table
 from ..operators.gates import require_not_empty
 from ..operators.rows import computed_once
 from ..sources.documents import flatten_snapshots
-from ..sources.tables import append, replace_partitions
+from ..sources.tables import overwrite, replace_partitions
 
 # Fields a document must carry, and topics that hold station snapshots.
 REQUIRED_FIELDS = {
@@ -29,6 +29,7 @@ FLAT_FIELDS = ("id", "name", "code")
 class CleanedDocuments:
     valid: DataFrame
     rejected: DataFrame
+    day: str
 
 
 def clean_key(c: Column) -> Column:
@@ -127,13 +128,13 @@ def clean_documents(docs: DataFrame, topic: str, date, required: Sequence[str] |
         F.to_json("doc", {"ignoreNullFields": "false"}).alias("raw_record"),
         *[c.alias(n) for n, c in governance_columns("kafka", stamp, path, "rejected", f"{table}_v1").items()],
     )
-    return CleanedDocuments(valid, rejected)
+    return CleanedDocuments(valid, rejected, logicaldate.compact_day(date))
 
 
 def write_documents(cleaned: CleanedDocuments, topic: str, root: str) -> None:
-    """Replace the day's partition and append what was rejected."""
+    """Replace the day's partition of the documents and of what was rejected; a rerun leaves the same tables."""
     table = topic_table(topic)
     require_not_empty(cleaned.valid, table)
-    if not cleaned.rejected.isEmpty():
-        append(cleaned.rejected, f"{root}/{table}_rejected")
+    # A rerun without rejects has to clear those of the run before, so the day's folder is replaced as a whole.
+    overwrite(cleaned.rejected, f"{root}/{table}_rejected/rejected_day={cleaned.day}")
     replace_partitions(cleaned.valid, f"{root}/{table}", "trusted_partition_date")

@@ -12,6 +12,7 @@ from .. import logicaldate
 from ..functions.labels import governance_columns, policy_columns
 from ..functions.text import allowed_image
 from ..operators.rows import keep_first, later_copies
+from ..sharedfs import cut_lineage
 
 METADATA = (
     "label STRING, url STRING, file_size_bytes BIGINT, content_type STRING, width INT, height INT, "
@@ -97,7 +98,8 @@ def standardize_images(work: DataFrame, trusted_root: str, copy: Codec, transfor
     """Copy images already in standard form and transform the others, on the executors.
 
     Which of the two applies is decided by column expressions; Python only moves
-    bytes. A failing image fails its row, not its batch.
+    bytes. A failing image fails its row, not its batch. The outcome is written once, so that
+    whatever is derived from it sees the same one and no image is handled again.
     """
     extension = F.lower(F.regexp_extract("file_path", r"\.([^./]*)$", 1))
     standard = (F.col("width") == size) & (F.col("height") == size) & (F.col("image_mode") == "RGB") & (extension == "png")
@@ -119,7 +121,7 @@ def standardize_images(work: DataFrame, trusted_root: str, copy: Codec, transfor
                     rows.append((row.id, None, f"FAILED: {error}"))
             yield pd.DataFrame(rows, columns=["id", "trusted_path", "status"])
 
-    return routed.mapInPandas(run, RESULT)
+    return cut_lineage(routed.mapInPandas(run, RESULT), "images")
 
 
 def split_results(results: DataFrame, valid: DataFrame, date) -> tuple[DataFrame, DataFrame]:

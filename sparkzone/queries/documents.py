@@ -12,7 +12,7 @@ from ..operators.joins import null_safe_join
 from ..plans import stations as st
 from ..plans.documents import clean_documents
 from ..sources.documents import flatten_snapshots, parse_documents, parse_payloads
-from ..sources.files import json_shape
+from ..sources.files import json_shape, profile_json_files
 from ..sources.tables import spread
 from .registry import DATE, query, table
 
@@ -185,6 +185,65 @@ def doc_files(spark, folder):
     )
 
 
+def _shape_files(spark: SparkSession, folder: str) -> str:
+    """Conversations as JSON files of every shape; line ends within values and broken ones among them."""
+    root = sharedfs.new_folder(spark, "shapes")
+    c = table(spark, folder, "conversations")
+    record = F.to_json(F.struct("conv_id", "turn", "role"), {"pretty": "true"})
+    listed = c.groupBy("role").agg(F.array_sort(F.collect_list(record)).alias("records"), F.count("*").alias("n"))
+    body = F.array_join("records", ",\n")
+    whole = {
+        "list": F.concat(F.lit("[\n"), body, F.lit("\n]\n")),
+        "nested": F.concat(F.lit("[["), body, F.lit("],\n["), body, F.lit("]]")),
+        "broken": F.concat(F.lit("[\n"), body, F.lit(",\n")),
+    }
+    for name, text in whole.items():
+        listed.where("role = 'user'").select(text).coalesce(1).write.text(f"{root}/{name}.json", lineSep=" ")
+    c.orderBy("conv_id", "turn").limit(1).select(record).coalesce(1).write.text(f"{root}/object.json")
+    lines = c.select(F.to_json(F.struct("conv_id", "turn", "role")))
+    lines.coalesce(1).write.text(f"{root}/lines.ndjson")
+    lines.unionAll(spark.range(1).select(F.lit('{"conv_id": 1'))).coalesce(1).write.text(f"{root}/half.ndjson")
+    return root
+
+
+@query(
+    "doc_multiline_files",
+    """with u as (select conv_id, turn from conversations where role = 'user'), f as (select conv_id, turn from conversations order by conv_id, turn limit 1)
+    select kind, file, count(*) as n, cast(sum(conv_id) as bigint) as conv_ids, cast(sum(turn) as bigint) as turns from (
+      select 'record' as kind, 'list.json' as file, * from u union all select 'record', 'nested.json', * from u union all select 'record', 'nested.json', * from u
+      union all select 'record', 'object.json', * from f union all select 'record', 'lines.ndjson', conv_id, turn from conversations) group by 1, 2
+    union all select 'malformed', file, 1, null, null from (values ('broken.json'), ('half.ndjson')) v(file)
+    where (select count(*) from conversations) > 0""",
+)
+def doc_multiline_files(spark, folder):
+    """Pretty-printed lists, lists of lists, objects, lines, and files broken at their end."""
+    parsed = parse_documents(spark, _shape_files(spark, folder))
+    file = F.regexp_extract("source_file_path", r"([^/]+)/part-[^/]*$", 1).alias("file")
+    flat = flatten_snapshots(parsed.docs).select(file, F.from_json("record", "conv_id BIGINT, turn BIGINT").alias("r"))
+    good = flat.groupBy(F.lit("record").alias("kind"), "file").agg(
+        F.count("*").alias("n"), F.sum("r.conv_id").alias("conv_ids"), F.sum("r.turn").alias("turns")
+    )
+    none = F.lit(None).cast("long")
+    bad = parsed.malformed.select(F.lit("malformed").alias("kind"), file, F.lit(1).cast("long").alias("n"), none.alias("conv_ids"), none.alias("turns"))
+    return good.unionAll(bad)
+
+
+@query(
+    "json_file_catalogue",
+    """with u as (select count(*) filter (role = 'user') as n, count(*) as lines from conversations)
+    select 'list.json' as file, 1 as nesting_level, n as record_count from u union all select 'nested.json', 2, 2 * n from u
+    union all select 'object.json', 0, 1 from u union all select 'lines.ndjson', 0, lines from u""",
+)
+def json_file_catalogue(spark, folder):
+    """One catalogue row per readable file, whatever its lines."""
+    rows = profile_json_files(spark, _shape_files(spark, folder), "conversations", DATE)
+    return rows.select(
+        F.regexp_extract("file_path", r"([^/]+)/part-[^/]*$", 1).alias("file"),
+        F.get_json_object("metadata_blob", "$.nesting_level").cast("int").alias("nesting_level"),
+        "record_count",
+    )
+
+
 @query(
     "json_profile",
     """select 'c/' || conv_id || '/' || turn as source_file_path, cast(case role when 'user' then 2 when 'assistant' then 1 else 0 end as int) as nesting_level, 'conv_id,role' as schema_keys,

@@ -13,22 +13,33 @@ from ..sources import tables
 from .registry import DATE, fp, query, table
 
 
-@query("row_fingerprint", f"select {fp('o_orderkey', 'o_custkey', 'o_orderstatus', 'o_orderpriority')} as row_hash, count(*) as n from orders group by 1")
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "cents", "day")
+ORDERS_SQL = "(select o_orderkey, o_custkey, o_orderstatus, o_orderpriority, cast(round(o_totalprice * 100) as bigint) as cents, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as day from orders)"
+
+
+def whole_orders(spark, folder):
+    """All columns of orders; prices and times as texts that engines write alike."""
+    o = table(spark, folder, "orders")
+    return o.select(*ORDER_COLUMNS[:4], F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("day"))
+
+
+@query("row_fingerprint", f"select {fp(*ORDER_COLUMNS)} as row_hash, count(*) as n from {ORDERS_SQL} group by 1")
 def row_fingerprint(spark, folder):
-    return integrity.row_counts(table(spark, folder, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
+    return integrity.row_counts(whole_orders(spark, folder), list(ORDER_COLUMNS))
 
 
+DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 DIFF_SQL = f"""
-with a as (select {fp('doc_id', 'source', 'lang')} as h, count(*) as n from (select doc_id, source, lang from documents union all select doc_id, source, lang from documents where source = 'src1') group by 1),
-b as (select {fp('doc_id', 'source', 'lang')} as h, count(*) as n from (select doc_id, case source when 'src2' then null else source end as source, lang from documents) group by 1)
+with a as (select {fp(*DOC_COLUMNS)} as h, count(*) as n from (select * from documents union all select * from documents where source = 'src1') group by 1),
+b as (select {fp(*DOC_COLUMNS)} as h, count(*) as n from (select * replace (case source when 'src2' then null else source end as source) from documents) group by 1)
 select 'left' as side, h as row_hash, n from (select * from a except all select * from b) union all select 'right', h, n from (select * from b except all select * from a)
 """
 
 
 @query("row_fingerprint_diff", DIFF_SQL)
 def row_fingerprint_diff(spark, folder):
-    """A table with doubled rows against one with edited rows."""
-    d = table(spark, folder, "documents").select("doc_id", "source", "lang")
+    """A table with doubled rows against one with edited rows, all columns compared."""
+    d = table(spark, folder, "documents").select(*DOC_COLUMNS)
     left = d.unionAll(d.filter("source = 'src1'"))
     right = d.withColumn("source", F.when(F.col("source") != "src2", F.col("source")))
     return integrity.diff_tables(left, right)
@@ -36,9 +47,9 @@ def row_fingerprint_diff(spark, folder):
 
 @query("table_signature", "select true as same_rows, false as edited_rows, count(*) as row_count from orders")
 def table_signature(spark, folder):
-    """The signature ignores row order and notices an edit."""
-    o = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    edited = o.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") == "P", "X").otherwise(F.col("o_orderstatus")))
+    """The signature of whole rows ignores their order and notices an edit."""
+    o = whole_orders(spark, folder)
+    edited = o.withColumn("cents", F.when(F.col("o_orderstatus") == "P", F.col("cents") + 1).otherwise(F.col("cents")))
     sign = lambda df: integrity.table_signature(df).select("signature").scalar()
     own = integrity.table_signature(o)
     return own.select(
@@ -46,6 +57,24 @@ def table_signature(spark, folder):
     )
 
 
+@query(
+    "csv_mixed_headers",
+    """select o_orderstatus, count(*) as n, cast(sum(o_orderkey) as bigint) as keys, cast(sum(o_custkey) as bigint) as customers, round(sum(case when o_orderstatus <> 'P' then o_totalprice end), 2) as price
+    from orders group by 1""",
+)
+def csv_mixed_headers(spark, folder):
+    """Files with two orders of columns, one of them lacking one."""
+    root = sharedfs.new_folder(spark, "headers")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    turned = orders.select("o_totalprice", "o_orderstatus", "o_custkey", "o_orderkey")
+    for part in (orders.filter("o_orderstatus = 'F'"), turned.filter("o_orderstatus = 'O'"), orders.drop("o_totalprice").filter("o_orderstatus = 'P'")):
+        part.coalesce(1).write.mode("append").option("header", True).csv(f"{root}/raw")
+    read = tables.read_raw_csv(spark, f"{root}/raw")
+    return read.groupBy("o_orderstatus").agg(
+        F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.sum("o_custkey").alias("customers"), F.round(F.sum("o_totalprice"), 2).alias("price")
+    )
+
+
 @query(
     "csv_landing",
     """select o_orderstatus, count(*) as n, cast(sum(o_orderkey) as bigint) as keys, round(sum(o_totalprice), 2) as price, min(o_orderdate) as first_date from orders group by 1""",

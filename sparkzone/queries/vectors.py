@@ -180,3 +180,36 @@ def vector_quality(spark, folder):
     status = vec.status_rows(rows, "documents", "stand-in", 2, "image_vector_catalog", DATE)
     checks = vec.vector_quality(stored, status, "image_vector_catalog", 2, DATE)
     return checks.select("asset_name", "check_name", "status", "observed_value")
+
+
+IMAGE_ASSETS = vec.ImageAssets("image_vector_catalog", "documents", "statuses", "stand-in", 2)
+
+
+@query(
+    "image_asset_catalogue",
+    """with n as (select count(*) as total, count(*) filter (source <> 'src4') as ok from documents where source not in ('src1', 'src2', 'src3')),
+    a as (select 'image_vector_catalog' as asset_name, 'embedding' as asset_type, 'image_vector_catalog' as location, 'trusted-zone' as source_system, 'documents' as source_assets, 'image similarity search' as downstream_usage, ok as record_count, total, ok from n
+      union all select 'image_embedding_status', 'metric', 'statuses', 'exploitation-zone', 'image_vector_catalog', 'embedding audit and retry monitoring', total, total, ok from n)
+    select asset_name, 'image_search' as domain, asset_type, 'parquet' as storage_system, location, source_system, source_assets, downstream_usage, 'analytics' as owner,
+      case when total = ok then 'PASS' else 'WARN' end as quality_status, record_count, '2026-05-24T10:00:00+00:00' as created_at, 'exploitation_v1' as schema_version,
+      'stand-in' as embedding_model, cast(2 as bigint) as embedding_dimension from a""",
+)
+def image_asset_catalogue(spark, folder):
+    rows = encoded(spark, folder)
+    stored = vec.collection_rows(rows, "documents", "stand-in", 2, DATE)
+    status = vec.status_rows(rows, "documents", "stand-in", 2, "image_vector_catalog", DATE)
+    checks = vec.vector_quality(stored, status, "image_vector_catalog", 2, DATE)
+    return vec.image_asset_catalogue(IMAGE_ASSETS, stored, status, checks, DATE)
+
+
+@query(
+    "image_asset_lineage",
+    """select distinct asset_name, upstream_zone, upstream_assets, transformation_name, downstream_usage, '2026-05-24T10:00:00+00:00' as created_at, 'exploitation_v1' as schema_version, n as status_rows
+    from (select count(*) as n from documents where source not in ('src1', 'src2', 'src3')), (values ('image_vector_catalog', 'trusted-zone', 'documents', 'image_vectorization.clip_embedding', 'image similarity search'),
+      ('image_embedding_status', 'exploitation-zone', 'image_vector_catalog', 'image_vectorization.status_catalogue', 'embedding audit and retry monitoring'))
+      as v(asset_name, upstream_zone, upstream_assets, transformation_name, downstream_usage)""",
+)
+def image_asset_lineage(spark, folder):
+    """With the number of statuses behind it, from the table."""
+    total = encoded(spark, folder).agg(F.count("*").alias("status_rows"))
+    return vec.image_asset_lineage(spark, IMAGE_ASSETS, DATE).join(total, F.lit(True))

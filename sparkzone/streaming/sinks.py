@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import logicaldate, sharedfs
+from .. import logicaldate
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -21,11 +21,30 @@ def parquet_writer(path: str) -> BatchWriter:
     return write
 
 
-def jdbc_writer(url: str, table: str, properties: Mapping[str, str]) -> BatchWriter:
-    """Append to a database table; rows carry ``batch_id`` so a replay can be told apart."""
+def forget_batch(spark: SparkSession, url: str, table: str, properties: Mapping[str, str], batch_id: int) -> None:
+    """Delete what an earlier attempt at a batch left in a database table."""
+    jvm = spark.sparkContext._jvm
+    login = jvm.java.util.Properties()
+    for key, value in properties.items():
+        login.setProperty(key, value)
+    connection = jvm.java.sql.DriverManager.getConnection(url, login)
+    try:
+        if connection.getMetaData().getTables(None, None, table, None).next():
+            connection.createStatement().executeUpdate(f"DELETE FROM {table} WHERE batch_id = {int(batch_id)}")
+    finally:
+        connection.close()
+
+
+def jdbc_writer(url: str, table: str, properties: Mapping[str, str], forget=forget_batch, save=None) -> BatchWriter:
+    """Rows with their ``batch_id`` to a database table; a replay first deletes its own.
+
+    ``forget`` and ``save`` stand for the two database calls, so that the order can be tested without one.
+    """
+    put = save or (lambda rows: rows.write.jdbc(url, table, mode="append", properties=dict(properties)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.jdbc(url, table, mode="append", properties=dict(properties))
+        forget(batch.sparkSession, url, table, properties, batch_id)
+        put(batch.withColumn("batch_id", F.lit(batch_id)))
 
     return write
 
@@ -84,6 +103,18 @@ def batch_label(ranges: DataFrame) -> DataFrame:
     return listed.filter("rows > 0").select(F.concat(F.lit("p"), names, F.lit("_"), digest).alias("label"), F.to_json("r").alias("ranges"), "rows")
 
 
+def _land(batch: DataFrame, root: str, topic: str, day: str) -> None:
+    label = batch_label(offset_ranges(batch)).first()
+    if label is None:
+        return
+    folder = f"{root.rstrip('/')}/{topic}/{day}"
+    batch.select(F.col("value").cast("string")).write.mode("overwrite").option("compression", "none").text(f"{folder}/{label['label']}.ndjson")
+    audit = batch.sparkSession.createDataFrame(
+        [(topic, day, label["label"], label["ranges"], label["rows"])], "topic STRING, day STRING, label STRING, ranges STRING, rows BIGINT"
+    )
+    audit.write.mode("overwrite").parquet(f"{root.rstrip('/')}/_audit/{topic}/{day}/{label['label']}")
+
+
 def land_kafka(stream: DataFrame, root: str, topic: str, date, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """Raw messages to ``root/topic/day/label`` with an audit row per batch.
 
@@ -93,15 +124,12 @@ def land_kafka(stream: DataFrame, root: str, topic: str, date, checkpoint: str,
     day = logicaldate.compact_day(date)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        label = batch_label(offset_ranges(batch)).first()
-        if label is None:
-            return
-        folder = f"{root.rstrip('/')}/{topic}/{day}"
-        batch.select(F.col("value").cast("string")).write.mode("overwrite").option("compression", "none").text(f"{folder}/{label['label']}.ndjson")
-        audit = batch.sparkSession.createDataFrame(
-            [(topic, day, label["label"], label["ranges"], label["rows"])], "topic STRING, day STRING, label STRING, ranges STRING, rows BIGINT"
-        )
-        audit.write.mode("overwrite").parquet(f"{root.rstrip('/')}/_audit/{topic}/{day}/{label['label']}")
+        # The name has to be known before the write: both come from one read of the source.
+        batch = batch.persist()
+        try:
+            _land(batch, root, topic, day)
+        finally:
+            batch.unpersist()
 
     target = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return (target.trigger(availableNow=True) if available_now else target).start()
@@ -123,6 +151,3 @@ def status(query: StreamingQuery) -> dict:
         "input_rows": progress["numInputRows"] if progress else 0,
     }
 
-
-def sink_exists(stream_path: str, spark) -> bool:
-    return sharedfs.holds_data(spark, stream_path)

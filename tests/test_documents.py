@@ -182,3 +182,13 @@ def test_json_catalogue_skips_known_files(spark, tmp_path):
     write(tmp_path, d__json="{}")
     again = profile_json_files(spark, path, "weather", DATE, spark.read.parquet(str(tmp_path / "catalogue")))
     assert [r["file_id"] for r in again.collect()] == ["d.json"]
+
+
+def test_a_rerun_leaves_the_same_rejects(spark, tmp_path):
+    good, bad = {"time": "2024-01-01T10:00:00Z", "temperature": 1.0}, {"time": "2024-01-01T10:00:00Z"}
+    path = f"{tmp_path}/weather_barcelona_rejected"
+    for _ in range(2):
+        write_documents(clean_documents(docs(spark, good, bad), "weather-barcelona", DATE), "weather-barcelona", str(tmp_path))
+        assert spark.read.parquet(path).count() == 1
+    write_documents(clean_documents(docs(spark, good), "weather-barcelona", DATE), "weather-barcelona", str(tmp_path))
+    assert spark.read.parquet(path).count() == 0

@@ -140,3 +140,65 @@ def test_image_rejection_order(spark):
          "unsupported_extension", "unknown_corruption_state"]
     )
     assert out.valid.count() == 1
+
+
+def test_side_effects_run_once(spark, tmp_path):
+    """Each output of one run is derived from the same, written, outcome."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def note(*what):
+        import uuid
+
+        (calls / uuid.uuid4().hex).write_text(" ".join(map(str, what)))
+
+    work = spark.createDataFrame([(str(i), f"p/{i}.png", 512, 512, "RGB") for i in range(6)], "id STRING, file_path STRING, width INT, height INT, image_mode STRING")
+    valid = spark.createDataFrame([(str(i), f"p/{i}.png", ("l", "u", 1, "m")) for i in range(6)], "file_id STRING, file_path STRING, meta STRUCT<label STRING, url STRING, file_size_bytes LONG, md5 STRING>")
+    results = im.standardize_images(work, "s3://trusted", note, note)
+    trusted, failed = im.split_results(results, valid, DATE)
+    assert trusted.count() == 6 and failed.count() == 0 and im.status_counts(results).count() >= 1
+    assert len(list(calls.iterdir())) == 6
+
+    from sparkzone.operators import vectors as vec
+
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    def encoder(paths):
+        import numpy as np
+
+        for p in paths:
+            (seen / p.replace("/", "_")).open("a").write("x")
+        return np.ones((len(paths), 2))
+
+    rows_ = vec.encode(work.withColumn("image_path", F.col("file_path")).withColumn("label", F.lit("")), lambda p: p, encoder, 2)
+    stored, status = vec.collection_rows(rows_, "s", "m", 2, DATE), vec.status_rows(rows_, "s", "m", 2, "c", DATE)
+    assert vec.vector_quality(stored, status, "c", 2, DATE).count() == 6 and stored.count() == 6
+    assert [f.read_text() for f in seen.iterdir()] == ["x"] * 6
+
+
+def test_catalogued_files_are_not_opened(spark, tmp_path):
+    folder = tmp_path / "image"
+    folder.mkdir()
+    (folder / "a.png").write_bytes(png(4, 4))
+    (folder / "b.png").write_bytes(png(4, 2))
+    first = profile_images(spark, str(folder), DATE)
+    first.write.parquet(str(tmp_path / "catalogue"))
+    known = spark.read.parquet(str(tmp_path / "catalogue"))
+    assert profile_images(spark, str(folder), DATE, known).count() == 0
+    (folder / "c.png").write_bytes(png(2, 2))
+    again = profile_images(spark, str(folder), DATE, known)
+    assert [r["file_id"] for r in again.collect()] == ["c.png"] and len(again.inputFiles()) == 1
+
+
+def test_csv_columns_go_by_name_and_types_by_all_rows(spark, tmp_path):
+    csv(tmp_path / "in", "x,y\n1,10\n2,20\n", "a.csv"), csv(tmp_path / "in", "y,x\n30,3\n", "b.csv"), csv(tmp_path / "in", "x\n4\n", "c.csv")
+    read = tables.read_raw_csv(spark, str(tmp_path / "in"))
+    assert rows(read.select("x", "y"), "x") == [(1, 10), (2, 20), (3, 30), (4, None)]
+    lines = spark.read.parquet("/root/testdata/sf0.1/lineitem.parquet").select(F.col("l_orderkey").cast("string").alias("k")).limit(250_000)
+    lines.unionAll(spark.range(1).select(F.lit("1.5").alias("k"))).coalesce(1).write.option("header", True).csv(str(tmp_path / "late"))
+    for multi_line in (False, True):
+        late = tables.read_raw_csv(spark, str(tmp_path / "late"), multi_line=multi_line)
+        assert late.dtypes == [("k", "double")] and late.filter("k = 1.5").count() == 1
+    fixed = tables.read_raw_csv(spark, str(tmp_path / "in"), schema="x INT, y DOUBLE")
+    assert fixed.dtypes == [("x", "int"), ("y", "double")]

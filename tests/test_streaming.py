@@ -99,3 +99,16 @@ def test_landing_is_named_by_offsets(spark, tmp_path):
     assert json.loads(audit["ranges"]) == [{"partition": 0, "start": 0, "end": 4}, {"partition": 1, "start": 1, "end": 3}]
     assert audit["label"].startswith("p0-1_") and audit["rows"] == 5
     assert parse_documents(spark, str(tmp_path / "land" / "weather")).docs.count() == 5
+
+
+def test_a_replayed_batch_leaves_the_table_as_it_was(spark):
+    table, calls = [], []
+
+    def forget(session, url, name, properties, batch_id):
+        calls.append((url, name, batch_id))
+        table[:] = [r for r in table if r["batch_id"] != batch_id]
+
+    writer = sinks.jdbc_writer("jdbc:x", "t", {"user": "u"}, forget, lambda df: table.extend(df.collect()))
+    for batch_id in (0, 1, 1, 0):
+        writer(spark.range(3), batch_id)
+    assert sorted((r["batch_id"], r["id"]) for r in table) == [(b, i) for b in (0, 1) for i in range(3)] and len(calls) == 4
