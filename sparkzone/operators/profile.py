@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.keys import fingerprint
+from ..sharedfs import cut_lineage
 
 
 def overview(df: DataFrame, text: str) -> DataFrame:
@@ -40,23 +41,43 @@ def label_share(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("pct", F.col("n") * 100.0 / total)
 
 
+def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """column, share, value: quantiles with linear interpolation, exact at any size.
+
+    Values are counted, the counts dealt to ranges of (column, value), and only a range's sums
+    are added up across ranges; of the values, those at the wanted positions are kept.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    counts = df.select(F.explode(pairs).alias("p")).select("p.*").where("value is not null").groupBy("column", "value").agg(F.count("*").alias("n"))
+    ranged = counts.repartitionByRange("column", "value").withColumn("range", F.spark_partition_id())
+    ranged = cut_lineage(ranged, "quantiles")
+    sums = ranged.groupBy("column", "range").agg(F.sum("n").alias("n"))
+    earlier = Window.partitionBy("column").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("column", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"), F.sum("n").over(Window.partitionBy("column")).alias("all"))
+    inside = Window.partitionBy("column", "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    placed = ranged.withColumn("upto", F.sum("n").over(inside)).join(sums, ["column", "range"])
+    last = F.col("before") + F.col("upto") - 1
+    wanted = F.array(*[F.struct(F.lit(float(q)).alias("share"), (F.lit(float(q)) * (F.col("all") - 1)).alias("at")) for q in shares])
+    near = placed.select("column", "value", (last - F.col("n") + 1).alias("first"), last.alias("last"), F.explode(wanted).alias("w")).select("*", "w.*")
+    low, high = F.floor("at"), F.ceil("at")
+    holds = lambda at: (F.col("first") <= at) & (at <= F.col("last"))
+    part = F.col("at") - low
+    weight = F.when(holds(low), 1 - part).otherwise(0.0) + F.when(holds(high), part).otherwise(0.0)
+    return near.where(holds(low) | holds(high)).groupBy("column", "share").agg(F.sum(weight * F.col("value")).alias("value"))
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and approximate quartiles per numeric column, in one pass."""
+    """Count, mean, deviation, extremes and exact quartiles per numeric column."""
 
     def stats(c: str):
         v = F.col(c).cast("double")
-        quartiles = F.percentile_approx(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10_000))
         return F.struct(
-            F.lit(c).alias("column"),
-            F.count(v).alias("n"),
-            F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("std"),
-            F.min(v).alias("min"),
-            F.max(v).alias("max"),
-            quartiles.alias("quartiles"),
+            F.lit(c).alias("column"), F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")
         )
 
-    return df.agg(F.array(*[stats(c) for c in columns]).alias("a")).select(F.explode("a").alias("s")).select("s.*")
+    plain = df.agg(F.array(*[stats(c) for c in columns]).alias("a")).select(F.explode("a").alias("s")).select("s.*")
+    found = exact_quantiles(df, columns, (0.25, 0.5, 0.75)).groupBy("column").agg(F.array_sort(F.collect_list(F.struct("share", "value"))).alias("q"))
+    return plain.join(found, "column", "left").withColumn("quartiles", F.transform("q", lambda x: x["value"])).drop("q")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -25,7 +25,8 @@ from ..functions.keys import fingerprint
 from ..operators.gates import GateError
 from ..operators.ordered import stratified_split
 from ..operators.profile import classification_metrics
-from ..sources.tables import append
+from ..sharedfs import cut_lineage
+from ..sources.tables import append, training_frame
 
 # How a run is described.
 MODEL_NAME = "tfidf_logistic_regression"
@@ -94,17 +95,20 @@ def train_classifier(df: DataFrame, key: str | None = None, terms: int = MAX_TER
     texts = usable_texts(df)
     if key is None:
         texts, key = texts.withColumn("row_key", fingerprint("tweet_text", "disaster_type")), "row_key"
-    train, test = stratified_split(texts, "disaster_type", key, 0.2, SEED)
+    # Labels, terms and weights are all fitted on these rows.
+    train, test = (cut_lineage(part, "split") for part in stratified_split(texts, "disaster_type", key, 0.2, SEED))
     train_size, test_size = train.count(), test.count()
     indexer = StringIndexer(inputCol="disaster_type", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
     stages = fit_features(train, terms)
     prepared = indexer.transform(train)
     for stage in stages:
         prepared = stage.transform(prepared)
+    # Written once: the fit passes over it once per iteration.
+    prepared = cut_lineage(prepared.select("features", "label"), "training")
     # The penalty of C = 1 on a summed loss, written for Spark's mean loss.
     regression = LogisticRegression(
         maxIter=iterations, family="multinomial", regParam=1.0 / train_size, elasticNetParam=0.0, standardization=False
-    ).fit(prepared.select("features", "label"))
+    ).fit(prepared)
     model = PipelineModel([*stages, regression])
     labels = list(indexer.labels)
     return Trained(model, labels, predict(model, labels, test), train_size, test_size)
@@ -161,8 +165,8 @@ def metrics_record(trained: Trained, path: str, digest: str, size: int, date) ->
 
 
 def run(spark: SparkSession, features: DataFrame, model_root: str, metrics_path: str, date) -> DataFrame:
-    """Train, store the model and append one metrics row."""
-    trained = train_classifier(features)
+    """Check the input, train, store the model and append one metrics row."""
+    trained = train_classifier(training_frame(features))
     record = metrics_record(trained, *store_model(spark, trained.model, model_root, date), date)
     append(record, metrics_path)
     return spark.read.option("mergeSchema", True).parquet(metrics_path)

@@ -35,3 +35,28 @@ def classifier_reject(spark, folder):
     fitted = trained(spark, folder)
     answers = classifier.predict_or_unknown(fitted.model, fitted.labels, training(spark, folder), 0.6)
     return answers.groupBy("disaster_type", "predicted_label").agg(F.count("*").alias("n"), F.round(F.min("confidence"), 4).alias("least_confidence"))
+
+
+KINDS_SQL = "k as (select case when toxic = 1 then 'toxic' when quality = 1 then 'good' else 'poor' end as kind, text from documents join labels using (doc_id)), u as (select kind from k where len(regexp_extract_all(text, '\\S+')) > 3)"
+
+
+@query("classifier_split", f"with {KINDS_SQL}, n as (select kind, count(*) as n from u group by 1) select sum(n - ceil(n * 0.2))::bigint as train_size, sum(ceil(n * 0.2))::bigint as test_size, sum(n)::bigint as row_count from n")
+def classifier_split(spark, folder):
+    """The stored model's record names the exact sizes of its parts."""
+    fitted = trained(spark, folder)
+    stored = classifier.store_model(spark, fitted.model, sharedfs.new_folder(spark, "model"), DATE)
+    return classifier.metrics_record(fitted, *stored, DATE).select("train_size", "test_size", "row_count")
+
+
+@query("classifier_threshold", "select count(*) as answers, 0 as unsure_but_named, 0 as sure_but_unknown, 0 as other_names from documents join labels using (doc_id)")
+def classifier_threshold(spark, folder):
+    """Answers below the threshold are unknown, all others one of the labels."""
+    fitted = trained(spark, folder)
+    answers = classifier.predict_or_unknown(fitted.model, fitted.labels, training(spark, folder), 0.6)
+    unknown, unsure = F.col("predicted_label") == "unknown", F.col("confidence") < 0.6
+    return answers.agg(
+        F.count("*").alias("answers"),
+        F.count_if(unsure & ~unknown).cast("int").alias("unsure_but_named"),
+        F.count_if(~unsure & unknown).cast("int").alias("sure_but_unknown"),
+        F.count_if(~F.col("predicted_label").isin("unknown", "toxic", "good", "poor")).cast("int").alias("other_names"),
+    )
