@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Sequence
+from itertools import count
 
 from pyspark.sql import DataFrame
 
@@ -25,13 +26,17 @@ def header_name(raw: str, position: int) -> str:
 
 
 def header_names(raw: Sequence[str]) -> list[str]:
-    """All headers; the second and later uses of a name get ``_2``, ``_3``, ..."""
-    seen: Counter[str] = Counter()
-    names = []
-    for position, header in enumerate(raw):
-        name = header_name(header, position)
-        seen[name] += 1
-        names.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+    """All headers; later uses of a name get the next of ``_2``, ``_3``, ... that no header has."""
+    plain = [header_name(header, position) for position, header in enumerate(raw)]
+    taken, names = set(plain), []
+    used: Counter[str] = Counter()
+    for name in plain:
+        used[name] += 1
+        unique = name
+        if used[name] > 1:
+            unique = next(n for k in count(used[name]) if (n := f"{name}_{k}") not in taken)
+            taken.add(unique)
+        names.append(unique)
     return names
 
 

@@ -36,10 +36,6 @@ def null_tokens(c: Column, keep: Column | None = None) -> Column:
     return F.when(~low.isin(*NULL_TOKENS), low if keep is None else keep)
 
 
-def clean_string(c: Column) -> Column:
-    return null_tokens(tidy(c))
-
-
 def celsius_unit(c: Column) -> Column:
     """A unit column keeps its case; spelled-out Celsius becomes the degree sign."""
     return F.when(F.lower(c).isin(*CELSIUS_WORDS), F.lit(DEGREE_C)).otherwise(c)

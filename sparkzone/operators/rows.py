@@ -9,7 +9,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import FractionalType, IntegralType, StringType
 
-from ..functions.keys import fingerprint
+from ..functions.keys import event_digest, fingerprint
 
 
 def filled(df: DataFrame, name: str) -> Column:
@@ -143,4 +143,4 @@ def rejection_event(
 def with_event_id(event: DataFrame) -> DataFrame:
     """Digest of the row as sorted-key JSON: the same rejection always has the same id."""
     payload = F.to_json(F.struct(*sorted(event.columns)), {"ignoreNullFields": "false"})
-    return event.withColumn("event_id", F.substring(F.sha2(payload, 256), 1, 16))
+    return event.withColumn("event_id", event_digest(payload))

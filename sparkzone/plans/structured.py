@@ -148,8 +148,3 @@ def clean_structured(df: DataFrame, rules: TableRules, date, source: str = "") -
     valid = valid.withColumns(governance_columns("landing-zone", stamp, source, "valid", rules.schema_version))
 
     return Cleaned(rules, stamp, source, valid, rejected, keys, raw)
-
-
-def sorted_layout(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Physical order by sort key inside each file; no extra exchange."""
-    return df.sortWithinPartitions(*keys) if keys else df

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import logicaldate
+from ..functions.keys import offset_digest
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -99,7 +100,7 @@ def batch_label(ranges: DataFrame) -> DataFrame:
     # One entry per Kafka partition: bounded by the topic, not by the data.
     listed = ranges.agg(F.array_sort(F.collect_list(entry)).alias("r"), F.sum("n").alias("rows"))
     names = F.concat_ws("-", F.transform("r", lambda x: x["partition"].cast("string")))
-    digest = F.substring(F.md5(F.to_json("r")), 1, 12)
+    digest = offset_digest(F.to_json("r"))
     return listed.filter("rows > 0").select(F.concat(F.lit("p"), names, F.lit("_"), digest).alias("label"), F.to_json("r").alias("ranges"), "rows")
 
 

@@ -33,6 +33,10 @@ def test_candidates():
         names.pick_column(["a"], ("b",))
 
 
+def test_repeated_headers_take_the_next_free_name():
+    assert names.header_names(["id", "id", "id_2", "ID"]) == ["id", "id_3", "id_2", "id_4"]
+
+
 def test_rules():
     assert rules_for("natural_disaster_tweets_v2") is TWEETS
     assert rules_for("co2_emission_by_vehicles") is VEHICLES
