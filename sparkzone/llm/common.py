@@ -16,6 +16,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+# Rows that Spark hands to Python at once. Texts can be long, and a batch is held several
+# times over: by Spark, by Arrow and as Python's own objects.
+ROWS_AT_ONCE = 500
+
+
+def for_python(frame: DataFrame) -> DataFrame:
+    """The frame, whose session from now on hands rows to Python in small batches."""
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+    return frame
+
+
 def text_of(column: str = "text") -> Column:
     """A text with null read as empty."""
     return F.coalesce(F.col(column), F.lit(""))

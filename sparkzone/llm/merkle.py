@@ -35,7 +35,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import for_python, text_of
 
 LEAF = 8
 SECTION = re.compile(r"\n(?:[ \t\r]*\n)+")
@@ -176,7 +176,7 @@ def _row(of: tuple, next_text: str, next_mark: str) -> tuple:
 
 def compare_neighbours(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and likenesses, as ``COMPARED``."""
-    return with_next(spark, documents).mapInPandas(_compared, COMPARED)
+    return with_next(spark, for_python(documents)).mapInPandas(_compared, COMPARED)
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
@@ -186,5 +186,5 @@ def fingerprints(documents: DataFrame) -> DataFrame:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "fingerprint": [fingerprint(t) for t in b["text"]]})
 
-    return documents.select("doc_id", text_of().alias("text")).mapInPandas(run, "doc_id long, fingerprint string")
+    return for_python(documents).select("doc_id", text_of().alias("text")).mapInPandas(run, "doc_id long, fingerprint string")
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import free_name, text_of, written
+from .common import for_python, free_name, text_of, written
 from .graph import components
 
 SHINGLE, SEED, RADIUS, BITS = 3, 42, 3, 64
@@ -73,7 +73,7 @@ def _fingerprints(texts: pd.Series) -> pd.Series:
 
 def fingerprinted(documents: DataFrame) -> DataFrame:
     """The documents with ``fp``, the fingerprint as a signed long."""
-    return documents.withColumn("fp", _fingerprints(text_of()))
+    return for_python(documents).withColumn("fp", _fingerprints(text_of()))
 
 
 def _ball(bits: int, radius: int) -> np.ndarray:
@@ -178,6 +178,6 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     found = near_duplicates(documents)
     keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("fp").alias("keep_fp"))
     fp = free_name(documents.columns, "_fp")
-    marked = documents.withColumn(fp, _fingerprints(text_of()))
+    marked = for_python(documents).withColumn(fp, _fingerprints(text_of()))
     kept = marked.join(keep, marked["doc_id"].eqNullSafe(keep["component_id"]) & (marked[fp] == keep["keep_fp"]), "left_semi")
     return kept.dropDuplicates(["doc_id", fp]).select(*documents.columns)

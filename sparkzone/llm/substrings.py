@@ -35,13 +35,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, free_name, text_of, written
+from .common import WORD, for_python, free_name, text_of, written
 
 WINDOW, BLOCK = 50, 25
 # Text bytes behind a bucket of hashes and a group of documents, and the most of either.
 BUCKET_BYTES, GROUP_BYTES, MOST = 8 << 20, 12 << 20, 1 << 17
-# Words whose hashes a task gathers before it sends them.
-BATCH_WORDS = 1 << 21
+# Words whose hashes, and bytes of rows, that a task gathers before it sends them.
+BATCH_WORDS = 1 << 20
+BATCH_BYTES = 8 << 20
 LAST_ID = (1 << 63) - 1
 SPAN = re.compile(WORD)
 # Odd multipliers of the rolling hashes.
@@ -282,13 +283,26 @@ def _cut_documents(texts: pa.Table, repeats: pa.Table, schema: pa.Schema, key: s
     return pa.concat_tables(out).cast(schema) if out else schema.empty_table()
 
 
+def _gathered(batches):
+    """Batches put together until they are large enough to compress well."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= BATCH_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _packed(documents: DataFrame, groups: int, key: str = "_id") -> DataFrame:
     """Rows dealt to groups by id, compressed: ``at`` and an Arrow stream ``docs``."""
-    keyed = documents.withColumn(key, F.coalesce("doc_id", F.lit(LAST_ID)))
+    keyed = for_python(documents).withColumn(key, F.coalesce("doc_id", F.lit(LAST_ID)))
 
     def pack(batches):
         options = pa.ipc.IpcWriteOptions(compression="zstd")
-        for batch in batches:
+        for batch in _gathered(batches):
             at = _group(batch.column(key).to_numpy(), groups)
             order = np.argsort(at, kind="stable")
             edges = np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]]) if len(at) else []
@@ -306,7 +320,7 @@ def _packed(documents: DataFrame, groups: int, key: str = "_id") -> DataFrame:
 
 def _found(documents: DataFrame) -> tuple[DataFrame, int]:
     """Repeated windows by group of documents, and the number of groups."""
-    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = for_python(documents).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, groups = (min(MOST, 1 + int(size) // each) for each in (BUCKET_BYTES, GROUP_BYTES))
     texts = documents.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), text_of().alias("text"))
     anchors = texts.mapInArrow(lambda b: _anchors(b, buckets), ENTRY_SQL)

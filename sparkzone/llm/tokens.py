@@ -28,7 +28,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from .common import text_of
+from .common import for_python, text_of
 
 # The byte alphabet of byte-level vocabularies, and their cutting pattern.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -221,4 +221,4 @@ def prefix_counts(documents: DataFrame, budget: int, path: str | None = None, ke
             out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_tokens", "bytes_in_budget", *(["steps"] if keep_steps else [])])
             yield out.astype({"doc_id": "Int64"})
 
-    return documents.select("doc_id", text_of().alias("text")).mapInPandas(run, schema)
+    return for_python(documents).select("doc_id", text_of().alias("text")).mapInPandas(run, schema)

@@ -32,14 +32,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import for_python, text_of, written
 
 FOLDS = 5
 SAMPLE = 10_000
 LEXICON = 4_000
 LEAST_DOCUMENTS = 4
 # Features a task counts before it sends them.
-COUNTED = 300_000
+COUNTED = 100_000
 BEGINNINGS = (3, 4, 5, 6, 7)
 SHARED_BY = (1, 2, 3, 4)
 PENALTY = 40.0
@@ -221,7 +221,7 @@ def fit(toxic: np.ndarray, own: list[np.ndarray], other: list[np.ndarray | None]
 
 
 def train(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE, size: int = LEXICON, penalty: float = PENALTY) -> Model:
-    sample = _sample(documents, labels, bound)
+    sample = _sample(for_python(documents), labels, bound)
     share = sample.agg(F.avg("toxic")).first()[0]
     if share is None or share in (0.0, 1.0):
         base = min(max(share or 0.0, 1e-9), 1 - 1e-9)
@@ -234,7 +234,7 @@ def train(documents: DataFrame, labels: DataFrame, bound: int = SAMPLE, size: in
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted for every document."""
-    docs = documents.select("doc_id", text_of().alias("text"))
+    docs = for_python(documents).select("doc_id", text_of().alias("text"))
     return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), _scored(model)(F.col("text")).alias("score")).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int")
     )
@@ -250,4 +250,4 @@ def _scored(model: Model):
 
 def without_toxic(documents: DataFrame, model: Model) -> DataFrame:
     """The documents whose score stays below one half, with their columns."""
-    return documents.where(_scored(model)(text_of()) < 0.5)
+    return for_python(documents).where(_scored(model)(text_of()) < 0.5)
