@@ -105,5 +105,5 @@ def test_profile_counts(spark):
     df = spark.createDataFrame([("x y z", 1), ("x y z", 1), (" ", 2), (None, 3)], "t STRING, n INT")
     assert profile.overview(df, "t").first().asDict() == {"row_count": 4, "duplicate_rows": 1, "blank_texts": 2, "short_texts": 2}
     assert rows(profile.missing_share(df), "column") == [("n", 0.0), ("t", 25.0)]
-    assert profile.describe(df, ["n"]).first()["quartiles"] == [1.0, 1.0, 2.0]
+    assert profile.describe(df, ["n"]).first()["quartiles"] == [1.0, 1.5, 2.25]
     assert rows(profile.label_share(df.toDF("t", "k"), "k").withColumn("pct", F.col("pct").cast("int")), "k")[0] == (1, 2, 50)
