@@ -7,6 +7,10 @@ a group gets a counterfactual: the same document with every such term swapped fo
 its category, or for none. The fit adds ``PENALTY`` times the squared change of the score to
 its loss, so that naming a group moves no score; what a text says about the group still does.
 
+A feature is a candidate if the odds of its documents to be toxic are over twice those of the
+sample. That works at every share of toxic documents, also where most are, or where the sample's
+share is above the labels' since copies, which count once in it, are mostly of clean texts.
+
 The sample (``SAMPLE`` documents, by hash of the id) is the one bounded thing: it is sent to
 the tasks as ids, and the driver sees its statistics for ``LEXICON`` features and, per
 document, which of these are present. Every document is scored, over its whole text.
@@ -160,7 +164,9 @@ def _lexicon(sample: DataFrame, size: int) -> list[str]:
     a, n = F.col("a").cast("double"), F.col("n").cast("double")
     gain = (a * docs - n * pos) ** 2 / (n * (docs - n + 1.0))
     # Only signs of toxic texts: what is rare in them is no evidence for a text that has both.
-    best = counts.where((F.col("n") >= LEAST_DOCUMENTS) & (a * docs > 2 * n * pos)).orderBy(gain.desc(), "feature").limit(size)
+    # Odds, unlike shares, can be twice the sample's however many of it are toxic.
+    sign = a * (docs - pos) > 2 * (n - a) * pos
+    best = counts.where((F.col("n") >= LEAST_DOCUMENTS) & sign).orderBy(gain.desc(), "feature").limit(size)
     return [r["feature"] for r in best.select("feature").collect()]
 
 

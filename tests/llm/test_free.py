@@ -395,6 +395,22 @@ def test_scores_of_odd_rows(spark, make_docs, clashing):
     assert toxicity.score(make_docs(), toxicity.train(make_docs(), none)).count() == 0
 
 
+@pytest.mark.parametrize("clean_of_ten", [5, 2])
+def test_toxic_texts_may_be_half_or_most_of_the_sample(spark, make_docs, clean_of_ten):
+    rng = random.Random(8)
+    fill = [f"word{i}" for i in range(60)]
+    rows, labels = [], []
+    read = [i for i in range(500) if zlib.crc32(str(i).encode()) % 5][:300]
+    for k, i in enumerate(read):
+        bad = k % 10 >= clean_of_ten
+        rows.append((i, " ".join(rng.sample(fill, 12) + (["zonk", "zonker"] if bad else []))))
+        labels.append((i, int(bad)))
+    docs = make_docs(*rows)
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id LONG, toxic INT"))
+    assert any("zonk" in f for f in model.weights)
+    assert {r["doc_id"] for r in toxicity.without_toxic(docs, model).collect()} == {i for i, t in labels if not t}
+
+
 def test_counterfactuals_swap_whole_terms():
     assert toxicity.counterfactual("The women left. Nobody else.", 0).split() == ["The", "men", "left.", "Nobody", "else."]
     assert toxicity.counterfactual("womenfolk", 0) is None and F is not None
