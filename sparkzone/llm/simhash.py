@@ -163,21 +163,30 @@ def links(fps: DataFrame) -> DataFrame:
     return sent.groupBy("route").applyInPandas(link, "a long, b long")
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """doc_id, fp and component_id of every document."""
+def _named(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id and fp of every document; the distinct fp with their least doc_id and their component.
+
+    A component's key is its least fingerprint. Its least id is none: components of null ids
+    have no id, and those of one repeated id share it.
+    """
     docs = written(fingerprinted(documents.select("doc_id", "text")).select("doc_id", "fp"), "simhash")
     fps = written(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     parts = components(links(fps))
-    named = fps.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    return docs, fps.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """doc_id, fp and component_id of every document."""
+    docs, named = _named(documents)
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
     return docs.join(named.select("fp", "component").join(ids, "component").drop("component"), "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """The documents without near-duplicates of one with a smaller id; of rows alike in id and fingerprint one stays."""
-    found = near_duplicates(documents)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("fp").alias("keep_fp"))
+    """One document of each component, that of the least (doc_id, fp), null ids last; of rows alike in both one stays."""
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), F.col("least").alias("keep_id"), F.col("fp").alias("keep_fp"))).alias("first")
+    keep = _named(documents)[1].groupBy("component").agg(first).select("first.keep_id", "first.keep_fp")
     fp = free_name(documents.columns, "_fp")
     marked = for_python(documents).withColumn(fp, _fingerprints(text_of()))
-    kept = marked.join(keep, marked["doc_id"].eqNullSafe(keep["component_id"]) & (marked[fp] == keep["keep_fp"]), "left_semi")
+    kept = marked.join(keep, marked["doc_id"].eqNullSafe(keep["keep_id"]) & (marked[fp] == keep["keep_fp"]), "left_semi")
     return kept.dropDuplicates(["doc_id", fp]).select(*documents.columns)

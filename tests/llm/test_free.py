@@ -331,6 +331,17 @@ def test_one_document_of_each_class_stays(make_docs, clashing):
     assert simhash.one_of_each(make_docs()).count() == 0
 
 
+def test_copies_of_nothing_stay_whatever_their_ids(make_docs):
+    alone = ["the first of its kind entirely", "something else that nobody wrote before", "a third text without any copy"]
+    rows = [(i, t) for i in (None, 5) for t in alone]
+    # Texts of a null id and of 5 are copies of each other; three unrelated ones of each id alone.
+    for some in ([r for r in rows if r[0] is None], [r for r in rows if r[0] == 5], rows):
+        out = [(r["doc_id"], r["text"]) for r in simhash.one_of_each(make_docs(*some)).collect()]
+        assert sorted(out, key=lambda r: r[1]) == sorted([(some[-1][0], t) for t in alone], key=lambda r: r[1])
+    twice = [(None, alone[0]), (None, alone[0].upper()), (None, alone[1]), (5, alone[2]), (5, alone[2])]
+    assert sorted(r["text"].lower() for r in simhash.one_of_each(make_docs(*twice)).collect()) == sorted(alone)
+
+
 # --- toxicity --------------------------------------------------------------------
 
 
