@@ -8,15 +8,17 @@ rolling stretch of ``BLOCK`` words probes them, and a repeat of a window shows a
 1. *Anchors.* Blocks and probes meet by hash. A probe hits if a document with a smaller id has
    the block; a block is hit if a document with a larger id probes it. Only the least and the
    greatest id per hash are compared, so a passage in very many documents makes no pairs.
+   They are found within each chunk of documents first, so that a hash brings at most two
+   entries per chunk to its bucket, however many documents have it; the bounds of all chunks
+   go back to each chunk that has the hash, whose documents compare themselves with them.
 2. *Extension.* The windows around hits, on both sides, are compared as a whole, again by least
    id per window. Consecutive repeated windows make up the maximal exact repeat.
 3. *Removal.* Words in repeated windows of larger ids go.
 
 A row per word would cost more than the texts. Tasks therefore exchange arrays: one row holds
-what a batch of documents has for one bucket of hashes (or for one group of documents), and a
-reducer works on arrays of one bucket. Buckets and groups follow the size of the texts, and a
-document sends a stretch once however often it repeats it. Probes carry 32 bits besides their
-bucket, as a false hit only costs a comparison; windows are compared by 80 bits.
+what a chunk of documents has for one bucket of hashes (or the other way), and a reducer works
+on arrays of one bucket. The number of buckets and of chunks, which are written once, follows
+the size of the texts. Probes carry 32 bits besides their bucket, as a false hit only costs a comparison; windows are compared by 80 bits.
 
 Cases: null text has no words; documents shorter than a window lose nothing and take part in
 nothing; a window repeated within its own document only is no repeat; rows with equal ids don't
@@ -32,17 +34,17 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, for_python, free_name, text_of, written
 
 WINDOW, BLOCK = 50, 25
-# Text bytes behind a bucket of hashes and a group of documents, and the most of either.
-BUCKET_BYTES, GROUP_BYTES, MOST = 8 << 20, 12 << 20, 1 << 17
-# Words whose hashes, and bytes of rows, that a task gathers before it sends them.
+# Text bytes behind a bucket of hashes, the most buckets, and bytes of rows in a chunk.
+BUCKET_BYTES, GROUP_BYTES, MOST = 8 << 20, 8 << 20, 1 << 17
+# Words whose hashes a task gathers before it sends them.
 BATCH_WORDS = 1 << 20
-BATCH_BYTES = 8 << 20
 LAST_ID = (1 << 63) - 1
 SPAN = re.compile(WORD)
 # Odd multipliers of the rolling hashes.
@@ -90,18 +92,17 @@ def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(40)) * np.uint64(buckets) >> np.uint64(24)).astype(np.int64)
 
 
-def _group(ids: np.ndarray, groups: int) -> np.ndarray:
-    return (_mixed(ids.astype(np.int64).view(np.uint64)) % np.uint64(groups)).astype(np.int64)
-
-
-def _rows(at: np.ndarray, schema: pa.Schema, **arrays: np.ndarray):
-    """Arrays cut by the (sorted) bucket of their entries, as rows of binaries."""
+def _rows(at: np.ndarray, schema: pa.Schema, chunk: int | None = None, **arrays: np.ndarray):
+    """Arrays cut by the (sorted) bucket or chunk of their entries, as rows of binaries."""
     starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else np.zeros(0, int)
     ends = np.r_[starts[1:], len(at)]
+    arrays = {k: np.ascontiguousarray(a) for k, a in arrays.items()}
     columns = [pa.array(at[starts], pa.int64())]
     for name in schema.names[1:]:
-        a = arrays[name]
-        columns.append(pa.array([a[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()))
+        if name == "chunk":
+            columns.append(pa.array(np.full(len(starts), chunk, np.int64)))
+        else:
+            columns.append(pa.array([arrays[name][i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()))
     return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
@@ -110,97 +111,128 @@ def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
-ENTRY = pa.schema([("at", pa.int64()), ("ids", pa.binary()), ("hashes", pa.binary()), ("kinds", pa.binary())])
-ENTRY_SQL = "at long, ids binary, hashes binary, kinds binary"
-HIT = pa.schema([("at", pa.int64()), ("ids", pa.binary()), ("hashes", pa.binary())])
-HIT_SQL = "at long, ids binary, hashes binary"
+def _chunks(table: pa.Table) -> np.ndarray:
+    """The chunk of every entry."""
+    sizes = [len(x.as_buffer()) // 8 for x in table.column("ids")]
+    return np.repeat(table.column("chunk").to_numpy().astype(np.int64), np.array(sizes, np.int64))
+
+
+ENTRY = pa.schema([("at", pa.int64()), ("chunk", pa.int64()), ("ids", pa.binary()), ("hashes", pa.binary()), ("kinds", pa.binary())])
+ENTRY_SQL = "at long, chunk long, ids binary, hashes binary, kinds binary"
+HIT = pa.schema([("at", pa.int64()), ("hashes", pa.binary()), ("least", pa.binary()), ("most", pa.binary())])
+HIT_SQL = "at long, hashes binary, least binary, most binary"
+REPEAT = pa.schema([("at", pa.int64()), ("hashes", pa.binary()), ("checks", pa.binary()), ("least", pa.binary())])
+REPEAT_SQL = "at long, hashes binary, checks binary, least binary"
+
+
+def _bound(keys: tuple[np.ndarray, ...], ids: np.ndarray, greatest: bool) -> np.ndarray:
+    """Places of the least or greatest id per key; the first key is the one to sort by."""
+    order = np.lexsort((ids, *keys[::-1]))
+    new = np.zeros(max(0, len(ids) - 1), bool)
+    for k in keys:
+        new |= k[order][1:] != k[order][:-1]
+    return order[np.r_[new, True] if greatest else np.r_[True, new]] if len(ids) else order
 
 
-def _anchors(batches, buckets: int):
-    """Blocks (kind 1) and probes (kind 0) of documents with a window at least."""
-    ids, hashes, kinds, held = [], [], [], 0
+def _anchors(batches, buckets: int, key: str):
+    """Blocks (kind 1) with their least id and probes (kind 0) with their greatest, per chunk."""
 
-    def sent():
+    def sent(chunk, held):
+        hashes, ids, kinds = [], [], []
+        for kind in (0, 1):
+            h = np.concatenate([x[kind] for _, x in held])
+            i = np.repeat(np.array([doc for doc, _ in held], np.int64), [len(x[kind]) for _, x in held])
+            some = _bound((h,), i, kind == 0)
+            hashes.append(h[some])
+            ids.append(i[some])
+            kinds.append(np.full(len(some), kind, np.uint8))
         h = np.concatenate(hashes)
         at = _bucket(h, buckets)
         order = np.argsort(at, kind="stable")
-        i, k = np.concatenate(ids)[order], np.concatenate(kinds)[order]
-        for x in (ids, hashes, kinds):
-            x.clear()
-        return _rows(at[order], ENTRY, ids=i, hashes=h[order].astype(np.uint32), kinds=k)
-
-    for batch in batches:
-        for doc, text in zip(batch.column("id").to_pylist(), batch.column("text")):
-            h = rolling(word_hashes(text.as_py()), BLOCK)
-            if len(h) < WINDOW - BLOCK + 1:
-                continue
-            blocks, probes = np.unique(h[::BLOCK]), np.unique(h)
-            for some, kind in ((blocks, 1), (probes, 0)):
-                hashes.append(some)
-                ids.append(np.full(len(some), doc, np.int64))
-                kinds.append(np.full(len(some), kind, np.uint8))
-            held += len(h)
-            if held >= BATCH_WORDS:
-                yield sent()
-                held = 0
-    if hashes:
-        yield sent()
-
-
-def _by_group(ids: np.ndarray, hashes: np.ndarray, groups: int) -> pa.RecordBatch:
-    at = _group(ids, groups)
-    order = np.lexsort((ids, at))
-    return _rows(at[order], HIT, ids=ids[order], hashes=hashes[order])
-
-
-def _hits(table: pa.Table, groups: int) -> pa.Table:
-    """Hit stretches of one bucket: of probes that a smaller id's block meets, and of those blocks."""
+        return _rows(at[order], ENTRY, chunk, ids=np.concatenate(ids)[order], hashes=h[order].astype(np.uint32), kinds=np.concatenate(kinds)[order])
+
+    for rows in batches:
+        for chunk, docs in zip(rows.column("at").to_pylist(), _unpacked(rows)):
+            held, n = [], 0
+            for doc, text in zip(docs.column(key).to_pylist(), docs.column("text")):
+                h = rolling(word_hashes(text.as_py() or ""), BLOCK)
+                if len(h) < WINDOW - BLOCK + 1:
+                    continue
+                held.append((doc, (h, h[::BLOCK])))
+                n += len(h)
+                if n >= BATCH_WORDS:
+                    yield sent(chunk, held)
+                    held, n = [], 0
+            if held:
+                yield sent(chunk, held)
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each pair once, in order."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
+    return a[new], b[new]
+
+
+def _hits(table: pa.Table) -> pa.Table:
+    """Least id of blocks and greatest of probes per hash of one bucket, for every chunk that has it, if a probe can hit."""
     ids, h, kinds = _joined(table, "ids", np.int64), _joined(table, "hashes", np.uint32), _joined(table, "kinds", np.uint8)
     block = kinds == 1
-    bh, bi, ph, pi = h[block], ids[block], h[~block], ids[~block]
-    known, where = np.unique(bh, return_inverse=True)
+    known, where = np.unique(h, return_inverse=True)
+    least, most = np.full(len(known), LAST_ID, np.int64), np.full(len(known), -LAST_ID, np.int64)
+    np.minimum.at(least, where[block], ids[block])
+    np.maximum.at(most, where[~block], ids[~block])
+    met = (least < most)[where]
+    at, where = _pairs(_chunks(table)[met], where[met])
+    return pa.Table.from_batches([_rows(at, HIT, hashes=known[where], least=least[where], most=most[where])])
+
+
+def _known_hits(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, each once, with their bounds; equal ones of several buckets have the wider bounds."""
+    h, least, most = _joined(table, "hashes", np.uint32), _joined(table, "least", np.int64), _joined(table, "most", np.int64)
+    order = np.argsort(h, kind="stable")
+    known, first = np.unique(h[order], return_index=True)
     if not len(known):
-        return pa.Table.from_batches([], HIT)
-    least = np.full(len(known), LAST_ID, np.int64)
-    np.minimum.at(least, where, bi)
-    place = np.minimum(np.searchsorted(known, ph), len(known) - 1)
-    met = known[place] == ph
-    ph, pi, place = ph[met], pi[met], place[met]
-    most = np.full(len(known), -LAST_ID, np.int64)
-    np.maximum.at(most, place, pi)
-    probe, hit = least[place] < pi, most[where] > bi
-    out = _by_group(np.concatenate([pi[probe], bi[hit]]), np.concatenate([ph[probe], bh[hit]]), groups)
-    return pa.Table.from_batches([out])
-
-
-def _per_id(table: pa.Table, kind) -> dict[int, np.ndarray]:
-    ids, h = _joined(table, "ids", np.int64), _joined(table, "hashes", kind)
-    order = np.argsort(ids, kind="stable")
-    ids, h = ids[order], h[order]
-    starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else np.zeros(0, int)
-    return {int(ids[a]): h[a:b] for a, b in zip(starts, np.r_[starts[1:], len(ids)])}
-
-
-def _unpacked(table: pa.Table):
+        return h, least, most
+    return known, np.minimum.reduceat(least[order], first), np.maximum.reduceat(most[order], first)
+
+
+def _known_repeats(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    h, check, least = _joined(table, "hashes", np.uint64), _joined(table, "checks", np.uint16), _joined(table, "least", np.int64)
+    order = np.argsort(h, kind="stable")
+    return h[order], check[order], least[order]
+
+
+def _unpacked(table):
+    """The documents of each row, as one batch."""
     for blob in table.column("docs"):
         with pa.ipc.open_stream(blob.as_buffer()) as stream:
             yield from stream
 
 
-def _windows(texts: pa.Table, hits: pa.Table, buckets: int) -> pa.Table:
-    """Windows around the hits of a group's documents, by bucket of their hash."""
-    found = _per_id(hits, np.uint32)
+def _checks(words: np.ndarray) -> np.ndarray:
+    return (rolling(words, WINDOW, FACTORS[1]) >> np.uint64(48)).astype(np.uint16)
+
+
+def _windows(chunk: int, texts: pa.Table, hits: pa.Table, buckets: int, key: str) -> pa.Table:
+    """Windows around the hits of a chunk's documents, by bucket of their hash, with the least and the greatest id of each."""
+    known, least, most = _known_hits(hits)
     ids, hashes, checks = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint16)]
-    for batch in _unpacked(texts):
-        for doc, text in zip(batch.column("_id").to_pylist(), batch.column("text")):
-            hit = found.get(doc)
-            if hit is None or not text.is_valid:
-                continue
-            words = word_hashes(text.as_py())
+    for batch in _unpacked(texts) if len(known) else []:
+        for doc, text in zip(batch.column(key).to_pylist(), batch.column("text")):
+            words = word_hashes(text.as_py() or "")
             h = rolling(words, WINDOW)
             if not len(h):
                 continue
-            at = np.flatnonzero(np.isin(rolling(words, BLOCK).astype(np.uint32), hit))
+            stretches = rolling(words, BLOCK).astype(np.uint32)
+            place = np.minimum(np.searchsorted(known, stretches), len(known) - 1)
+            same = known[place] == stretches
+            hit = same & (least[place] < doc)
+            hit[::BLOCK] |= same[::BLOCK] & (most[place[::BLOCK]] > doc)
+            at = np.flatnonzero(hit)
+            if not len(at):
+                continue
             # A window that starts up to half its length before a hit, or at it, contains it.
             edge = np.zeros(len(words) + 2, np.int32)
             np.add.at(edge, np.maximum(at - (WINDOW - BLOCK), 0), 1)
@@ -209,30 +241,46 @@ def _windows(texts: pa.Table, hits: pa.Table, buckets: int) -> pa.Table:
             some, first = np.unique(h[start], return_index=True)
             ids.append(np.full(len(some), doc, np.int64))
             hashes.append(some)
-            checks.append((rolling(words, WINDOW, FACTORS[1])[start][first] >> np.uint64(48)).astype(np.uint16))
-    h = np.concatenate(hashes)
-    at = _bucket(h, buckets)
-    order = np.argsort(at, kind="stable")
-    return pa.Table.from_batches([_rows(at[order], ENTRY, ids=np.concatenate(ids)[order], hashes=h[order], kinds=np.concatenate(checks)[order])])
+            checks.append(_checks(words)[start][first])
+    i, h, check = np.concatenate(ids), np.concatenate(hashes), np.concatenate(checks)
+    some = np.union1d(_bound((h, check), i, False), _bound((h, check), i, True))
+    some = some[np.argsort(_bucket(h[some], buckets), kind="stable")]
+    return pa.Table.from_batches([_rows(_bucket(h[some], buckets), ENTRY, chunk, ids=i[some], hashes=h[some], kinds=check[some])])
 
 
-def _repeats(table: pa.Table, groups: int) -> pa.Table:
-    """Windows of one bucket that a document with a smaller id has too."""
+def _repeats(table: pa.Table) -> pa.Table:
+    """The least id of each window of one bucket, for the chunks that have it in a document with a larger id."""
     ids, h, check = _joined(table, "ids", np.int64), _joined(table, "hashes", np.uint64), _joined(table, "kinds", np.uint16)
     order = np.lexsort((ids, check, h))
-    ids, h, check = ids[order], h[order], check[order]
+    ids, h, check, chunk = ids[order], h[order], check[order], _chunks(table)[order]
     new = np.r_[True, (h[1:] != h[:-1]) | (check[1:] != check[:-1])] if len(h) else np.zeros(0, bool)
-    least = ids[new][np.cumsum(new) - 1]
-    again = ids > least
-    return pa.Table.from_batches([_by_group(ids[again], h[again], groups)])
+    first = np.flatnonzero(new)
+    which = np.cumsum(new) - 1
+    again = ids > ids[first][which]
+    at, which = _pairs(chunk[again], which[again])
+    place = first[which]
+    return pa.Table.from_batches([_rows(at, REPEAT, hashes=h[place], checks=check[place], least=ids[place])])
 
 
-def _removed(text: str, repeated: np.ndarray | None) -> np.ndarray | None:
+def _removed(text: str, doc: int, repeats: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray | None:
     """Which words of the text go; None where none does."""
-    if repeated is None:
+    known, check, least = repeats
+    if not len(known):
         return None
     words = word_hashes(text)
-    start = np.flatnonzero(np.isin(rolling(words, WINDOW), repeated))
+    h = rolling(words, WINDOW)
+    place = np.searchsorted(known, h)
+    at = np.flatnonzero(known[np.minimum(place, len(known) - 1)] == h)
+    if not len(at):
+        return None
+    place, own, again = place[at], _checks(words)[at], np.zeros(len(h), bool)
+    # Windows of one hash but several checks lie side by side.
+    while len(at):
+        again[at] |= (check[place] == own) & (least[place] < doc)
+        more = known[np.minimum(place + 1, len(known) - 1)] == h[at]
+        more &= place + 1 < len(known)
+        at, place, own = at[more], place[more] + 1, own[more]
+    start = np.flatnonzero(again)
     if not len(start):
         return None
     edge = np.zeros(len(words) + 1, np.int32)
@@ -245,11 +293,11 @@ DIGEST = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
 def _digests(texts: pa.Table, repeats: pa.Table) -> pa.Table:
-    found = _per_id(repeats, np.uint64)
+    found = _known_repeats(repeats)
     columns: list[list] = [[], [], [], []]
     for batch in _unpacked(texts):
         for key, doc, text in zip(batch.column("_id").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            gone = _removed(text or "", found.get(key))
+            gone = _removed(text or "", key, found)
             words = (text or "").encode("utf-8", "surrogatepass").split()
             kept = words if gone is None else [w for w, g in zip(words, gone.tolist()) if not g]
             for column, value in zip(columns, (doc, len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest())):
@@ -267,12 +315,12 @@ def cut_words(text: str, gone: np.ndarray) -> str:
 
 
 def _cut_documents(texts: pa.Table, repeats: pa.Table, schema: pa.Schema, key: str) -> pa.Table:
-    found = _per_id(repeats, np.uint64)
+    found = _known_repeats(repeats)
     out = []
     for batch in _unpacked(texts):
         new = []
         for doc, text in zip(batch.column(key).to_pylist(), batch.column("text").to_pylist()):
-            gone = None if text is None else _removed(text, found.get(doc))
+            gone = None if text is None else _removed(text, doc, found)
             new.append(text if gone is None else cut_words(text, gone))
         table = pa.Table.from_batches([batch]).drop_columns([key])
         changed = table.set_column(table.column_names.index("text"), "text", pa.array(new, pa.string()))
@@ -284,56 +332,48 @@ def _cut_documents(texts: pa.Table, repeats: pa.Table, schema: pa.Schema, key: s
 
 
 def _gathered(batches):
-    """Batches put together until they are large enough to compress well."""
+    """Batches put together until they make a chunk."""
     held, size = [], 0
     for batch in batches:
         held.append(batch)
         size += batch.nbytes
-        if size >= BATCH_BYTES:
+        if size >= GROUP_BYTES:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
             held, size = [], 0
     if held:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def _packed(documents: DataFrame, groups: int, key: str = "_id") -> DataFrame:
-    """Rows dealt to groups by id, compressed: ``at`` and an Arrow stream ``docs``."""
+def _packed(documents: DataFrame, key: str = "_id") -> DataFrame:
+    """Rows in chunks as they come, compressed and written once: the number ``at`` and an Arrow stream ``docs``."""
     keyed = for_python(documents).withColumn(key, F.coalesce("doc_id", F.lit(LAST_ID)))
 
     def pack(batches):
         options = pa.ipc.IpcWriteOptions(compression="zstd")
-        for batch in _gathered(batches):
-            at = _group(batch.column(key).to_numpy(), groups)
-            order = np.argsort(at, kind="stable")
-            edges = np.flatnonzero(np.r_[True, at[order][1:] != at[order][:-1]]) if len(at) else []
-            keys, blobs = [], []
-            for a, b in zip(edges, [*edges[1:], len(at)]):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, batch.schema, options=options) as stream:
-                    stream.write_batch(batch.take(pa.array(order[a:b])))
-                keys.append(int(at[order[a]]))
-                blobs.append(sink.getvalue().to_pybytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], names=["at", "docs"])
-
-    return keyed.mapInArrow(pack, "at long, docs binary")
-
-
-def _found(documents: DataFrame) -> tuple[DataFrame, int]:
-    """Repeated windows by group of documents, and the number of groups."""
+        part = TaskContext.get().partitionId() << 32
+        for n, batch in enumerate(b for b in _gathered(batches) if b.num_rows):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=options) as stream:
+                stream.write_batch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([part + n], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["at", "docs"])
+
+    return written(keyed.mapInArrow(pack, "at long, docs binary"), "chunks")
+
+
+def _found(documents: DataFrame, packed: DataFrame, key: str = "_id") -> DataFrame:
+    """Repeated windows by chunk of documents."""
     size = for_python(documents).agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets, groups = (min(MOST, 1 + int(size) // each) for each in (BUCKET_BYTES, GROUP_BYTES))
-    texts = documents.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), text_of().alias("text"))
-    anchors = texts.mapInArrow(lambda b: _anchors(b, buckets), ENTRY_SQL)
-    hits = written(anchors.groupBy("at").applyInArrow(lambda t: _hits(t, groups), HIT_SQL), "anchors")
-    packed = _packed(documents.select("doc_id", "text"), groups)
-    windows = packed.groupBy("at").cogroup(hits.groupBy("at")).applyInArrow(lambda d, h: _windows(d, h, buckets), ENTRY_SQL)
-    return written(windows.groupBy("at").applyInArrow(lambda t: _repeats(t, groups), HIT_SQL), "repeats"), groups
+    buckets = min(MOST, 1 + int(size) // BUCKET_BYTES)
+    anchors = packed.mapInArrow(lambda b: _anchors(b, buckets, key), ENTRY_SQL)
+    hits = written(anchors.groupBy("at").applyInArrow(_hits, HIT_SQL), "anchors")
+    windows = packed.groupBy("at").cogroup(hits.groupBy("at")).applyInArrow(lambda at, d, h: _windows(at[0].as_py(), d, h, buckets, key), ENTRY_SQL)
+    return written(windows.groupBy("at").applyInArrow(_repeats, REPEAT_SQL), "repeats")
 
 
 def digests(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and the digest of the kept words, per document."""
-    repeats, groups = _found(documents)
-    packed = _packed(documents.select("doc_id", "text"), groups)
+    packed = _packed(documents.select("doc_id", "text"))
+    repeats = _found(documents, packed)
     return packed.groupBy("at").cogroup(repeats.groupBy("at")).applyInArrow(_digests, DIGEST)
 
 
@@ -341,8 +381,8 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     """The documents, with repeated words cut out of their texts; others are unchanged."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    repeats, groups = _found(documents)
     schema = to_arrow_schema(documents.schema)
     key = free_name(documents.columns, "_id")
-    packed = _packed(documents, groups, key)
+    packed = _packed(documents, key)
+    repeats = _found(documents, packed, key)
     return packed.groupBy("at").cogroup(repeats.groupBy("at")).applyInArrow(lambda d, r: _cut_documents(d, r, schema, key), documents.schema)

@@ -252,6 +252,22 @@ def test_documents_lose_their_repeats_only(make_docs, clashing):
     assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in out.collect())
 
 
+def test_a_passage_in_many_documents_brings_few_entries(make_docs, monkeypatch):
+    """Entries of one bucket, for a passage that 40 or 400 documents have."""
+    passage, most = " ".join(f"p{i}" for i in range(50)), {}
+    folder = substrings.written
+    for n in (40, 400):
+        docs = make_docs(*[(i, passage) for i in range(n)]).coalesce(2)
+        seen = {}
+        monkeypatch.setattr(substrings, "written", lambda f, label: seen.setdefault(label, folder(f, label)))
+        packed = substrings._packed(docs.select("doc_id", "text"))
+        anchors = packed.mapInArrow(lambda b: substrings._anchors(b, 1, "_id"), substrings.ENTRY_SQL)
+        most[n] = anchors.agg(F.sum(F.octet_length("kinds"))).first()[0]
+        assert sum(r["n_removed"] for r in substrings.digests(docs).collect()) == 50 * (n - 1)
+        assert seen["repeats"].agg(F.sum(F.octet_length("hashes"))).first()[0] <= 8 * 2
+    assert most[40] == most[400] <= 2 * (26 + 2)
+
+
 def test_query_removes_by_the_rule(spark, texts):
     found = sorted(tuple(r) for r in QUERIES["op5_fixed_block_substrings"](spark, SMALL).collect())
     assert found == sorted(removed_by_rule(list(texts.items())))
