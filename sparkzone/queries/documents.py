@@ -185,12 +185,20 @@ def doc_files(spark, folder):
     )
 
 
+# Records of a whole-text file of the shapes below; how many files there are follows the table.
+PER_FILE = 2000
+
+
 def _shape_files(spark: SparkSession, folder: str) -> str:
-    """Conversations as JSON files of every shape; line ends within values and broken ones among them."""
+    """Conversations as JSON files of every shape, a folder of files each; line ends within values and broken ones among them."""
     root = sharedfs.new_folder(spark, "shapes")
     c = table(spark, folder, "conversations")
+    user = c.where("role = 'user'")
+    files = 1 + user.count() // PER_FILE
+    # By turn, as a single conversation can be large.
+    group = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(files)).alias("group")
     record = F.to_json(F.struct("conv_id", "turn", "role"), {"pretty": "true"})
-    listed = c.groupBy("role").agg(F.array_sort(F.collect_list(record)).alias("records"), F.count("*").alias("n"))
+    listed = user.groupBy(group).agg(F.array_sort(F.collect_list(record)).alias("records"))
     body = F.array_join("records", ",\n")
     whole = {
         "list": F.concat(F.lit("[\n"), body, F.lit("\n]\n")),
@@ -198,11 +206,13 @@ def _shape_files(spark: SparkSession, folder: str) -> str:
         "broken": F.concat(F.lit("[\n"), body, F.lit(",\n")),
     }
     for name, text in whole.items():
-        listed.where("role = 'user'").select(text).coalesce(1).write.text(f"{root}/{name}.json", lineSep=" ")
-    c.orderBy("conv_id", "turn").limit(1).select(record).coalesce(1).write.text(f"{root}/object.json")
-    lines = c.select(F.to_json(F.struct("conv_id", "turn", "role")))
-    lines.coalesce(1).write.text(f"{root}/lines.ndjson")
-    lines.unionAll(spark.range(1).select(F.lit('{"conv_id": 1'))).coalesce(1).write.text(f"{root}/half.ndjson")
+        listed.select(text).write.option("maxRecordsPerFile", 1).text(f"{root}/{name}.json", lineSep=" ")
+    c.orderBy("conv_id", "turn").limit(1).select(record).write.text(f"{root}/object.json")
+    lines = c.select(F.to_json(F.struct("conv_id", "turn", "role")).alias("line"), group)
+    lines.select("line").write.text(f"{root}/lines.ndjson")
+    # Every file gets the broken line of its groups.
+    half = lines.unionAll(spark.range(files).select(F.lit('{"conv_id": 1').alias("line"), F.col("id").alias("group")))
+    half.repartition("group").select("line").write.text(f"{root}/half.ndjson")
     return root
 
 
@@ -225,7 +235,8 @@ def doc_multiline_files(spark, folder):
     )
     none = F.lit(None).cast("long")
     bad = parsed.malformed.select(F.lit("malformed").alias("kind"), file, F.lit(1).cast("long").alias("n"), none.alias("conv_ids"), none.alias("turns"))
-    return good.unionAll(bad)
+    # A broken file that were read would show among the records.
+    return good.unionAll(bad.distinct())
 
 
 @query(
@@ -235,13 +246,11 @@ def doc_multiline_files(spark, folder):
     union all select 'object.json', 0, 1 from u union all select 'lines.ndjson', 0, lines from u""",
 )
 def json_file_catalogue(spark, folder):
-    """One catalogue row per readable file, whatever its lines."""
+    """Catalogue rows of readable files, whatever their lines, summed by kind of file and level."""
     rows = profile_json_files(spark, _shape_files(spark, folder), "conversations", DATE)
-    return rows.select(
-        F.regexp_extract("file_path", r"([^/]+)/part-[^/]*$", 1).alias("file"),
-        F.get_json_object("metadata_blob", "$.nesting_level").cast("int").alias("nesting_level"),
-        "record_count",
-    )
+    file = F.regexp_extract("file_path", r"([^/]+)/part-[^/]*$", 1).alias("file")
+    level = F.get_json_object("metadata_blob", "$.nesting_level").cast("int").alias("nesting_level")
+    return rows.groupBy(file, level).agg(F.sum("record_count").alias("record_count"))
 
 
 @query(

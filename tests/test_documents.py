@@ -192,3 +192,19 @@ def test_a_rerun_leaves_the_same_rejects(spark, tmp_path):
         assert spark.read.parquet(path).count() == 1
     write_documents(clean_documents(docs(spark, good), "weather-barcelona", DATE), "weather-barcelona", str(tmp_path))
     assert spark.read.parquet(path).count() == 0
+
+
+def test_shape_files_follow_the_table(spark, monkeypatch):
+    from sparkzone.queries import QUERIES, SQL, documents
+
+    from .oracle import compare, connect
+
+    folder = "/root/testdata/sf0.001"
+    monkeypatch.setattr(documents, "PER_FILE", 20, raising=False)
+    root = documents._shape_files(spark, folder)
+    users = spark.read.parquet(f"{folder}/conversations.parquet").where("role = 'user'").count()
+    for name in ("list.json", "nested.json", "broken.json"):
+        texts = [r[0] for r in spark.read.text(f"{root}/{name}", wholetext=True).collect()]
+        assert len(texts) > users // 40 and max(t.count("conv_id") for t in texts) < max(100, users // 2)
+    for name in ("doc_multiline_files", "json_file_catalogue"):
+        assert compare(QUERIES[name](spark, folder), connect(folder), SQL[name]) is None
