@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import merkle, packing, simhash, substrings, tokens, toxicity
+from . import merkle, packing, simhash, substrings, tokens, toxicity, whitening
 from .common import table
 from .registry import query
 
@@ -42,3 +42,13 @@ def op5_fixed_block_substrings(spark, sf_dir):
 def op6_simhash_balls(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    error = whitening.identity_error(vectors, model) if model else None
+    out = whitening.whitened(vectors, model)
+    # The contract's long can't hold every exact sum; one beyond it is null.
+    return out.withColumn("deviation", F.expr("try_cast(deviation as long)")).withColumn("identity_error", F.lit(error).cast("double"))
