@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import merkle, packing, simhash, substrings, tokens, toxicity, whitening
+from . import decontamination, merkle, packing, simhash, substrings, tokens, toxicity, whitening
 from .common import table
 from .registry import query
 
@@ -52,3 +52,37 @@ def op11_embedding_whitening(spark, sf_dir):
     out = whitening.whitened(vectors, model)
     # The contract's long can't hold every exact sum; one beyond it is null.
     return out.withColumn("deviation", F.expr("try_cast(deviation as long)")).withColumn("identity_error", F.lit(error).cast("double"))
+
+
+DECONTAMINATION_SQL = r"""
+with dw as (
+    select row_number() over () as rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') as w
+    from documents
+), iw as (
+    select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') as w
+    from benchmark
+), iwin as (
+    select distinct item_id, least(len(w), 10) as k, array_to_string(w[start : start + least(len(w), 10) - 1], ' ') as win
+    from (select item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) as start from iw where len(w) > 0)
+), sizes as (
+    select distinct k from iwin
+), dwin as (
+    select rid, k, start, array_to_string(w[start : start + k - 1], ' ') as win
+    from (select rid, w, k, unnest(range(1, len(w) - k + 2)) as start from dw, sizes where len(w) >= k)
+), met as (
+    select d.rid, d.k, d.start, i.item_id from dwin d join iwin i on d.k = i.k and d.win = i.win
+), words as (
+    select rid, count(distinct p) as n_hit from (select rid, unnest(range(start, start + k)) as p from met) group by rid
+), named as (
+    select rid, count(*) as n_items, string_agg(id, ',' order by id) as ids
+    from (select distinct rid, cast(item_id as varchar) as id from met where item_id is not null) group by rid
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from dw left join words using (rid) left join named using (rid)
+"""
+
+
+@query("op12_suffix_automaton_decontamination", DECONTAMINATION_SQL)
+def op12_suffix_automaton_decontamination(spark, sf_dir):
+    return decontamination.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
