@@ -165,14 +165,15 @@ def _parts(items: DataFrame, key: str, window: int, most: int) -> tuple[DataFram
 
     A hash deals cuts to parts of half the bound on average; one that is larger is halved again by the next bits.
     """
-    cuts = written(for_python(items).select(F.col(key).cast("string").alias("item"), text_of().alias("text")).transform(lambda f: _cuts(f, window, most)), "items")
-    # One cut of each text is enough for its windows; ids that share it go along.
+    plain = for_python(items).select(F.col(key).cast("string").alias("item"), text_of().alias("text"))
+    # Equal rows say the same, and no hash would part them.
+    cuts = written(_cuts(plain, window, most).distinct(), "items")
     total = cuts.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-2 * int(total) // most)) if total > most else min(1, int(total))
     while parts:
         dealt = cuts.withColumn("part", F.pmod(F.xxhash64("item", "at", "cut"), F.lit(parts)))
         largest = dealt.groupBy("part").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
-        if largest <= most or parts > 64 * (total // most + 1):
+        if largest <= most:
             return dealt, parts
         parts *= 2
     return cuts.withColumn("part", F.lit(0)), 0

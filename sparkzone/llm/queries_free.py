@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontamination, merkle, packing, simhash, substrings, tokens, toxicity, whitening
+from . import decontamination, merkle, packing, simhash, spelling, substrings, tokens, toxicity, whitening
 from .common import table
 from .registry import query
 
@@ -86,3 +86,8 @@ from dw left join words using (rid) left join named using (rid)
 @query("op12_suffix_automaton_decontamination", DECONTAMINATION_SQL)
 def op12_suffix_automaton_decontamination(spark, sf_dir):
     return decontamination.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
