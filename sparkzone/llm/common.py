@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,17 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def id_text(column: str = "doc_id") -> Column:
+    """A whole number as text: pandas reads a batch of numbers and nulls as floats, which change large ones."""
+    return F.col(column).cast("string").alias(column)
+
+
+def with_ids(rows: list[tuple], columns: list[str], ids: str = "doc_id") -> pd.DataFrame:
+    """Rows as a frame whose ids, read by ``id_text``, are whole numbers or null again."""
+    values = dict(zip(columns, zip(*rows) if rows else [()] * len(columns)))
+    return pd.DataFrame({c: pd.array([None if x is None else int(x) for x in v], "Int64") if c == ids else list(v) for c, v in values.items()})
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
     """The frame after a round through the folder all executors share.
 

@@ -29,13 +29,12 @@ import math
 import re
 from collections import Counter
 
-import pandas as pd
 import xxhash
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import for_python, text_of
+from .common import for_python, id_text, text_of, with_ids
 
 LEAF = 8
 SECTION = re.compile(r"\n(?:[ \t\r]*\n)+")
@@ -163,7 +162,7 @@ def _compared(batches):
                 rows.append(_row(previous, text, mark))
             # Rows that only serve as the next one are sorted; the smallest is the right one.
             previous = (part, doc_id, text, mark, last)
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in COMPARED.split(", ")]).astype({"doc_id": "Int64"})
+        yield with_ids(rows, [c.split()[0] for c in COMPARED.split(", ")])
 
 
 def _row(of: tuple, next_text: str, next_mark: str) -> tuple:
@@ -176,7 +175,7 @@ def _row(of: tuple, next_text: str, next_mark: str) -> tuple:
 
 def compare_neighbours(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and likenesses, as ``COMPARED``."""
-    return with_next(spark, for_python(documents)).mapInPandas(_compared, COMPARED)
+    return with_next(spark, for_python(documents)).select("part", id_text(), "text", "last").mapInPandas(_compared, COMPARED)
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
@@ -184,7 +183,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "fingerprint": [fingerprint(t) for t in b["text"]]})
+            yield with_ids([(i, fingerprint(t)) for i, t in zip(b["doc_id"], b["text"])], ["doc_id", "fingerprint"])
 
-    return for_python(documents).select("doc_id", text_of().alias("text")).mapInPandas(run, "doc_id long, fingerprint string")
+    return for_python(documents).select(id_text(), text_of().alias("text")).mapInPandas(run, "doc_id long, fingerprint string")
 

@@ -27,12 +27,13 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, WORD, text_of, written
+from .common import SPACE, WORD, free_name, text_of, written
 
 BLOCK_WORDS = 4096
 MAX_BLOCKS = 65_536
 MAX_REPEATS = 3
-SHARDS = 64
+# Shards at least, and words of a shard from which there are more.
+SHARDS, SHARD_WORDS = 64, 1 << 24
 SEED = "mix-1"
 # Tables up to so many rows (about 60 bytes each) are sent to every task; larger ones are joined by shuffle.
 SENT_ROWS = 100_000
@@ -221,11 +222,29 @@ def first_words(text: Column, n: Column) -> Column:
     return F.rtrim(F.substring(start, F.lit(1), F.length(start) - F.length(rest)), F.lit(" \t\n\x0b\x0c\r"))
 
 
-def mixed_documents(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The mix as documents: a row per draw, in shard and random order; the row in which a
-    source's target ends keeps its first words only."""
-    out = mix(sized(documents.select("doc_id", "text", "lang", "source", "n_chars")), shards)
-    cut = F.when(F.col("taken") < F.col("size"), first_words(F.col("text"), F.col("taken"))).otherwise(F.col("text"))
-    out = out.withColumn("text", cut).withColumn("n_chars", F.when(F.col("taken") < F.col("size"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    out = out.select("doc_id", "text", "lang", "source", "n_chars", "shard", "position")
-    return out.repartition("shard").sortWithinPartitions("shard", "position")
+def shards_for(words: int) -> int:
+    """A power of two that keeps shards of ``SHARD_WORDS`` words at most, and is at least ``SHARDS``."""
+    return max(SHARDS, 1 << max(0, (int(words) - 1) // SHARD_WORDS).bit_length())
+
+
+def mixed_documents(documents: DataFrame, shards: int | None = None) -> DataFrame:
+    """The mix as documents with all their columns: a row per draw, in shard and random order; the row in
+    which a source's target ends keeps its first words only. Shards follow the words unless given;
+    columns ``shard`` and ``position`` are added, as ``_shard`` and so on where documents have such ones."""
+    own = sized(documents.select("doc_id", "source", "text", F.struct(*(F.col(f"`{c}`") for c in documents.columns if c != "text")).alias("others")))
+    if shards is None:
+        shards = shards_for(own.agg(F.sum("size")).first()[0] or 0)
+    out = mix(own, shards)
+    is_cut = F.col("taken") < F.col("size")
+    out = out.withColumn("text", F.when(is_cut, first_words(F.col("text"), F.col("taken"))).otherwise(F.col("text")))
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("text")
+        if name == "n_chars":
+            return F.when(is_cut, F.length("text").cast("long")).otherwise(F.col("others.n_chars")).alias(name)
+        return F.col(f"others.`{name}`").alias(name)
+
+    added = [F.col(c).alias(free_name(documents.columns, c)) for c in ("shard", "position")]
+    dealt = out.repartition(shards, "shard").sortWithinPartitions("shard", "position")
+    return dealt.select(*map(column, documents.columns), *added)

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import for_python, text_of
+from .common import for_python, id_text, text_of, with_ids
 from .tokens import UNUSUAL, default_path
 
 TIERS = (2048, 1024, 512, 256)
@@ -173,7 +173,7 @@ def _packed(batches, path: str, tiers: tuple[int, ...], end_id: int):
         sequences += 1
 
     def flushed() -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")]).astype({"doc_id": "Int64"})
+        out = with_ids(rows, [c.split()[0] for c in PIECES.split(", ")])
         rows.clear()
         return out
 
@@ -193,7 +193,7 @@ def _packed(batches, path: str, tiers: tuple[int, ...], end_id: int):
 def pack_documents(documents: DataFrame, path: str | None = None, tiers: tuple[int, ...] = TIERS, end_id: int = END_ID) -> DataFrame:
     """The pieces of all documents, as ``PIECES``; ``window`` is the length of the piece's sequence."""
     path = path or default_path()
-    return for_python(documents).select("doc_id", text_of().alias("text")).mapInPandas(lambda batches: _packed(batches, path, tiers, end_id), PIECES)
+    return for_python(documents).select(id_text(), text_of().alias("text")).mapInPandas(lambda batches: _packed(batches, path, tiers, end_id), PIECES)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:

@@ -42,31 +42,14 @@ from .common import WORD, for_python, free_name, text_of, written
 
 WINDOW, BLOCK = 50, 25
 # Text bytes behind a bucket of hashes, the most buckets, and bytes of rows in a chunk.
-BUCKET_BYTES, GROUP_BYTES, MOST = 8 << 20, 8 << 20, 1 << 17
-# Words whose hashes a task gathers before it sends them.
-BATCH_WORDS = 1 << 20
+BUCKET_BYTES, GROUP_BYTES, MOST = 4 << 20, 4 << 20, 1 << 17
+# Words whose hashes a task gathers before it sends them, and entries of a bucket it compares at a time, about.
+BATCH_WORDS, AT_ONCE = 1 << 18, 1 << 18
 LAST_ID = (1 << 63) - 1
 SPAN = re.compile(WORD)
 # Odd multipliers of the rolling hashes.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _powers_of(factor: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of a factor and of its inverse, modulo 2^64."""
-    have = _powers.get(factor)
-    if have is None or len(have[0]) < n:
-        size = max(n, 1 << 15)
-        made = []
-        for f in (factor, pow(factor, -1, 1 << 64)):
-            steps = np.full(size, f, np.uint64)
-            steps[0] = 1
-            made.append(np.multiply.accumulate(steps))
-        have = _powers[factor] = tuple(made)
-    return have[0][:n], have[1][:n]
-
-
 def word_hashes(text: str) -> np.ndarray:
     found = text.encode("utf-8", "surrogatepass").split()
     return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
@@ -78,14 +61,22 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def rolling(words: np.ndarray, width: int, factor: int = FACTORS[0]) -> np.ndarray:
-    """A hash of every stretch of ``width`` words."""
-    n = len(words)
-    if n < width:
+    """A hash of every stretch of ``width`` words, put together from stretches of powers of two."""
+    n = len(words) - width + 1
+    if n < 1:
         return np.zeros(0, np.uint64)
-    up, down = _powers_of(factor, n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(words * up[:n], out=sums[1:])
-    return _mixed((sums[width:] - sums[:-width]) * down[: n - width + 1])
+    out, done = np.zeros(n, np.uint64), 0
+    part, size = words, 1
+    while True:
+        shift = np.uint64(pow(factor, size, 1 << 64))
+        if width & size:
+            out *= shift
+            out += part[done : done + n]
+            done += size
+        if done == width:
+            return _mixed(out)
+        part = part[:-size] * shift + part[size:]
+        size *= 2
 
 
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
@@ -175,17 +166,42 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], b[new]
 
 
+def _slices(h: np.ndarray):
+    """Places of entries, equal hashes together, about ``AT_ONCE`` at a time."""
+    parts = 1 + len(h) // AT_ONCE
+    if parts == 1:
+        yield np.arange(len(h))
+        return
+    # The lowest bits, as a bucket's hashes share the highest.
+    which = (h.astype(np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(16)) * np.uint32(parts) >> np.uint32(16)
+    for k in range(parts):
+        yield np.flatnonzero(which == k)
+
+
+def _free() -> None:
+    """Give memory of the group before back, which the worker else keeps."""
+    pa.default_memory_pool().release_unused()
+
+
+def _together(batches: list[pa.RecordBatch], schema: pa.Schema) -> pa.Table:
+    _free()
+    return pa.Table.from_batches(batches, schema)
+
+
 def _hits(table: pa.Table) -> pa.Table:
     """Least id of blocks and greatest of probes per hash of one bucket, for every chunk that has it, if a probe can hit."""
-    ids, h, kinds = _joined(table, "ids", np.int64), _joined(table, "hashes", np.uint32), _joined(table, "kinds", np.uint8)
-    block = kinds == 1
-    known, where = np.unique(h, return_inverse=True)
-    least, most = np.full(len(known), LAST_ID, np.int64), np.full(len(known), -LAST_ID, np.int64)
-    np.minimum.at(least, where[block], ids[block])
-    np.maximum.at(most, where[~block], ids[~block])
-    met = (least < most)[where]
-    at, where = _pairs(_chunks(table)[met], where[met])
-    return pa.Table.from_batches([_rows(at, HIT, hashes=known[where], least=least[where], most=most[where])])
+    all_ids, all_h, all_kinds = _joined(table, "ids", np.int64), _joined(table, "hashes", np.uint32), _joined(table, "kinds", np.uint8)
+    all_chunks, out = _chunks(table), []
+    for some in _slices(all_h):
+        ids, block = all_ids[some], all_kinds[some] == 1
+        known, where = np.unique(all_h[some], return_inverse=True)
+        least, most = np.full(len(known), LAST_ID, np.int64), np.full(len(known), -LAST_ID, np.int64)
+        np.minimum.at(least, where[block], ids[block])
+        np.maximum.at(most, where[~block], ids[~block])
+        met = (least < most)[where]
+        at, where = _pairs(all_chunks[some][met], where[met])
+        out.append(_rows(at, HIT, hashes=known[where], least=least[where], most=most[where]))
+    return _together(out, HIT)
 
 
 def _known_hits(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -250,16 +266,19 @@ def _windows(chunk: int, texts: pa.Table, hits: pa.Table, buckets: int, key: str
 
 def _repeats(table: pa.Table) -> pa.Table:
     """The least id of each window of one bucket, for the chunks that have it in a document with a larger id."""
-    ids, h, check = _joined(table, "ids", np.int64), _joined(table, "hashes", np.uint64), _joined(table, "kinds", np.uint16)
-    order = np.lexsort((ids, check, h))
-    ids, h, check, chunk = ids[order], h[order], check[order], _chunks(table)[order]
-    new = np.r_[True, (h[1:] != h[:-1]) | (check[1:] != check[:-1])] if len(h) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    which = np.cumsum(new) - 1
-    again = ids > ids[first][which]
-    at, which = _pairs(chunk[again], which[again])
-    place = first[which]
-    return pa.Table.from_batches([_rows(at, REPEAT, hashes=h[place], checks=check[place], least=ids[place])])
+    all_ids, all_h, all_checks = _joined(table, "ids", np.int64), _joined(table, "hashes", np.uint64), _joined(table, "kinds", np.uint16)
+    all_chunks, out = _chunks(table), []
+    for some in _slices(all_h):
+        order = some[np.lexsort((all_ids[some], all_checks[some], all_h[some]))]
+        ids, h, check, chunk = all_ids[order], all_h[order], all_checks[order], all_chunks[order]
+        new = np.r_[True, (h[1:] != h[:-1]) | (check[1:] != check[:-1])] if len(h) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        which = np.cumsum(new) - 1
+        again = ids > ids[first][which]
+        at, which = _pairs(chunk[again], which[again])
+        place = first[which]
+        out.append(_rows(at, REPEAT, hashes=h[place], checks=check[place], least=ids[place]))
+    return _together(out, REPEAT)
 
 
 def _removed(text: str, doc: int, repeats: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray | None:
@@ -303,6 +322,7 @@ def _digests(texts: pa.Table, repeats: pa.Table) -> pa.Table:
             for column, value in zip(columns, (doc, len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest())):
                 column.append(value)
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+    _free()
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
 
@@ -328,6 +348,7 @@ def _cut_documents(texts: pa.Table, repeats: pa.Table, schema: pa.Schema, key: s
             counts = [n if t is None or t == old else len(t) for n, t, old in zip(batch.column("n_chars").to_pylist(), new, batch.column("text").to_pylist())]
             changed = changed.set_column(changed.column_names.index("n_chars"), "n_chars", pa.array(counts, pa.int64()))
         out.append(changed)
+    _free()
     return pa.concat_tables(out).cast(schema) if out else schema.empty_table()
 
 

@@ -24,11 +24,10 @@ import re
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from .common import for_python, text_of
+from .common import for_python, id_text, text_of, with_ids
 
 # The byte alphabet of byte-level vocabularies, and their cutting pattern.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -218,7 +217,6 @@ def prefix_counts(documents: DataFrame, budget: int, path: str | None = None, ke
                 steps, raw = made.steps(text), text.encode()
                 row = (doc_id, len(raw), count_at(steps, len(steps)), longest_within(steps, raw, budget))
                 rows.append((*row, steps) if keep_steps else row)
-            out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_tokens", "bytes_in_budget", *(["steps"] if keep_steps else [])])
-            yield out.astype({"doc_id": "Int64"})
+            yield with_ids(rows, ["doc_id", "n_bytes", "n_tokens", "bytes_in_budget", *(["steps"] if keep_steps else [])])
 
-    return for_python(documents).select("doc_id", text_of().alias("text")).mapInPandas(run, schema)
+    return for_python(documents).select(id_text(), text_of().alias("text")).mapInPandas(run, schema)

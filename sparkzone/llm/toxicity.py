@@ -21,7 +21,8 @@ into the fit. Nothing but the text enters a score.
 Cases: null text is empty and scores the base rate, as do texts without known features; a
 label that is null is no label; a document with several labels is toxic if one says so; with
 labels of one kind only, or none, every score is the share of toxic ones (0 if unknown); null
-ids are held out by no fold and carry no label; repeated rows score alike; no rows in give no
+ids are held out by no fold and carry no label; of sampled copies with one label the least id
+counts; repeated rows score alike; no rows in give no
 rows out; extra columns are ignored.
 """
 
@@ -137,8 +138,8 @@ def _sample(documents: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     # The hint is safe: ``bound`` rows of two numbers.
     found = documents.select("doc_id", text_of().alias("text")).join(F.broadcast(picked), "doc_id")
-    # Copies teach nothing new and would outweigh other words.
-    return written(found.dropDuplicates(["text", "toxic"]), "toxicity-sample")
+    # Copies teach nothing new and would outweigh other words. The least id of theirs picks the swap, on every run.
+    return written(found.groupBy("text", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id", "text", "toxic"), "toxicity-sample")
 
 
 def _lexicon(sample: DataFrame, size: int) -> list[str]:

@@ -441,3 +441,61 @@ def test_toxic_texts_may_be_half_or_most_of_the_sample(spark, make_docs, clean_o
 def test_counterfactuals_swap_whole_terms():
     assert toxicity.counterfactual("The women left. Nobody else.", 0).split() == ["The", "men", "left.", "Nobody", "else."]
     assert toxicity.counterfactual("womenfolk", 0) is None and F is not None
+
+
+def test_large_ids_beside_null_ones_stay_exact(spark, make_docs):
+    """Rows of one batch, where pandas would read a null among numbers as floats."""
+    ids = [None, 2**53 + 1, 2**53 + 3, 2**62 + 1, -(2**62) - 1]
+    docs = make_docs(*((i, f"text {n}") for n, i in enumerate(ids))).coalesce(1)
+    for out in (packing.pack_documents(docs), tokens.prefix_counts(docs, 5), merkle.compare_neighbours(spark, docs), merkle.fingerprints(docs), substrings.digests(docs)):
+        assert {r["doc_id"] for r in out.collect()} == set(ids)
+
+
+def test_rolling_hashes_tell_stretches_apart_and_nothing_else():
+    rng = np.random.default_rng(2)
+    words = rng.integers(0, 3, 400).astype(np.uint64)
+    for width in (1, 2, 3, 25, 50, 400):
+        h = substrings.rolling(words, width)
+        stretches = [tuple(words[i : i + width]) for i in range(len(words) - width + 1)]
+        assert len(h) == len(stretches) and len(set(h.tolist())) == len(set(stretches)) == len(set(zip(h.tolist(), stretches)))
+    assert len(substrings.rolling(words, 401)) == 0
+
+
+def test_slices_hold_every_entry_once_and_equal_hashes_together(monkeypatch):
+    monkeypatch.setattr(substrings, "AT_ONCE", 100)
+    h = np.random.default_rng(4).integers(0, 500, 3000).astype(np.uint32)
+    parts = list(substrings._slices(h))
+    assert sorted(np.concatenate(parts).tolist()) == list(range(3000)) and len(parts) > 20
+    assert sum(len(set(h[p].tolist())) for p in parts) == len(set(h.tolist()))
+
+
+def test_the_fit_descends_its_own_loss():
+    """The gradient steps end where a plain loss has its least value, by differences on every side."""
+    rng = np.random.default_rng(6)
+    own = [np.flatnonzero(rng.random(4) < 0.5) for _ in range(300)]
+    other = [np.setdiff1d(x, [0]) if 0 in x else None for x in own]
+    toxic = np.array([float((1 in x) == (rng.random() < 0.75)) for x in own])
+
+    def loss(b, w, penalty):
+        p = lambda x: 1 / (1 + np.exp(-(b + w[x].sum())))
+        log = -np.mean([np.log(p(x)) if t else np.log(1 - p(x)) for x, t in zip(own, toxic)])
+        moved = [(p(x) - p(y)) ** 2 for x, y in zip(own, other) if y is not None]
+        return log + penalty * np.mean(moved) + toxicity.RIDGE / 2 * (w**2).sum()
+
+    for penalty in (0.0, 40.0):
+        b, w = toxicity.fit(toxic, own, other, 4, penalty)
+        at = loss(b, w, penalty)
+        for k in range(4):
+            for step in (0.05, -0.05):
+                moved = w.copy()
+                moved[k] += step
+                assert loss(b, moved, penalty) > at
+        assert loss(b + 0.05, w, penalty) > at and loss(b - 0.05, w, penalty) > at
+
+
+def test_training_repeats_itself_where_copies_have_several_ids(spark, make_docs):
+    # Copies with different ids could pick different swaps.
+    rows = [(i, f"women are bad{i % 2} people {'awful' if i % 3 == 0 else 'fine'} w{i % 7}") for i in range(1, 200)]
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    models = [toxicity.train(make_docs(*some), labels) for some in (rows, rows[::-1])]
+    assert models[0] == models[1] and models[0].weights

@@ -243,3 +243,18 @@ def test_one_failing_rule_does_not_reject(spark):
     rows = kept.where("not base_failed").collect()
     right = sum(r["kept"] == bool(r["quality"]) for r in rows)
     assert right >= 0.97 * len(rows)
+
+
+def test_mixed_documents_keep_every_column(make_docs, clashing):
+    docs = make_docs((1, "a b c", "x"), (2**62 + 1, "d e f g", "y"), (None, "h", None), (4, None, "x"), **clashing, shard="p", Position="q", rest="r")
+    out = mixing.mixed_documents(docs)
+    assert out.columns == [*docs.columns, "_shard", "_position"]
+    before = {r["doc_id"]: r for r in docs.collect()}
+    rows = out.collect()
+    assert {2**62 + 1, None} <= {r["doc_id"] for r in rows}
+    for r in rows:
+        assert all(r[c] == before[r["doc_id"]][c] for c in docs.columns if c not in ("text", "n_chars"))
+
+
+def test_shards_follow_the_words():
+    assert [mixing.shards_for(n) for n in (0, 1, 64 << 24, (64 << 24) + 1, 10**12)] == [64, 64, 64, 128, 1 << 16]
