@@ -29,7 +29,7 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(docs).drop("shard", "position")
+    return mixing.mixed_documents(docs).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
