@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import sharedfs
-from ..streaming import events as ev, sinks
+from ..streaming import events as ev, listener, sinks
 from .documents import STATIONS_SQL, station_payloads
 from .registry import DATE, query, table
 
@@ -123,3 +124,48 @@ def stream_explode(spark, folder):
 @query("locality_filter", "select n_nationkey, n_name from nation where contains(lower(n_name), 'nation_1')")
 def locality_filter(spark, folder):
     return table(spark, folder, "nation").filter(ev.near(F.col("n_name"), "Nation_1")).select("n_nationkey", "n_name")
+
+
+WAVES = 3
+
+
+@query(
+    "stream_progress",
+    f"""with w as (select event_id, value, event_id % {WAVES} as wave from events)
+    select cast(wave as bigint) as batch_id, count(*) as input_rows, count(*) as received, count(*) filter (value >= 50) as kept,
+      cast(case when wave = 1 then 2 else 1 end as bigint) as runs, cast(case when wave = 1 then 1 else 0 end as bigint) as failures from w group by wave""",
+)
+def stream_progress(spark, folder):
+    """Stored progress of a stream that gets a third of the events at a time, is stopped after each, and fails once.
+
+    The failed batch is run again after a restart, and is told once.
+    """
+    root = sharedfs.new_folder(spark, "progress")
+    events = table(spark, folder, "events").select("event_id", "value")
+    keep = F.col("value") >= 50
+    write = sinks.parquet_writer(f"{root}/out")
+
+    def fails(batch: DataFrame, batch_id: int) -> None:
+        raise RuntimeError(f"batch {batch_id} has no luck")
+
+    tried = []
+    with listener.ProgressLog(spark, f"{root}/log") as log:
+        for wave in range(WAVES):
+            events.where(F.col("event_id") % WAVES == wave).write.mode("append").parquet(f"{root}/in")
+            for writer in (fails, write) if wave == 1 else (write,):
+                stream = spark.readStream.schema(events.schema).parquet(f"{root}/in")
+                counted = stream.observe("rows", F.count(F.lit(1)).alias("received"), F.count_if(keep).alias("kept"))
+                started = sinks.write_batches(counted, f"{root}/checkpoint", writer, keep, name="told", available_now=True)
+                try:
+                    started.awaitTermination()
+                except StreamingQueryException:
+                    pass
+                log.wait(started)
+                tried.append((wave, str(started.runId)))
+    told = listener.progress(spark, f"{root}/log")
+    runs = listener.runs(spark, f"{root}/log").where("name = 'told' and not active").select("run_id", F.col("error").isNotNull().alias("failed"))
+    by_wave = spark.createDataFrame(tried, "batch_id BIGINT, run_id STRING").join(runs, "run_id").groupBy("batch_id").agg(
+        F.count("*").alias("runs"), F.count_if("failed").alias("failures")
+    )
+    metric = lambda name: F.col("observed")["rows"][name].cast("bigint").alias(name)
+    return told.select("batch_id", "input_rows", metric("received"), metric("kept")).join(by_wave, "batch_id")

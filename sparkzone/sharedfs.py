@@ -75,6 +75,16 @@ def holds_data(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    """A small file, in one piece for readers that list complete files only."""
+    fs, target = _hadoop_path(spark, path)
+    out = fs.create(target, overwrite)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, target = _hadoop_path(spark, path)
     return bool(fs.delete(target, True))
