@@ -23,6 +23,8 @@ from .rows import keep_first
 MAX_SENT_QUERIES = 4096
 TILE_QUERIES = 1024
 TILE_VECTORS = 8192
+# Vectors in a file of a stored index.
+CELL_ROWS = 1 << 19
 # Scores held at once, and what the names of carried fields begin with.
 SCORES_AT_ONCE = 1 << 21
 FIELD = "field_"
@@ -415,13 +417,16 @@ def top_k_cells(
     id: str = "id",
     vector: str = "embeddings",
     output: Sequence[str] = (),
+    prune: bool = False,
 ) -> DataFrame:
     """Cosine top k that reads only some cells, for any number of queries.
 
     With ``nprobe`` the nearest cells are read and the result is approximate.
     Without it the result is exact: the nearest cell gives a score to beat, and
     a cell is read only if its centre and radius leave room for a better one.
-    Store the vectors partitioned by cell and the others are not even opened.
+    With ``prune`` the numbers of the cells to read, of which there are as many as the index
+    has, become a filter on the vectors: those of a stored index are partitioned by cell, so the others
+    are not even listed.
     """
     schema = _result_schema(queries, cell_vectors, query_id, id, output)
     # As many rows as there are cells, a parameter of the index.
@@ -441,10 +446,16 @@ def top_k_cells(
         return wanted.mapInPandas(run, f"query_id {kind}, q ARRAY<DOUBLE>, cell INT")
 
     nearest = lambda n: lambda similarity, _: np.argsort(np.argsort(-similarity, axis=1), axis=1) < n
-    found = lambda probes, fields: _final_top(
-        _tiled_top_k(probes, _candidates(cell_vectors, id, vector, fields, "cell"), k, schema if fields == output else plain, fields), k
-    )
     plain = _result_schema(queries, cell_vectors, query_id, id, ())
+
+    def found(probes: DataFrame, fields: Sequence[str]) -> DataFrame:
+        searched = cell_vectors
+        if prune:
+            probes = cut_lineage(probes, "probes")
+            wanted = [r["cell"] for r in probes.select("cell").distinct().collect()]
+            searched = cell_vectors.where(F.col("cell").isin(wanted))
+        return _final_top(_tiled_top_k(probes, _candidates(searched, id, vector, fields, "cell"), k, schema if fields == output else plain, fields), k)
+
     if nprobe is not None:
         return found(probe(asked, nearest(nprobe)), output)
     # The k-th score of the nearest cell is the one to beat.
@@ -456,3 +467,20 @@ def top_k_cells(
         return (best >= frame["beat"].fillna(-1.0).to_numpy()[:, None] - 1e-5) | nearest(1)(similarity, frame)
 
     return found(probe(asked.join(first, "query_id", "left"), reachable), output)
+
+
+def store_cells(cell_vectors: DataFrame, cells: DataFrame, path: str) -> None:
+    """An index on disk: vectors in a folder per cell, and the table of cells. ``path`` must be new.
+
+    A task writes about ``CELL_ROWS`` vectors of one cell, so a popular cell is many files.
+    """
+    parts = cells.select("cell", F.ceil(F.col("n") / CELL_ROWS).alias("__parts"))
+    place = F.pmod(F.xxhash64(*[c for c in cell_vectors.columns if c != "cell"]), F.col("__parts"))
+    dealt = cell_vectors.join(parts, "cell").withColumn("__part", place).repartition("cell", "__part")
+    dealt.drop("__parts", "__part").write.partitionBy("cell").parquet(f"{path.rstrip('/')}/vectors")
+    cells.write.parquet(f"{path.rstrip('/')}/cells")
+
+
+def stored_cells(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """What ``build_cells`` gave, from disk, for any later session; search it with ``prune``."""
+    return spark.read.parquet(f"{path.rstrip('/')}/vectors"), spark.read.parquet(f"{path.rstrip('/')}/cells")

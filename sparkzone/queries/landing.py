@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from .. import sharedfs
 from ..functions import text
 from ..functions.keys import fingerprint
-from ..operators import integrity
+from ..operators import integrity, signatures, sketches
+from ..operators.joins import null_safe_join
 from ..plans import landing
 from ..sources import tables
 from .registry import DATE, fp, query, table
@@ -156,3 +157,59 @@ def row_key_nulls(spark, folder):
     flag = F.when(F.col("l_returnflag") != "A", F.col("l_returnflag"))
     status = F.when(F.col("l_linestatus") != "F", F.col("l_linestatus"))
     return table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", fingerprint(flag, status).alias("key"))
+
+
+SIGNED = ("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate")
+SIGNED_SQL = "l_orderkey", "l_linenumber", "l_returnflag", "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')"
+SUMS_SQL = """count(*) as rows, sum(('0x' || digest[1:15])::bigint)::varchar as sum_high, sum(('0x' || digest[17:31])::bigint)::varchar as sum_low"""
+
+
+@query(
+    "signature_after_append",
+    f"""with d as (select l_returnflag, {fp(*SIGNED_SQL)} as digest from lineitem),
+    twice as (select digest from d union all select digest from d where l_returnflag = 'N')
+    select {SUMS_SQL}, (select count(*) from d where l_returnflag = 'R') as appended, (select count(*) from d where l_returnflag = 'N') * 2 as replaced from twice""",
+)
+def signature_after_append(spark, folder):
+    """Signatures kept per file, brought up to date after an append and after a replaced partition, equal a full recount.
+
+    ``appended`` and ``replaced`` are the rows that each of the two updates read.
+    """
+    root = sharedfs.new_folder(spark, "signed")
+    rows = table(spark, folder, "lineitem").select(*SIGNED[:3], F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("l_shipdate"))
+    sign = lambda: signatures.refresh(spark, f"{root}/table", f"{root}/state", SIGNED)
+    tables.replace_partitions(rows.where("l_returnflag <> 'R'"), f"{root}/table", "l_returnflag")
+    sign()
+    tables.append(rows.where("l_returnflag = 'R'"), f"{root}/table", ["l_returnflag"])
+    appended = sign()
+    again = rows.where("l_returnflag = 'N'")
+    tables.replace_partitions(again.unionAll(again), f"{root}/table", "l_returnflag")
+    replaced = sign()
+    read = lambda state: state.agg(F.coalesce(F.sum(F.when(F.col("read"), F.col("rows"))), F.lit(0))).scalar()
+    sums = [F.col(c).cast("string").alias(c) for c in signatures.SUMS[1:]]
+    return signatures.merged(replaced).select("rows", *sums, read(appended).alias("appended"), read(replaced).alias("replaced"))
+
+
+@query(
+    "distinct_users",
+    """with e as (select strftime(ts, '%Y-%m') as month, user_id from events)
+    select month, count(distinct user_id) as users, true as within from e group by 1 union all select null, count(distinct user_id), true from e""",
+)
+def distinct_users(spark, folder):
+    """Exact distinct users per month and of all months, each beside an estimate from stored sketches per day.
+
+    One day is counted anew and only its sketch is replaced; months and the total are unions of sketches.
+    """
+    root = sharedfs.new_folder(spark, "sketches")
+    days = table(spark, folder, "events").select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    tables.replace_partitions(sketches.distinct_sketches(days, ["day"], "user_id"), root, "day")
+    again = days.where(F.col("day") == days.agg(F.min("day")).scalar())
+    tables.replace_partitions(sketches.distinct_sketches(again, ["day"], "user_id"), root, "day")
+    stored = spark.read.schema("sketch BINARY, day STRING").parquet(root).withColumn("month", F.substring("day", 1, 7))
+    estimates = sketches.distinct_estimates(stored, ["month"]).unionByName(sketches.distinct_estimates(stored).withColumn("month", F.lit(None).cast("string")))
+    months = days.withColumn("month", F.substring("day", 1, 7))
+    exact = months.groupBy("month").agg(F.count_distinct("user_id").alias("users")).unionByName(
+        months.agg(F.count_distinct("user_id").alias("users")).withColumn("month", F.lit(None).cast("string"))
+    )
+    off = F.abs(F.col("estimate") - F.col("users")) <= sketches.relative_error() * F.col("users")
+    return null_safe_join(exact, estimates, ["month"]).select("month", "users", off.alias("within"))

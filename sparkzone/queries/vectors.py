@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .. import sharedfs
 from ..operators import vectors as vec
+from ..sources import versions
 from ..sources.tables import upsert
 from .registry import DATE, query, table
 
@@ -60,6 +64,35 @@ def vector_cells_exact(spark, folder):
     return hits.withColumn("score", F.round("score", 6))
 
 
+@query("vector_index_stored", TOP_SQL + "select query_id, id, round(score, 6) as score, rank from r where rank <= 5")
+def vector_index_stored(spark, folder):
+    """The index is written, opened as a later session would, and only the folders of cells in reach are read."""
+    path = sharedfs.new_folder(spark, "index")
+    vec.store_cells(*vec.build_cells(collection(spark, folder).select("id", "embeddings"), nlist=16), path)
+    hits = vec.top_k_cells(label_queries(spark, folder), *vec.stored_cells(spark, path), 5, prune=True)
+    return hits.withColumn("score", F.round("score", 6))
+
+
+@query(
+    "vector_collection_versions",
+    """with e as (select vec_id, label from embeddings), first as (select 'first' as seen, count(*) as n, count(*) filter (label = 0) as zeros from e),
+    last as (select 'last' as seen, count(*) as n, count(*) filter (label = 0) as zeros from e where label <> 9 or label is null)
+    select * from first union all select 'after_failure', n, zeros from first union all select * from last union all select 'former', n, zeros from first""",
+)
+def vector_collection_versions(spark, folder):
+    """A collection replaced by a frame that reads it: what readers see before, after a failed attempt, after, and by number."""
+    root = sharedfs.new_folder(spark, "collection")
+    seen = lambda name, rows: rows.agg(F.lit(name).alias("seen"), F.count("*").alias("n"), F.count_if(F.col("label") == "0").alias("zeros"))
+    versions.publish(collection(spark, folder).select("id", "label", "embeddings"), root)
+    parts = [seen("first", versions.read(spark, root))]
+    changed = versions.read(spark, root).where("label <> '9' or label is null")
+    versions.stage(changed, root)  # and the job ends here, before its commit
+    parts.append(seen("after_failure", versions.read(spark, root)))
+    versions.publish(changed, root)
+    parts += [seen("last", versions.read(spark, root)), seen("former", versions.read(spark, root, 0))]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "vector_cells_many_queries",
     """with u as (select vec_id, label, [cast(x as double) for x in embedding] as v from embeddings),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -85,6 +86,30 @@ def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True
         out.close()
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    fs, target = _hadoop_path(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def rename_new(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file; ``FileExistsError`` if the target exists."""
+    jvm = spark.sparkContext._jvm
+    source, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri() if target.toUri().getScheme() else jvm.java.io.File("/").toURI(), spark.sparkContext._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(source, target, none)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            raise FileExistsError(to) from error
+        raise
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, target = _hadoop_path(spark, path)
     return bool(fs.delete(target, True))
