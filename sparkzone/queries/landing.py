@@ -213,3 +213,21 @@ def distinct_users(spark, folder):
     )
     off = F.abs(F.col("estimate") - F.col("users")) <= sketches.relative_error() * F.col("users")
     return null_safe_join(exact, estimates, ["month"]).select("month", "users", off.alias("within"))
+
+
+@query(
+    "csv_many_files",
+    """select o_orderstatus, count(*) as n, cast(sum(o_orderkey) as bigint) as keys, cast(sum(o_custkey) as bigint) as customers, round(sum(case when o_orderstatus <> 'P' then o_totalprice end), 2) as price
+    from orders group by 1""",
+)
+def csv_many_files(spark, folder):
+    """Three headers over files of 100 rows each: all headers come from one job."""
+    root = sharedfs.new_folder(spark, "files")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    turned = orders.select("o_totalprice", "o_orderstatus", "o_custkey", "o_orderkey")
+    for part in (orders.filter("o_orderstatus = 'F'"), turned.filter("o_orderstatus = 'O'"), orders.drop("o_totalprice").filter("o_orderstatus = 'P'")):
+        part.write.mode("append").option("header", True).option("maxRecordsPerFile", 100).csv(f"{root}/raw")
+    read = tables.read_raw_csv(spark, f"{root}/raw")
+    return read.groupBy("o_orderstatus").agg(
+        F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.sum("o_custkey").alias("customers"), F.round(F.sum("o_totalprice"), 2).alias("price")
+    )

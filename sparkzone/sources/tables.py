@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructType
@@ -20,21 +21,50 @@ def read_raw_csv(spark: SparkSession, path: str, encoding: str | None = None, mu
     the texts; ``schema`` (``name type, ...``) saves that pass, and a value that does not fit it
     is an error, never a null. A file read with ``multi_line`` is one task.
 
-    Files are listed one by one, so ``year=...`` folders do not become columns.
+    Files are listed one by one, so ``year=...`` folders do not become columns. The headers of a
+    few are read one after another, which opens their first block only; those of many in one job.
     """
     files = sharedfs.data_files(spark, path)
     if not files:
         raise GateError(f"no CSV under {path}")
-    reader = spark.read.options(header=True, encoding=encoding or "UTF-8", multiLine=multi_line, mode="FAILFAST", escape='"')
+    options = {"header": True, "encoding": encoding or "UTF-8", "multiLine": multi_line, "mode": "FAILFAST", "escape": '"'}
+    # A reader is made for each use, as one keeps the schema it was given.
+    reader = lambda: spark.read.options(**options)
+    alike = _by_first_line(spark, files, options["encoding"]) if len(files) > FEW_FILES and not multi_line else [[f] for f in files]
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in files:  # only the header of each is read
-        by_header.setdefault(tuple(reader.csv(file).columns), []).append(file)
-    texts = [reader.schema(_string_schema(names)).csv(group) for names, group in by_header.items()]
+    for group in alike:
+        by_header.setdefault(tuple(reader().csv(group[0]).columns), []).extend(group)
+    # A file of empty lines has neither columns nor rows.
+    texts = [reader().schema(_string_schema(names)).csv(sorted(group)) for names, group in by_header.items() if names]
+    if not texts:
+        raise GateError(f"no header under {path}")
     text = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), texts)
     kinds = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(schema)} if schema else _probe_types(text)
     return text.select(*[F.col(f"`{n}`").cast(kinds.get(n, "string")).alias(n) for n in text.columns])
 
 
+# Files whose headers are read one by one.
+FEW_FILES = 16
+
+
+def _by_first_line(spark: SparkSession, files: list[str], encoding: str) -> list[list[str]]:
+    """Files of one folder in groups that start with the same line, found in one job.
+
+    What returns is the listing itself, in groups: a header line is one row, however many files have it.
+    """
+    # A separator and a quote that no text has: a line is one value, in the given encoding.
+    lines = spark.read.options(sep="\u0001", quote="\u0002", escape="\u0002", encoding=encoding).schema("line STRING").csv(files)
+    at = F.col("_metadata")
+    starts = lines.select("line", at["file_name"].alias("file"), at["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("nth"))
+    first = starts.where("start = 0 and trim(line) <> ''").groupBy("file").agg(F.min_by("line", "nth").alias("line"))
+    groups = first.groupBy("line").agg(F.collect_list("file").alias("files")).collect()
+    named = {f.rsplit("/", 1)[-1]: f for f in files}
+    found = [sorted(named[unquote(name) if unquote(name) in named else name] for name in g["files"]) for g in groups]
+    # A file of empty lines has none; it is read like any other.
+    seen = {f for group in found for f in group}
+    return found + [[f] for f in files if f not in seen]
+
+
 def _string_schema(names: Sequence[str]) -> str:
     return ", ".join(f"`{n}` STRING" for n in names)
 

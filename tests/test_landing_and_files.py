@@ -202,3 +202,24 @@ def test_csv_columns_go_by_name_and_types_by_all_rows(spark, tmp_path):
         assert late.dtypes == [("k", "double")] and late.filter("k = 1.5").count() == 1
     fixed = tables.read_raw_csv(spark, str(tmp_path / "in"), schema="x INT, y DOUBLE")
     assert fixed.dtypes == [("x", "int"), ("y", "double")]
+
+
+def test_headers_of_many_files_come_from_one_job(spark, tmp_path, monkeypatch):
+    for n in range(40):
+        text = f"a b,ü\n{n},x{n}\n" if n % 2 else f'\n"ü",a b\nx{n},{n}\n'
+        csv(tmp_path / "in", text, f"file {n}%20.csv")
+    csv(tmp_path / "in", "\n\n", "blank.csv")
+    calls = []
+    real = tables._by_first_line
+    monkeypatch.setattr(tables, "_by_first_line", lambda *a: calls.append(real(*a)) or calls[-1])
+    read = tables.read_raw_csv(spark, str(tmp_path / "in"))
+    assert sorted(map(len, calls[0])) == [1, 20, 20]
+    assert rows(read.select("a b", "ü"), "a b") == [(n, f"x{n}") for n in range(40)]
+    monkeypatch.setattr(tables, "FEW_FILES", 100)
+    assert rows(tables.read_raw_csv(spark, str(tmp_path / "in")).select("a b", "ü"), "a b") == [(n, f"x{n}") for n in range(40)]
+    assert len(calls) == 1
+    (tmp_path / "latin").mkdir()
+    for n in range(20):
+        (tmp_path / "latin" / f"{n}.csv").write_bytes(f"ä,b\n{n},é\n".encode("latin-1"))
+    monkeypatch.setattr(tables, "FEW_FILES", 16)
+    assert rows(tables.read_raw_csv(spark, str(tmp_path / "latin"), "ISO-8859-1").select("ä", "b"), "ä") == [(n, "é") for n in range(20)]
