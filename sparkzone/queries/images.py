@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .. import sharedfs
 from ..operators import gates
 from ..plans import images as im
+from ..sources.files import profile_images
 from .registry import DATE, query, table
 
 
@@ -132,3 +134,34 @@ def image_gate(spark, folder):
 def image_status_counts(spark, folder):
     # Summed over tasks, as which task held a row is not a property of the data.
     return im.status_counts(processed(spark, folder)[1]).groupBy("status").agg(F.sum("n").alias("n"))
+
+
+def _bitmap(width: Column, height: Column) -> Column:
+    """A small black bitmap, all of whose bytes are ASCII, as text."""
+    zeros = lambda n: F.repeat(F.lit("\0"), F.lit(n) if isinstance(n, int) else n)
+    number = lambda n: F.concat(F.char(n if isinstance(n, Column) else F.lit(n)), zeros(3))
+    pixels = F.ceil(width * 24 / 32).cast("int") * 4 * height
+    header = (F.lit("BM"), number(pixels + 54), zeros(4), number(54), number(40), number(width), number(height), F.lit("\1\0\x18\0"), zeros(24))
+    return F.concat(*header, zeros(pixels))
+
+
+@query(
+    "image_files_incremental",
+    """with s as (select s_suppkey, 1 + s_suppkey % 4 as w, 1 + s_suppkey % 3 as h, s_suppkey % 5 = 0 as broken, 1 + s_suppkey % 2 as run from supplier)
+    select cast(run as int) as run, cast(case when broken then 0 else w end as int) as width, cast(case when broken then 0 else h end as int) as height, broken as is_corrupted, count(*) as n from s group by all""",
+)
+def image_files_incremental(spark, folder):
+    """A bitmap file per supplier, catalogued in three runs: half of the files, the other half, and nothing new. Some files are cut short."""
+    root = sharedfs.new_folder(spark, "bitmaps")
+    key = F.col("s_suppkey")
+    size = lambda n: (1 + key % n).cast("int")
+    image = _bitmap(size(4), size(3))
+    made = table(spark, folder, "supplier").select("s_suppkey", F.when(key % 5 == 0, F.left(image, F.lit(50))).otherwise(image).alias("image"))
+    for run in (1, 2, 3):
+        files = made.where((1 + key % 2 == run) if run < 3 else F.lit(False))
+        files.select("image").write.mode("append").option("maxRecordsPerFile", 1).option("lineSep", " ").text(f"{root}/landing")
+        known = spark.read.parquet(f"{root}/catalogue") if run > 1 else None
+        profile_images(spark, f"{root}/landing", DATE, known).write.parquet(f"{root}/catalogue/run={run}")
+    blob = lambda name, kind: F.get_json_object("metadata_blob", f"$.{name}").cast(kind).alias(name)
+    rows = spark.read.parquet(f"{root}/catalogue").select("run", blob("width", "int"), blob("height", "int"), blob("is_corrupted", "boolean"))
+    return rows.groupBy("run", "width", "height", "is_corrupted").agg(F.count("*").alias("n"))

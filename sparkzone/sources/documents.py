@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -45,9 +46,11 @@ LINE_FILE = r"\.ndjson(/part-[^/]*)?$"
 UNREADABLE = "invalid_json_payload"
 
 
-def _text_files(spark: SparkSession, path: str | list[str], names: str, whole: bool) -> DataFrame:
+def _text_files(spark: SparkSession, path: str | list[str], names: str, whole: bool, since: datetime | None = None) -> DataFrame:
     files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=whole)
     # Conditions on file metadata prune the listing; rejected files are never opened.
+    if since is not None:
+        files = files.filter(F.col("_metadata.file_modification_time") >= F.lit(since))
     return (
         files.withColumn("source_file_path", F.col("_metadata.file_path"))
         .withColumn("bytes", F.col("_metadata.file_size"))
@@ -55,9 +58,9 @@ def _text_files(spark: SparkSession, path: str | list[str], names: str, whole: b
     )
 
 
-def read_payloads(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_payloads(spark: SparkSession, path: str | list[str], since: datetime | None = None) -> DataFrame:
     """Whole text of each finished ``.json`` file below a folder; a file is one value of one task."""
-    return _text_files(spark, path, WHOLE_FILE, True).select(
+    return _text_files(spark, path, WHOLE_FILE, True, since).select(
         "source_file_path", F.regexp_replace("value", r"^\s+|\s+$", "").alias("payload"), "bytes"
     )
 
@@ -81,13 +84,13 @@ def parse_payloads(payloads: DataFrame) -> Parsed:
     )
 
 
-def _lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return _text_files(spark, path, LINE_FILE, False).filter(F.trim("value") != "").select("source_file_path", F.trim("value").alias("record"), "bytes")
+def _lines(spark: SparkSession, path: str | list[str], since: datetime | None = None) -> DataFrame:
+    return _text_files(spark, path, LINE_FILE, False, since).filter(F.trim("value") != "").select("source_file_path", F.trim("value").alias("record"), "bytes")
 
 
-def line_shapes(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def line_shapes(spark: SparkSession, path: str | list[str], since: datetime | None = None) -> DataFrame:
     """Per ``.ndjson`` file: lines ``n``, ``bad`` ones, ``first`` (the least text, the line itself if alone), size."""
-    return _lines(spark, path).groupBy("source_file_path").agg(
+    return _lines(spark, path, since).groupBy("source_file_path").agg(
         F.count_if(~well_formed(F.col("record"))).alias("bad"), F.count("*").alias("n"), F.min("record").alias("first"), F.max("bytes").alias("bytes")
     )
 

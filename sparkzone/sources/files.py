@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import logicaldate
+from ..functions.imagebytes import image_facts
 from ..functions.labels import OWNER, RETENTION, STEWARD
 from ..functions.times import file_epoch
-from ..operators.joins import not_yet_done
+from ..operators.rows import computed_once
 from .documents import line_shapes, read_payloads, starts_with, well_formed
-from .tables import list_files
 
 # Columns of a landing catalogue row, in order.
 CATALOGUE_COLUMNS = (
@@ -66,39 +69,65 @@ def normalize_catalogue(df: DataFrame, date) -> DataFrame:
     return df.select(*[column(c).alias(c) for c in CATALOGUE_COLUMNS])
 
 
-def new_files(spark: SparkSession, path: str, catalogue: DataFrame | None) -> list[str]:
-    """Paths below a folder that the catalogue lacks.
+# Paths that a reader is given one by one; more new files are found again by their time.
+MAX_PATHS = 10_000
+
+
+@dataclass(frozen=True)
+class NewFiles:
+    """Files a catalogue lacks: ``rows`` (path, file_path, changed), and what to read to see them.
 
-    They come from the listing, which Spark keeps on the driver for any scan; no file is opened.
+    ``paths`` names each where there are at most ``MAX_PATHS``; else it is the folder, and files older
+    than ``since``, the time of the oldest new one, are left out before they are opened.
     """
-    listed = list_files(spark, path).filter("length > 0").select(F.col("path").alias("file_path"))
-    return sorted(r["file_path"] for r in not_yet_done(listed, catalogue, "file_path").collect())
+
+    rows: DataFrame
+    paths: str | list[str]
+    since: datetime | None
+
+    def of(self, found: DataFrame, key: str) -> DataFrame:
+        """The rows of ``found`` that are of new files."""
+        if isinstance(self.paths, list):
+            return found if self.paths else found.limit(0)
+        return found.join(self.rows.select(F.col(key).alias("__new")), F.col(key) == F.col("__new"), "left_semi")
 
 
-def image_metadata(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Size, digest and decoded dimensions per image; what cannot be decoded is marked corrupted."""
+def listing(spark: SparkSession, path: str) -> DataFrame:
+    """One row per non-empty file: path, file_path (as scans name it), changed. No file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).filter("length > 0")
+    return files.select("path", F.col("_metadata.file_path").alias("file_path"), F.col("modificationTime").alias("changed"))
+
+
+def new_files(spark: SparkSession, path: str, catalogue: DataFrame | None, key: str) -> NewFiles:
+    """Files below a folder whose ``key`` (path or file_path) the catalogue's ``file_path`` lacks."""
+    listed = listing(spark, path)
+    rows = listed if catalogue is None else listed.join(catalogue.select(F.col("file_path").alias("__done")), F.col(key) == F.col("__done"), "left_anti")
+    some = rows.select("path").limit(MAX_PATHS + 1).collect()
+    if len(some) <= MAX_PATHS:
+        return NewFiles(rows, sorted(r["path"] for r in some), None)
+    return NewFiles(rows, path, rows.agg(F.min("changed")).first()[0])
+
+
+def image_metadata(spark: SparkSession, paths: str | list[str], since: datetime | None = None) -> DataFrame:
+    """Size, digest and dimensions per image, from one read; what isn't a readable image is marked corrupted."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).filter("length > 0")
-    # Only the digest leaves the task that read the bytes.
-    files = raw.select(F.col("path").alias("file_path"), F.col("length").alias("file_size_bytes"), F.md5("content").alias("md5"))
-    decoded = (
-        spark.read.format("image")
-        .option("recursiveFileLookup", True)
-        .option("dropInvalid", True)
-        .load(paths)
-        .select("image.origin", "image.width", "image.height", "image.nChannels")
-    )
-    joined = files.join(decoded, F.regexp_replace("file_path", "^file:/+", "/") == F.regexp_replace("origin", "^file:/+", "/"), "left")
-    readable = F.col("width") > 0
-    mode = F.when(F.col("nChannels") == 1, "L").when(F.col("nChannels") == 3, "RGB").when(F.col("nChannels") == 4, "RGBA")
-    return joined.select(
+    if since is not None:
+        raw = raw.filter(F.col("modificationTime") >= F.lit(since))
+    # Only the digest and the dimensions leave the task that read the bytes.
+    once = computed_once(raw, "facts", image_facts(F.col("content")))
+    files = once.select(F.col("path").alias("file_path"), F.col("length").alias("file_size_bytes"), F.md5("content").alias("md5"), "facts")
+    width, height, channels = (F.col(f"facts.{c}") for c in ("width", "height", "channels"))
+    readable = F.coalesce((width > 0) & (height > 0) & channels.isNotNull(), F.lit(False))
+    mode = F.when(channels == 1, "L").when(channels == 3, "RGB").when(channels == 4, "RGBA")
+    return files.select(
         "file_path",
         "file_size_bytes",
         "md5",
-        F.when(readable, F.col("width")).otherwise(0).alias("width"),
-        F.when(readable, F.col("height")).otherwise(0).alias("height"),
-        F.when(readable, F.round(F.col("width") / F.col("height"), 2)).alias("aspect_ratio"),
+        F.when(readable, width).otherwise(0).alias("width"),
+        F.when(readable, height).otherwise(0).alias("height"),
+        F.when(readable, F.round(width / height, 2)).alias("aspect_ratio"),
         F.when(readable, mode).alias("image_mode"),
-        (~F.coalesce(readable, F.lit(False))).alias("is_corrupted"),
+        (~readable).alias("is_corrupted"),
     )
 
 
@@ -107,8 +136,9 @@ def profile_images(spark: SparkSession, path: str, date, catalogue: DataFrame |
 
     ``labels`` may add ``label``, ``url`` and ``source`` per ``file_path``.
     """
-    todo = new_files(spark, path, catalogue)
-    found = image_metadata(spark, todo) if todo else image_metadata(spark, path).limit(0)
+    todo = new_files(spark, path, catalogue, "path")
+    found = image_metadata(spark, todo.paths or path, todo.since).withColumnRenamed("file_path", "path")
+    found = todo.of(found, "path").withColumnRenamed("path", "file_path")
     if labels is not None:
         found = found.join(labels, "file_path", "left")
     optional = lambda name: F.col(name) if name in found.columns else F.lit(None).cast("string")
@@ -194,9 +224,9 @@ def json_shape(payloads: DataFrame) -> DataFrame:
 def profile_json_files(spark: SparkSession, path: str, topic: str, date, catalogue: DataFrame | None = None) -> DataFrame:
     """Landing catalogue rows for JSON files not yet catalogued: one per file, and only these are read."""
     known = None if catalogue is None else catalogue.filter("file_type = 'JSON'").select("file_path")
-    todo = new_files(spark, path, known)
-    whole = read_payloads(spark, todo or path).filter("payload <> ''")
-    lines = line_shapes(spark, todo or path)
+    todo = new_files(spark, path, known, "file_path")
+    whole = read_payloads(spark, todo.paths or path, todo.since).filter("payload <> ''")
+    lines = line_shapes(spark, todo.paths or path, todo.since)
     # A file of a single line is one payload, like any other.
     single = lines.filter("n = 1").select("source_file_path", F.col("first").alias("payload"), "bytes")
     many = lines.filter("n > 1 and bad = 0").select(
@@ -207,8 +237,7 @@ def profile_json_files(spark: SparkSession, path: str, topic: str, date, catalog
         F.col("bytes").cast("long").alias("file_size_bytes"),
     )
     shapes = json_shape(whole.unionByName(single)).unionByName(many).withColumnRenamed("source_file_path", "file_path")
-    if not todo:
-        shapes = shapes.limit(0)
+    shapes = todo.of(shapes, "file_path")
     name = file_name(F.col("file_path"))
     rows = shapes.select(
         name.alias("file_id"),

@@ -11,7 +11,8 @@ from sparkzone import sharedfs
 from sparkzone.operators import gates, integrity
 from sparkzone.operators.gates import GateError
 from sparkzone.plans import images as im, landing
-from sparkzone.sources import tables
+from sparkzone.functions.imagebytes import image_facts
+from sparkzone.sources import files, tables
 from sparkzone.sources.files import CATALOGUE_COLUMNS, profile_images
 
 from .conftest import rows
@@ -223,3 +224,69 @@ def test_headers_of_many_files_come_from_one_job(spark, tmp_path, monkeypatch):
         (tmp_path / "latin" / f"{n}.csv").write_bytes(f"ä,b\n{n},é\n".encode("latin-1"))
     monkeypatch.setattr(tables, "FEW_FILES", 16)
     assert rows(tables.read_raw_csv(spark, str(tmp_path / "latin"), "ISO-8859-1").select("ä", "b"), "ä") == [(n, "é") for n in range(20)]
+
+
+def jpeg(width, height, components=3, before=()):
+    part = lambda mark, body: bytes([0xFF, mark]) + struct.pack(">H", len(body) + 2) + body
+    head = b"".join(part(0xE0 + n % 16, body) for n, body in enumerate(before))
+    frame = part(0xC0, struct.pack(">BHHB", 8, height, width, components) + b"\0\0\0" * components)
+    return b"\xff\xd8" + head + b"\xff" + part(0xDB, b"\0" * 65) + frame + part(0xDA, b"\0" * 6) + b"\x12\x34" * 40 + b"\xff\xd9"
+
+
+def bitmap(width, height, bits=24):
+    row = (bits * width + 31) // 32 * 4 * abs(height)
+    return b"BM" + struct.pack("<IIIIiiHHIIIIII", 54 + row, 0, 54, 40, width, height, 1, bits, 0, 0, 0, 0, 0, 0) + b"\0" * row
+
+
+def test_image_sizes_come_from_the_bytes(spark):
+    whole = {
+        "png": (png(300, 70_000 // 300), (300, 233, 3)),
+        "jpeg": (jpeg(640, 480), (640, 480, 3)),
+        "gray": (jpeg(5, 9, 1), (5, 9, 1)),
+        "exif": (jpeg(40_000, 2, 3, [b"\xff\xd8\xff\xc0" * 16_000, b"x", b""] * 5), (40_000, 2, 3)),
+        "bmp": (bitmap(17, 4), (17, 4, 3)),
+        "upside down": (bitmap(17, -4), (17, 4, 3)),
+        "gif": (b"GIF89a" + struct.pack("<HH", 7, 6) + b"\0\0\0;", (7, 6, 3)),
+    }
+    broken = {
+        "cut png": png(9, 9)[:-12],
+        "wrong checksum": png(9, 9).replace(struct.pack(">II", 9, 9), struct.pack(">II", 9, 8)),
+        "cut jpeg": jpeg(9, 9)[:-2],
+        "no size": b"\xff\xd8\xff\xe0\0\x04ab\xff\xd9",
+        "four colours": jpeg(9, 9, 4),
+        "cut bmp": bitmap(9, 9)[:-1],
+        "start only": b"\x89PNG\r\n\x1a\n",
+        "text": b"no image",
+        "one byte": b"\xff",
+    }
+    data = [(n, bytearray(b)) for n, b in {**{k: v[0] for k, v in whole.items()}, **broken}.items()]
+    found = spark.createDataFrame(data, "name string, content binary").select("name", image_facts(F.col("content")).alias("f")).collect()
+    for r in found:
+        facts = r["f"] and tuple(r["f"])
+        if r["name"] in whole:
+            assert facts == whole[r["name"]][1], r["name"]
+        else:
+            assert facts is None or None in facts, r["name"]
+
+
+def test_more_new_files_than_paths_are_found_by_their_time(spark, tmp_path, monkeypatch):
+    import os
+
+    folder = tmp_path / "im age"
+    folder.mkdir()
+    for n in range(6):
+        (folder / f"a%20 {n}.png").write_bytes(png(4, 4 + n))
+        os.utime(folder / f"a%20 {n}.png", (1_700_000_000 + n,) * 2)
+    first = profile_images(spark, str(folder), DATE)
+    first.write.parquet(str(tmp_path / "catalogue"))
+    known = spark.read.parquet(str(tmp_path / "catalogue"))
+    monkeypatch.setattr(files, "MAX_PATHS", 1)
+    for n, at in (("b", 1_800_000_000), ("c", 1_700_000_003)):
+        (folder / f"{n}.png").write_bytes(png(2, 2))
+        os.utime(folder / f"{n}.png", (at, at))
+    again = profile_images(spark, str(folder), DATE, known)
+    assert sorted(r["file_id"] for r in again.collect()) == ["b.png", "c.png"]
+    plan = again._jdf.queryExecution().optimizedPlan().toString()
+    assert "modificationTime" in plan
+    assert profile_images(spark, str(folder), DATE, known.unionByName(again)).count() == 0
+    assert profile_images(spark, str(folder), DATE, known.limit(0)).count() == 8
