@@ -9,6 +9,8 @@ from .common import table
 from .registry import query
 
 TOKEN_LIMIT = 1024
+# Token budgets and byte cuts that are answered from the stored counts.
+BUDGETS, CUTS = (256, 1024, 4096), (1000, 8000)
 
 
 @query("op3_multi_length_packing")
@@ -18,8 +20,9 @@ def op3_multi_length_packing(spark, sf_dir):
 
 @query("op7_prefix_token_counts")
 def op7_prefix_token_counts(spark, sf_dir):
-    counted = tokens.prefix_counts(table(spark, sf_dir, "documents"), TOKEN_LIMIT, keep_steps=False)
-    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "bytes_in_budget")
+    stored = tokens.stored_counts(table(spark, sf_dir, "documents"))
+    answered = tokens.cut_answers(stored, BUDGETS, CUTS)
+    return answered.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
 @query("op4_merkle_fingerprints")

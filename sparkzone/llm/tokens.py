@@ -5,7 +5,7 @@ tokens is the encoding of theirs. So the encoding of a prefix ends in the one vo
 token that fits the encoding of the prefix before it, and counts follow byte by byte:
 ``count[j] = count[i] + 1`` for that token's start ``i``. The step from one prefix to the next
 fits a signed byte; a text's steps are stored, and any question about a cut of the text is a
-sum over them: nothing is encoded again.
+sum over them: nothing is encoded again, nor is the text needed, as steps also tell where code points end.
 
 Texts repeat their words, so a task keeps the steps of the words it has met (a bounded table)
 and a text is a join of them. The pattern that cuts texts before merging is the library's; for
@@ -21,13 +21,18 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
+from collections.abc import Sequence
 from functools import lru_cache
+from operator import sub
 
 import numpy as np
 import regex
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import for_python, id_text, text_of, with_ids
+from .common import for_python, id_text, text_of, with_ids, written
 
 # The byte alphabet of byte-level vocabularies, and their cutting pattern.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -65,11 +70,14 @@ class Prefixes:
         names = set(self.special)
         self.tokens = {spell(t) for t in made["model"]["vocab"] if t not in names}
         self.ranks = {(spell(a), spell(b)): n for n, (a, b) in enumerate(merges)}
-        self.longest = max(map(len, self.tokens))
+        # All beginnings of tokens: no token that ends later can start where none of these fits.
+        self.begins = {t[:k] for t in self.tokens for k in range(1, len(t) + 1)}
         self.cut = regex.compile(PATTERN).findall
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.first, self.rest = _Memo(self, ""), _Memo(self, " ")
+        # Words repeat, and words with marks about them share their pieces with others.
+        self.pieces = _Memo(self._piece_steps)
+        self.first, self.rest = _Memo(lambda word: self._word_steps("", word)), _Memo(lambda word: self._word_steps(" ", word))
 
     def _encoded(self, piece: bytes) -> list[bytes]:
         parts = [piece[i : i + 1] for i in range(len(piece))]
@@ -90,27 +98,32 @@ class Prefixes:
 
     def counts(self, piece: bytes) -> list[int]:
         """Token counts of all prefixes of one piece, the empty one first."""
-        tokens, fits = self.tokens, self.fits
+        tokens, begins, fits = self.tokens, self.begins, self.fits
         ends: list[bytes] = [b""]
         counts = [0]
+        start = 0
         for j in range(1, len(piece) + 1):
-            for i in range(max(0, j - self.longest), j):
+            while piece[start:j] not in begins and start < j - 1:
+                start += 1
+            for i in range(start, j):
                 token = piece[i:j]
-                if token in tokens and (i == 0 or (fits[ends[i], token] if (ends[i], token) in fits else self._fit(ends[i], token))):
-                    ends.append(token)
-                    counts.append(counts[i] + 1)
-                    break
+                if token in tokens:
+                    fit = i == 0 or fits.get((ends[i], token))
+                    if fit or (fit is None and self._fit(ends[i], token)):
+                        ends.append(token)
+                        counts.append(counts[i] + 1)
+                        break
         return counts
 
     def _steps(self, pieces: list[str]) -> bytes:
         """Steps over consecutive pieces, where no two white spaces meet."""
-        out: list[int] = []
-        for piece in pieces:
-            counts = self.counts(piece.encode())
-            if piece in CONTRACTIONS:  # its proper prefixes are cut after the apostrophe
-                counts[1], counts[2] = 1, 1 + self.counts(piece[1:2].encode())[-1]
-            out += [b - a for a, b in zip(counts, counts[1:])]
-        return np.array(out, np.int8).tobytes()
+        return b"".join([self.pieces[p] for p in pieces])
+
+    def _piece_steps(self, piece: str) -> bytes:
+        counts = self.counts(piece.encode())
+        if piece in CONTRACTIONS:  # its proper prefixes are cut after the apostrophe
+            counts[1], counts[2] = 1, 1 + self.counts(piece[1:2].encode())[-1]
+        return array("b", map(sub, counts[1:], counts)).tobytes()
 
     def _steps_with_runs(self, pieces: list[str]) -> bytes:
         """The same for any pieces: a prefix that ends in a run of white space has the run as one piece."""
@@ -151,10 +164,14 @@ class Prefixes:
         if SPACES_MEET.search(text):
             return self._steps_with_runs(self.cut(text))
         words = text.split(" ")
-        self.first.trim()
-        self.rest.trim()
+        for memo in (self.pieces, self.first, self.rest):
+            memo.trim()
         return self.first[words[0]] + b"".join(map(self.rest.__getitem__, words[1:]))
 
+    def _word_steps(self, lead: str, word: str) -> bytes:
+        text = lead + word
+        return self.pieces[text] if word.isalpha() else self._steps(self.cut(text))
+
     def _special(self, text: str) -> bytes:
         """A special string is one token once complete, ordinary text before."""
         ordinary = np.frombuffer(self._steps(self.cut(text)), np.int8).astype(int)
@@ -163,17 +180,16 @@ class Prefixes:
 
 
 class _Memo(dict):
-    """Steps of the words met, read with ``lead`` before them."""
+    """Steps of the words or pieces met."""
 
-    def __init__(self, prefixes: Prefixes, lead: str):
+    def __init__(self, steps_of):
         super().__init__()
-        self.prefixes, self.lead, self.older = prefixes, lead, {}
+        self.steps_of, self.older = steps_of, {}
 
     def __missing__(self, word: str) -> bytes:
         made = self.older.get(word)
         if made is None:
-            text = self.lead + word
-            made = self.prefixes._steps([text] if word.isalpha() else self.prefixes.cut(text))
+            made = self.steps_of(word)
         self[word] = made
         return made
 
@@ -220,3 +236,64 @@ def prefix_counts(documents: DataFrame, budget: int, path: str | None = None, ke
             yield with_ids(rows, ["doc_id", "n_bytes", "n_tokens", "bytes_in_budget", *(["steps"] if keep_steps else [])])
 
     return for_python(documents).select(id_text(), text_of().alias("text")).mapInPandas(run, schema)
+
+
+# The step of a byte after which no code point ends; changes of the count are smaller.
+INSIDE = -128
+
+
+def marked_steps(steps: bytes, text: bytes) -> bytes:
+    """Steps that also tell where code points end, so that cuts need no text.
+
+    Bytes with more of their code point to come have ``INSIDE``, and the last one the change over all of it.
+    """
+    if text.isascii():
+        return steps
+    counts = np.cumsum(np.frombuffer(steps, np.int8), dtype=np.int64)
+    last = np.append((np.frombuffer(text, np.uint8)[1:] & 0xC0) != 0x80, True)
+    out = np.full(len(text), INSIDE, np.int64)
+    out[last] = np.diff(counts[last], prepend=0)
+    return out.astype(np.int8).tobytes()
+
+
+def stored_counts(documents: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id and marked steps of every document, written once and reread: all later questions are about these."""
+    path = path or default_path()
+
+    def run(batches):
+        made = prefixes(path)
+        for batch in batches:
+            texts = [t.as_py() for t in batch.column("text")]
+            steps = [marked_steps(made.steps(t), t.encode()) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(steps, pa.binary())], names=["doc_id", "steps"])
+
+    docs = for_python(documents).select("doc_id", text_of().alias("text"))
+    return written(docs.mapInArrow(run, "doc_id long, steps binary"), "prefix-counts")
+
+
+def cut_answers(stored: DataFrame, budgets: Sequence[int], cuts: Sequence[int] = ()) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, and from the stored steps alone: ``bytes_within_<b>``, the bytes of the longest prefix of
+    at most b tokens, and ``tokens_of_<c>``, the tokens of the longest prefix of whole code points within c bytes."""
+    names = [*(f"bytes_within_{b}" for b in budgets), *(f"tokens_of_{c}" for c in cuts)]
+    schema = ", ".join(f"{n} long" for n in ("doc_id", "n_bytes", "n_tokens", *names))
+
+    def answers(steps: bytes) -> list[int]:
+        step = np.frombuffer(steps, np.int8)
+        ends = np.flatnonzero(step != INSIDE)
+        counts = np.cumsum(step[ends], dtype=np.int64)
+        row = [len(step), int(counts[-1]) if len(counts) else 0]
+        for b in budgets:
+            fit = np.flatnonzero(counts <= b)
+            row.append(int(ends[fit[-1]]) + 1 if len(fit) else 0)
+        for c in cuts:
+            k = int(np.searchsorted(ends, c))
+            row.append(int(counts[k - 1]) if k else 0)
+        return row
+
+    def run(batches):
+        for batch in batches:
+            rows = [answers(s.as_py()) for s in batch.column("steps")]
+            columns = list(zip(*rows)) or [()] * (2 + len(names))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", "n_bytes", "n_tokens", *names])
+
+    return stored.mapInArrow(run, schema)

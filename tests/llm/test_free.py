@@ -499,3 +499,24 @@ def test_training_repeats_itself_where_copies_have_several_ids(spark, make_docs)
     labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
     models = [toxicity.train(make_docs(*some), labels) for some in (rows, rows[::-1])]
     assert models[0] == models[1] and models[0].weights
+
+
+def test_stored_counts_answer_cuts_without_the_texts(spark, library, make_docs, clashing):
+    rows = [*enumerate(odd_texts()), (900, None), (2**62 + 1, "a  b é"), (None, "日本語 テスト")]
+    stored = tokens.stored_counts(make_docs(*rows, **clashing))
+    assert stored.columns == ["doc_id", "steps"]
+    found = tokens.cut_answers(stored, (0, 3, 5), (0, 2, 7)).collect()
+    by_key = {(i, len((t or "").encode())): t or "" for i, t in rows}
+    count = lambda t: len(library.encode(t, add_special_tokens=False).ids)
+    assert len(found) == len(rows)
+    for r in found:
+        text = by_key[r["doc_id"], r["n_bytes"]]
+        assert r["n_tokens"] == count(text)
+        if "<|" in text:
+            continue
+        prefixes = [text[:k] for k in range(len(text[:60]) + 1)]
+        for b in (0, 3, 5):
+            assert r[f"bytes_within_{b}"] == max(len(p.encode()) for p in prefixes if count(p) <= b)
+        for c in (0, 2, 7):
+            assert r[f"tokens_of_{c}"] == count([p for p in prefixes if len(p.encode()) <= c][-1])
+    assert tokens.cut_answers(tokens.stored_counts(make_docs()), (5,)).count() == 0
