@@ -142,10 +142,11 @@ def replace_partitions(df: DataFrame, path: str, by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
-def create_table_as(df: DataFrame, name: str, metadata: dict[str, Column], sort_keys: Sequence[str] = ()) -> None:
-    """Drop and recreate a catalogue table from a query plus constant metadata columns."""
+def create_table_as(df: DataFrame, name: str, metadata: dict[str, Column], sort_keys: Sequence[str] = (), path: str | None = None) -> None:
+    """Drop and recreate a catalogue table from a query plus constant metadata columns; ``path`` is a folder outside the warehouse."""
     full = df.select("*", *[c.alias(n) for n, c in metadata.items()])
-    (full.sortWithinPartitions(*sort_keys) if sort_keys else full).write.mode("overwrite").saveAsTable(name)
+    writer = (full.sortWithinPartitions(*sort_keys) if sort_keys else full).write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def rows_per_partition(df: DataFrame) -> DataFrame:
