@@ -164,9 +164,9 @@ def metrics_record(trained: Trained, path: str, digest: str, size: int, date) ->
     )
 
 
-def run(spark: SparkSession, features: DataFrame, model_root: str, metrics_path: str, date) -> DataFrame:
+def run(spark: SparkSession, features: DataFrame, model_root: str, metrics_path: str, date, iterations: int = 1000) -> DataFrame:
     """Check the input, train, store the model and append one metrics row."""
-    trained = train_classifier(training_frame(features))
+    trained = train_classifier(training_frame(features), iterations=iterations)
     record = metrics_record(trained, *store_model(spark, trained.model, model_root, date), date)
     append(record, metrics_path)
     return spark.read.option("mergeSchema", True).parquet(metrics_path)

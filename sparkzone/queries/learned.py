@@ -60,3 +60,46 @@ def classifier_threshold(spark, folder):
         F.count_if(~unsure & unknown).cast("int").alias("sure_but_unknown"),
         F.count_if(~F.col("predicted_label").isin("unknown", "toxic", "good", "poor")).cast("int").alias("other_names"),
     )
+
+
+MEASURES = ("accuracy", "precision", "recall", "f1")
+
+# Plain SQL over the stored predictions: per class, then weighted by its size.
+RECOUNT = """
+with t as (select disaster_type as kind, count(*) as size, count_if(predicted_label = disaster_type) as hit from {p} group by 1),
+n as (select predicted_label as kind, count(*) as named from {p} group by 1),
+k as (select size, hit, coalesce(named, 0) as named from t left join n using (kind)),
+m as (select size, hit, hit / size as recall, if(named = 0, 0, try_divide(hit, named)) as precision from k)
+select sum(hit) / sum(size) as accuracy, sum(size * precision) / sum(size) as precision, sum(size * recall) / sum(size) as recall,
+  sum(size * if(precision + recall = 0, 0, try_divide(2 * precision * recall, precision + recall))) / sum(size) as f1
+from m
+"""
+
+
+@query(
+    "classifier_recount",
+    f"with {KINDS_SQL}, n as (select kind, count(*) as n from u group by 1) select sum(ceil(n * 0.2))::bigint as predictions, true as accuracy, true as precision, true as recall, true as f1 from n",
+)
+def classifier_recount(spark, folder):
+    """The reported measures, against a recount in SQL of the predictions they were taken from."""
+    fitted = trained(spark, folder)
+    stored = sharedfs.cut_lineage(fitted.predictions.select("disaster_type", "predicted_label"), "predictions")
+    recount = spark.sql(RECOUNT, p=stored)
+    told = classifier.Trained(fitted.model, fitted.labels, stored, fitted.train_size, fitted.test_size).metrics()
+    both = told.select(*[F.col(m).alias(f"told_{m}") for m in MEASURES]).join(recount, F.lit(True))
+    agree = [(F.abs(F.col(m) - F.col(f"told_{m}")) < 1e-9).alias(m) for m in MEASURES]
+    return both.select(F.lit(fitted.test_size).cast("long").alias("predictions"), *agree)
+
+
+@query(
+    "classifier_runs",
+    f"with {KINDS_SQL}, n as (select kind, count(*) as n from u group by 1) select 2 as runs, 2 as models, sum(n)::bigint as row_count, sum(n - ceil(n * 0.2))::bigint as train_size, sum(ceil(n * 0.2))::bigint as test_size from n",
+)
+def classifier_runs(spark, folder):
+    """Two whole runs of the job on the same texts: a model and an appended row of measures each."""
+    root = sharedfs.new_folder(spark, "runs")
+    texts = sharedfs.cut_lineage(training(spark, folder), "texts")
+    for day in (DATE, "2026-05-25T10:00:00+00:00"):
+        recorded = classifier.run(spark, texts, f"{root}/models", f"{root}/metrics", day, iterations=50)
+    seen = recorded.groupBy("row_count", "train_size", "test_size")
+    return seen.agg(F.count("*").cast("int").alias("runs"), F.countDistinct("model_uri").cast("int").alias("models"))
