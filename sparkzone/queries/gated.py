@@ -61,11 +61,15 @@ def gate_outcomes(spark, folder):
     return rows.join(orders.agg(F.count("*").alias("rows_seen")), F.lit(True))
 
 
-@query("damaged_units", "select case when n_regionkey = 0 then 'Â°C' else 'â€“' end as unit, count(*) as n from nation where n_regionkey < 2 group by 1")
+@query(
+    "damaged_units",
+    """select case when l_linenumber = 1 then 'Â°C' else 'â€“' end as unit, count(*) as n from lineitem where l_linenumber <= 2 group by 1""",
+)
 def damaged_units(spark, folder):
-    """Unit texts that a wrong decoding has left."""
-    unit = F.when(F.col("n_regionkey") == 0, "Â°C").when(F.col("n_regionkey") == 1, "â€“").otherwise("°C")
-    return gates.damaged_units(table(spark, folder, "nation").select(unit.alias("unit")))
+    """Unit texts that a wrong decoding has left, in the measures of line items."""
+    number = F.col("l_linenumber")
+    unit = F.when(number == 1, "Â°C").when(number == 2, "â€“").when(number == 3, "°C").when(number == 4, None).otherwise("%")
+    return gates.damaged_units(table(spark, folder, "lineitem").select(unit.alias("unit")))
 
 
 @query(

@@ -121,9 +121,11 @@ def stream_explode(spark, folder):
     return rows.groupBy("station_id", "station_name", "country", "provider", "owner", "isMobile").agg(F.count("*").alias("n"))
 
 
-@query("locality_filter", "select n_nationkey, n_name from nation where contains(lower(n_name), 'nation_1')")
+@query("locality_filter", "select c_custkey, n_name from customer join nation on c_nationkey = n_nationkey where contains(lower(n_name), 'nation_1')")
 def locality_filter(spark, folder):
-    return table(spark, folder, "nation").filter(ev.near(F.col("n_name"), "Nation_1")).select("n_nationkey", "n_name")
+    """Customers near a place, by the name of theirs."""
+    places = table(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    return table(spark, folder, "customer").join(places, "c_nationkey").filter(ev.near(F.col("n_name"), "Nation_1")).select("c_custkey", "n_name")
 
 
 WAVES = 3
