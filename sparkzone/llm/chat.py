@@ -6,9 +6,10 @@ backslash to ``\\e``, ``###`` to ``\\h``, ``</turn>`` to ``\\t``, and a role's c
 ``\\d``. ``unescape`` is its exact inverse.
 
 Every assistant turn becomes one example: its context is the rendering of all turns before
-it, and only its own body is trainable. Contexts of one conversation are prefixes of the
-same rendering, so an example stores where its context ends instead of a copy; output grows
-with the turns, not with their square. ``with_context`` writes the copies out.
+it, and only its own body is trainable. ``expanded`` writes the examples out in pieces of
+bounded size, whose number grows with the square of a conversation. Contexts of one
+conversation are prefixes of the same rendering, so ``prefix_targets`` can also name where
+each context ends instead of copying it; ``with_context`` writes those contexts as one value.
 
 Cases: null text or role reads as empty; null ``turn`` sorts first; tied turns go by role,
 then text; repeated rows are turns of their own; a null ``conv_id`` is a conversation like
@@ -26,6 +27,8 @@ ASSISTANT = "assistant"
 # Turns per block; offsets are added up within and then across blocks, so that no task
 # has to hold a conversation of any length.
 BLOCK = 1024
+# Code points after which the next turn opens a new piece: a piece is this and one turn at most.
+PIECE = 4096
 
 
 def escape(text: Column, role: bool = False) -> Column:
@@ -108,21 +111,75 @@ def with_context(turns: DataFrame, examples: DataFrame) -> DataFrame:
     return joined.groupBy(*key).agg(F.array_join(F.transform(parts, lambda p: p["segment"]), "").alias("context"))
 
 
-def conversation_digests(turns: DataFrame, examples: DataFrame) -> DataFrame:
-    """What can be read back from the output, per conversation.
+def pieces(turns: DataFrame, size: int = PIECE) -> DataFrame:
+    """The renderings of ``render_turns`` in pieces: runs of turns that start within the same ``size`` code points.
+
+    A turn longer than that leaves a gap in the piece numbers.
+    """
+    part = F.struct("turn_no", "role", "segment", "start", "body_start", "body_end")
+    return turns.groupBy("conv_id", F.floor(F.col("start") / size).alias("piece")).agg(F.array_sort(F.collect_list(part)).alias("parts"))
+
+
+def _text(parts: Column | str) -> Column:
+    return F.array_join(F.transform(parts, lambda p: p["segment"]), "")
+
+
+def expanded(cut: DataFrame, assistant: str = ASSISTANT, size: int = PIECE) -> DataFrame:
+    """Every assistant turn of ``pieces`` as an example of its own, one row per piece of its text.
+
+    The texts of an example's rows, by ``piece``, are the turns before it and its own.
+    ``context_chars`` of a row are context. ``loss_from`` to ``loss_to`` bound the reply in the
+    text of the last row and are null in the others. Rows meet the pieces before theirs by
+    conversation and piece, so that a long conversation is spread over as many keys.
+    """
+    replies = F.explode(F.filter("parts", lambda p: p["role"] == assistant)).alias("t")
+    first = F.get("parts", 0)["start"]
+    own = cut.select("*", replies).select(
+        "conv_id",
+        F.col("t.turn_no").alias("target_turn"),
+        "piece",
+        _text(F.filter("parts", lambda p: p["turn_no"] <= F.col("t.turn_no"))).alias("text"),
+        (F.col("t.start") - first).alias("context_chars"),
+        (F.col("t.body_start") - first).alias("loss_from"),
+        (F.col("t.body_end") - first).alias("loss_to"),
+    )
+    # What a later piece can follow reaches its own end; most conversations have no such piece.
+    last = F.element_at("parts", -1)
+    full = cut.where(last["start"] + F.length(last["segment"]) >= (F.col("piece") + 1) * size)
+    left = full.select(F.col("conv_id").alias("p_conv"), F.col("piece").alias("p_piece"), _text("parts").alias("text"))
+    later = cut.where("piece > 0").select("conv_id", "piece", replies).select("conv_id", F.col("t.turn_no").alias("target_turn"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("piece") - 1)).alias("piece"))
+    before = later.join(left, later.conv_id.eqNullSafe(left.p_conv) & (later.piece == left.p_piece)).select(
+        "conv_id", "target_turn", "piece", "text", F.length("text").cast("long").alias("context_chars"), F.lit(None).cast("long").alias("loss_from"), F.lit(None).cast("long").alias("loss_to")
+    )
+    return own.unionByName(before)
+
+
+def conversation_digests(cut: DataFrame, examples: DataFrame) -> DataFrame:
+    """What can be read back from ``pieces`` and ``expanded``, per conversation.
 
     A digest is over one value, so this, unlike the operator, brings the rendering of a
-    conversation into one row.
+    conversation and its replies into one row. Examples are summed as they are made:
+    ``examples_hash`` adds 32 bits of the md5 of every row of ``expanded``.
     """
-    rows = turns.select("conv_id", "turn_no", "segment", F.lit(None).cast("string").alias("target"), F.lit(0).cast("long").alias("context_chars")).unionByName(
-        examples.select("conv_id", F.col("target_turn").alias("turn_no"), F.lit(None).cast("string").alias("segment"), "target", "context_chars")
+    nothing = F.lit(None).cast("string")
+    row = F.concat_ws(":", "target_turn", "piece", F.coalesce("loss_from", F.lit(-1)), F.coalesce("loss_to", F.lit(-1)), "text")
+    target = F.when(F.col("loss_from").isNotNull(), F.substring("text", F.col("loss_from") + 1, F.col("loss_to") - F.col("loss_from")))
+    sums = ("context_chars", "example_chars", "examples_hash")
+    rows = cut.select("conv_id", F.col("piece").alias("place"), _text("parts").alias("segment"), nothing.alias("target"), *[F.lit(0).cast("long").alias(c) for c in sums]).unionByName(
+        examples.select(
+            "conv_id",
+            F.col("target_turn").alias("place"),
+            nothing.alias("segment"),
+            target.alias("target"),
+            "context_chars",
+            F.length("text").cast("long").alias("example_chars"),
+            F.conv(F.substring(F.md5(row.cast("binary")), 1, 8), 16, 10).cast("long").alias("examples_hash"),
+        )
     )
     pick = lambda name: F.transform(
-        F.array_sort(F.collect_list(F.when(F.col(name).isNotNull(), F.struct("turn_no", name)))), lambda p: p[name]
-    )
-    whole = rows.groupBy("conv_id").agg(
-        F.array_join(pick("segment"), "").alias("rendering"), pick("target").alias("targets"), F.sum("context_chars").alias("context_chars")
+        F.array_sort(F.collect_list(F.when(F.col(name).isNotNull(), F.struct("place", name)))), lambda p: p[name]
     )
+    whole = rows.groupBy("conv_id").agg(F.array_join(pick("segment"), "").alias("rendering"), pick("target").alias("targets"), *[F.sum(c).alias(c) for c in sums])
     back = F.transform(
         F.filter(F.split("rendering", CLOSE), lambda t: t != ""),
         lambda t: F.concat(
@@ -132,7 +189,7 @@ def conversation_digests(turns: DataFrame, examples: DataFrame) -> DataFrame:
             F.lit("\n"),
         ),
     )
-    read = whole.select("conv_id", "rendering", back.alias("turns"), F.array_join(F.transform("targets", unescape), "").alias("loss"), F.size("targets").alias("n_examples"), "context_chars")
+    read = whole.select("conv_id", "rendering", back.alias("turns"), F.array_join(F.transform("targets", unescape), "").alias("loss"), F.size("targets").alias("n_examples"), *sums)
     return read.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
@@ -141,5 +198,5 @@ def conversation_digests(turns: DataFrame, examples: DataFrame) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("rendering").cast("long").alias("formatted_chars"),
         F.col("n_examples").cast("long").alias("n_examples"),
-        "context_chars",
+        *sums,
     )

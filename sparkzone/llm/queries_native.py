@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import chat, mixing, quality, sharding
-from .common import table
+from .common import table, written
 from .registry import query
 
 # The contract's extra conversation, whose texts hold the template's own marks.
@@ -24,10 +24,23 @@ def _escaped(c: str, role: bool = False) -> str:
       select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
       union all select -7, 0, 'user', '\\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\\### Assistant: </turn> ok'
     ), s as (
-      select *, length('### ' || {_escaped('role', True)} || ':' || chr(10) || {_escaped('text')} || '</turn>' || chr(10)) as chars from t
+      select *, '### ' || {_escaped('role', True)} || ':' || chr(10) as head, {_escaped('text')} as body from t
+    ), l as (
+      select *, head || body || '</turn>' || chr(10) as segment, length(head || body || '</turn>' || chr(10)) as chars from s
     ), p as (
-      select *, sum(chars) over (partition by conv_id order by turn, role, text rows between unbounded preceding and current row) - chars as start from s
-    )
+      select *, row_number() over o as n, sum(chars) over (o rows between unbounded preceding and current row) - chars as start
+      from l window o as (partition by conv_id order by turn, role, text)
+    ), x as (
+      select e.conv_id, e.n, t.start // {chat.PIECE} as piece, string_agg(t.segment, '' order by t.n) as text,
+        case when max(t.n) = e.n then e.start + length(e.head) - min(t.start) end as loss_from,
+        case when max(t.n) = e.n then e.start + length(e.head || e.body) - min(t.start) end as loss_to
+      from p e join p t on e.conv_id is not distinct from t.conv_id and t.n <= e.n
+      where e.role = 'assistant' group by e.conv_id, e.n, e.start, e.head, e.body, t.start // {chat.PIECE}
+    ), h as (
+      select conv_id, sum(length(text))::bigint as example_chars,
+        sum(('0x' || md5(concat_ws(':', n::bigint::varchar, piece::bigint::varchar, coalesce(loss_from, -1)::bigint::varchar, coalesce(loss_to, -1)::bigint::varchar, text))[1:8])::bigint)::bigint as examples_hash
+      from x group by conv_id
+    ), c as (
     select conv_id, count(*) as n_turns,
       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
@@ -36,12 +49,16 @@ def _escaped(c: str, role: bool = False) -> str:
       count(*) filter (role = 'assistant') as n_examples,
       coalesce(sum(start) filter (role = 'assistant'), 0)::bigint as context_chars
     from p group by conv_id
+    )
+    select c.*, coalesce(example_chars, 0) as example_chars, coalesce(examples_hash, 0) as examples_hash
+    from c left join h on c.conv_id is not distinct from h.conv_id
     """,
 )
 def op1_prefix_targets(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     turns = chat.render_turns(rows.unionByName(spark.createDataFrame(PLANTED, "conv_id long, turn long, role string, text string")))
-    return chat.conversation_digests(turns, chat.prefix_targets(turns))
+    cut = written(chat.pieces(turns), "pieces")
+    return chat.conversation_digests(cut, chat.expanded(cut))
 
 
 def shard_sql(limit: int) -> str:

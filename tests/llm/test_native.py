@@ -49,7 +49,8 @@ def expected_turns():
 @pytest.mark.parametrize("block", [1, 2, 1024])
 def test_conversations_are_read_back(turns, block):
     rendered = chat.render_turns(turns, block)
-    found = {r["conv_id"]: r for r in chat.conversation_digests(rendered, chat.prefix_targets(rendered)).collect()}
+    cut = chat.pieces(rendered, 16)
+    found = {r["conv_id"]: r for r in chat.conversation_digests(cut, chat.expanded(cut, size=16)).collect()}
     want = expected_turns()
     assert set(found) == set(want)
     for conv, said in want.items():
@@ -73,9 +74,28 @@ def test_an_example_has_all_turns_before_it_and_one_trainable_reply(turns):
         assert whole[e["loss_end"] :].startswith(chat.CLOSE)
 
 
+@pytest.mark.parametrize("size", [1, 16, 40, 4096])
+def test_expanded_examples_are_whole_at_any_piece_size(turns, size):
+    rendered = chat.render_turns(turns, 2)
+    want = {(e["conv_id"], e["target_turn"]): e for e in chat.with_context(rendered, chat.prefix_targets(rendered)).collect()}
+    rows = {}
+    for r in sorted(chat.expanded(chat.pieces(rendered, size), size=size).collect(), key=lambda r: r["piece"]):
+        rows.setdefault((r["conv_id"], r["target_turn"]), []).append(r)
+    assert set(rows) == set(want)
+    if size == 16:
+        assert max(map(len, rows.values())) > 1
+    for key, found in rows.items():
+        e, last = want[key], found[-1]
+        whole = "".join(r["text"] for r in found)
+        assert whole.startswith(e["context"]) and len(e["context"]) == sum(r["context_chars"] for r in found)
+        assert whole[len(e["context"]) :].endswith(e["target"] + chat.CLOSE)
+        assert last["text"][last["loss_from"] : last["loss_to"]] == e["target"]
+        assert all(r["loss_from"] is None and r["loss_to"] is None and r["context_chars"] == len(r["text"]) for r in found[:-1])
+
+
 def test_no_conversations(turns):
     none = chat.render_turns(turns.limit(0))
-    assert chat.conversation_digests(none, chat.prefix_targets(none)).count() == 0 and chat.prefix_targets(none).count() == 0
+    assert chat.conversation_digests(chat.pieces(none), chat.expanded(chat.pieces(none))).count() == 0 and chat.prefix_targets(none).count() == 0
 
 
 # --- sharding --------------------------------------------------------------------
