@@ -122,6 +122,18 @@ def require_image_catalogue(catalogue: DataFrame, expected: int, trusted_root: s
     return counts
 
 
+def missing_objects(catalogue: DataFrame, files: DataFrame, column: str) -> DataFrame:
+    """Catalogue rows whose object is not among the listed, non-empty files (``path``, ``length``)."""
+    there = files.filter("length > 0").select(F.col("path").alias("__there")).distinct()
+    return catalogue.join(there, F.col(column) == F.col("__there"), "left_anti")
+
+
+def sampled_paths(catalogue: DataFrame, column: str, n: int = 20) -> list[str]:
+    """``n`` paths at most, the same ones on every run: those with the least digests."""
+    chosen = catalogue.filter(F.col(column).isNotNull()).select(column, F.md5(column).alias("__d")).distinct().orderBy("__d").limit(n)
+    return [r[column] for r in chosen.collect()]
+
+
 def require_objects(spark: SparkSession, paths: Sequence[str]) -> None:
     missing = [p for p in paths if not sharedfs.exists(spark, p)]
     if missing:

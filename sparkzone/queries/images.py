@@ -8,6 +8,7 @@ from .. import sharedfs
 from ..operators import gates
 from ..plans import images as im
 from ..sources.files import profile_images
+from ..sources.tables import list_files
 from .registry import DATE, query, table
 
 
@@ -165,3 +166,41 @@ def image_files_incremental(spark, folder):
     blob = lambda name, kind: F.get_json_object("metadata_blob", f"$.{name}").cast(kind).alias(name)
     rows = spark.read.parquet(f"{root}/catalogue").select("run", blob("width", "int"), blob("height", "int"), blob("is_corrupted", "boolean"))
     return rows.groupBy("run", "width", "height", "is_corrupted").agg(F.count("*").alias("n"))
+
+
+@query(
+    "catalogue_objects",
+    """select s_nationkey, count(*) as rows_seen, count(*) filter (s_acctbal < 0) as missing, false as sample_of_stored_raised, count(*) filter (s_acctbal < 0) > 0 as sample_of_missing_raised
+      from supplier group by s_nationkey""",
+)
+def catalogue_objects(spark, folder):
+    """A catalogue row per supplier, and a bitmap for each that owes nothing: the rows without their object, and what the sampled gate says."""
+    root = sharedfs.new_folder(spark, "objects")
+    stored = F.col("s_acctbal") >= 0
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
+    image = _bitmap(F.lit(2), F.lit(2))
+    suppliers.where(stored).select(image.alias("image"), "s_suppkey").write.partitionBy("s_suppkey").option("lineSep", " ").text(root)
+    files = list_files(spark, root)
+    # The writer chose the names of the files; the catalogue knows those it saw, and expects others.
+    key = F.regexp_extract("path", "s_suppkey=([0-9-]+)", 1).try_cast("long")
+    seen = files.select(F.col("path").alias("trusted_path"), key.alias("key"))
+    expected = F.concat(F.lit(f"{root}/s_suppkey="), F.col("s_suppkey"), F.lit("/image.bmp"))
+    catalogue = sharedfs.cut_lineage(
+        suppliers.join(seen, F.col("s_suppkey") == F.col("key"), "left").select("s_suppkey", "s_nationkey", stored.alias("stored"), F.coalesce("trusted_path", expected).alias("trusted_path")),
+        "catalogue",
+    )
+    raised = {}
+    for name, rows in (("stored", catalogue.where("stored")), ("missing", catalogue.where("not stored"))):
+        try:
+            gates.require_objects(spark, gates.sampled_paths(rows, "trusted_path"))
+            raised[name] = False
+        except gates.GateError:
+            raised[name] = True
+    lost = gates.missing_objects(catalogue, files, "trusted_path").select("s_suppkey", F.lit(1).alias("lost"))
+    missing = F.count("lost")
+    return catalogue.join(lost, "s_suppkey", "left").groupBy("s_nationkey").agg(
+        F.count("*").alias("rows_seen"),
+        missing.alias("missing"),
+        F.lit(raised["stored"]).alias("sample_of_stored_raised"),
+        (F.lit(raised["missing"]) & (missing > 0)).alias("sample_of_missing_raised"),
+    )

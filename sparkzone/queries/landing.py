@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from .. import sharedfs
-from ..functions import text
+from ..functions import names, text
 from ..functions.keys import fingerprint
 from ..operators import integrity, signatures, sketches
 from ..operators.joins import null_safe_join
@@ -231,3 +233,34 @@ def csv_many_files(spark, folder):
     return read.groupBy("o_orderstatus").agg(
         F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.sum("o_custkey").alias("customers"), F.round(F.sum("o_totalprice"), 2).alias("price")
     )
+
+
+# Folders as producers name them, and what each calls its measure; two of the names hold no data set.
+LANDED = {
+    "click": ("Click-Events_delta_1779580800000", "value"),
+    "view": ("view_events_20260524T101500", "amount"),
+    "purchase": ("purchase_events_17", "val"),
+    "error": ("_staging", "value"),
+    "signup": ("raw", "value"),
+}
+
+
+@query(
+    "landed_datasets",
+    """select case event_type when 'click' then 'click_events' when 'view' then 'view_events' else 'purchase_events' end as dataset,
+      case event_type when 'click' then 'value' when 'view' then 'amount' else 'val' end as measure, count(*) as n, count(value) as measured, max(value) as greatest
+      from events where event_type in ('click', 'view', 'purchase') group by all""",
+)
+def landed_datasets(spark, folder):
+    """Data sets found below a landing folder, under stable names, whatever their producers call folder and measure."""
+    root = sharedfs.new_folder(spark, "landing")
+    events = table(spark, folder, "events")
+    for kind, (name, measure) in LANDED.items():
+        events.where(F.col("event_type") == kind).select("event_id", F.col("value").alias(measure)).write.parquet(f"{root}/{name}")
+    parts = []
+    for path in tables.discover_datasets(spark, root):
+        rows = tables.read_table(spark, path)
+        measure = names.pick_column(rows.columns, ("amount", "val", "value"))
+        found = F.lit(names.table_name(path)).alias("dataset"), F.lit(measure).alias("measure")
+        parts.append(rows.agg(F.count("*").alias("n"), F.count(measure).alias("measured"), F.max(measure).alias("greatest")).select(*found, "n", "measured", "greatest"))
+    return reduce(DataFrame.unionByName, parts)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import sharedfs
 from ..operators import vectors as vec
+from ..plans import collections
 from ..sources import versions
 from ..sources.tables import upsert
 from .registry import DATE, query, table
@@ -93,6 +94,35 @@ def vector_collection_versions(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query(
+    "vector_collection_refresh",
+    """with e as (select *, coalesce(label, -1) < 5 as early from embeddings),
+    u as (select 'outdated' as run, false as rebuilt, 4 as fields, count(*) as n, count(*) as newest from e where early
+      union all select 'rebuilt', true, 11, count(*), count(*) from e where early
+      union all select 'added', false, 11, count(*), count(*) filter (not early) from e
+      union all select 'repeated', false, 11, count(*), count(*) filter (not early) from e)
+    select run, rebuilt, fields, n, newest from u""",
+)
+def vector_collection_refresh(spark, folder):
+    """A collection of an old form is built anew; later runs add to it, and a repeated run changes nothing."""
+    root = sharedfs.new_folder(spark, "collection")
+    encoded = collection(spark, folder).select("id", "image_path", "label", "embeddings", F.lit("SUCCESS").alias("status"))
+    early = F.coalesce(F.col("label").cast("int"), F.lit(-1)) < 5
+    days = {"outdated": "2026-05-23", "rebuilt": "2026-05-24", "added": "2026-05-25", "repeated": "2026-05-25"}
+    parts = []
+    for run, day in days.items():
+        rows = vec.collection_rows(encoded.filter(early if run in ("outdated", "rebuilt") else ~early), "embeddings", "stand-in", 64, f"{day}T10:00:00+00:00")
+        if run == "outdated":
+            rebuilt = False
+            versions.publish(rows.select("id", "label", "embeddings", "created_at"), root)
+        else:
+            rebuilt = collections.refresh(spark, rows, root)
+        stored = versions.read(spark, root)
+        newest = F.count_if(F.startswith("created_at", F.lit(day)))
+        parts.append(stored.agg(F.count("*").alias("n"), newest.alias("newest")).select(F.lit(run).alias("run"), F.lit(rebuilt).alias("rebuilt"), F.lit(len(stored.columns)).alias("fields"), "n", "newest"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "vector_cells_many_queries",
     """with u as (select vec_id, label, [cast(x as double) for x in embedding] as v from embeddings),

@@ -290,3 +290,13 @@ def test_more_new_files_than_paths_are_found_by_their_time(spark, tmp_path, monk
     assert "modificationTime" in plan
     assert profile_images(spark, str(folder), DATE, known.unionByName(again)).count() == 0
     assert profile_images(spark, str(folder), DATE, known.limit(0)).count() == 8
+
+
+def test_rows_without_their_object_and_a_repeatable_sample(spark):
+    files = spark.createDataFrame([("/a", 5), ("/a", 5), ("/b", 0)], "path STRING, length LONG")
+    catalogue = spark.createDataFrame([(1, "/a"), (2, "/b"), (3, "/c"), (4, None), (5, "/a")], "id INT, at STRING")
+    assert sorted(r["id"] for r in gates.missing_objects(catalogue, files, "at").collect()) == [2, 3, 4]
+    assert gates.missing_objects(catalogue.limit(0), files, "at").count() == 0
+    assert gates.missing_objects(catalogue, files.limit(0), "at").count() == 5
+    assert sorted(gates.sampled_paths(catalogue, "at")) == ["/a", "/b", "/c"]
+    assert gates.sampled_paths(catalogue, "at", 2) == gates.sampled_paths(catalogue.repartition(3), "at", 2)

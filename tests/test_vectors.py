@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkzone.operators import vectors as vec
+from sparkzone.plans import collections
+from sparkzone.sources import versions
 from sparkzone.sources.tables import upsert
 
 from .conftest import rows
@@ -124,3 +126,14 @@ def test_encoding_isolates_failures(spark):
 def test_zero_vectors_stay_finite(spark):
     df = spark.createDataFrame([([0.0, 0.0],), ([3.0, 4.0],)], "v ARRAY<FLOAT>")
     assert [[round(x, 4) for x in r[0]] for r in df.select(vec.l2_normalize(F.col("v"))).collect()] == [[0.0, 0.0], [0.6, 0.8]]
+
+
+def test_a_collection_without_all_fields_is_built_anew(spark, tmp_path):
+    root = str(tmp_path / "collection")
+    full = [f"'{i}' as {c}" if c != "id" else "{} as id" for i, c in enumerate(vec.COLLECTION_FIELDS)]
+    row = lambda n: spark.sql("select " + ", ".join(full).format(n))
+    assert collections.refresh(spark, row(1), root) and not collections.refresh(spark, row(2), root)
+    versions.publish(versions.read(spark, root).drop("label"), root)
+    assert collections.refresh(spark, row(3), root)
+    assert [r["id"] for r in versions.read(spark, root).collect()] == [3]
+    assert not collections.refresh(spark, row(3).limit(0), root) and versions.read(spark, root).count() == 1
