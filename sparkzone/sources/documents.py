@@ -33,10 +33,11 @@ def elements(c: Column) -> Column:
 def well_formed(c: Column) -> Column:
     """Whether the text is one JSON value and nothing else.
 
-    Spark's parser stops after the first value, so the text is also read as a member followed by another.
+    Spark's parser stops after the first value, so the text is read as the first of two items: it is
+    one value if the mark is the second.
     """
-    member = F.json_object_keys(F.concat(F.lit('{"value":'), c, F.lit(f',"{END_MARK}":0}}')))
-    return F.try_parse_json(c).isNotNull() & F.coalesce(member == F.array(F.lit("value"), F.lit(END_MARK)), F.lit(False))
+    pair = F.try_parse_json(F.concat(F.lit("["), c, F.lit(f',"{END_MARK}"]')))
+    return F.coalesce(F.try_variant_get(pair, "$[1]", "string") == END_MARK, F.lit(False))
 
 
 # A finished JSON file, or a part of a folder some job wrote under such a name. The name says
@@ -72,6 +73,8 @@ def _of_one_value(body: Column) -> Column:
 
 def parse_payloads(payloads: DataFrame) -> Parsed:
     """A payload is an object, an array, or one JSON value per line; anything else rejects its file."""
+    # Reading a payload may cost as much as parsing it, so the filter below must not repeat it.
+    payloads = computed_once(payloads.select("source_file_path", F.col("payload").alias("__read")), "payload", F.col("__read")).drop("__read")
     body = F.col("payload")
     lines = F.filter(F.split(body, r"\r?\n"), lambda x: F.trim(x) != "")
     shaped = computed_once(payloads.filter(body != ""), "__whole", well_formed(body))
