@@ -208,3 +208,47 @@ def test_shape_files_follow_the_table(spark, monkeypatch):
         assert len(texts) > users // 40 and max(t.count("conv_id") for t in texts) < max(100, users // 2)
     for name in ("doc_multiline_files", "json_file_catalogue"):
         assert compare(QUERIES[name](spark, folder), connect(folder), SQL[name]) is None
+
+
+def test_keys_cleaned_together_as_one_by_one(spark):
+    """Plain keys are cleaned in one text; odd ones, among them the mark between keys, one by one."""
+    from sparkzone.plans.documents import normalize_records
+
+    records = [
+        '{"ID": 1, "isMobile": "  Yes ", "a1": null}',
+        '{" Key One ": "X", "b,c": "{not json", "\\u00e9t\\u00e9": [1, 2]}',
+        '{"a\\u0001b": "x", "c": "y"}',
+        '{"A": "first", "a": "second"}',
+        "{}",
+    ]
+    docs = spark.createDataFrame([(str(i), r) for i, r in enumerate(records)], "source_file_path STRING, record STRING")
+    found = {r["source_file_path"]: r["doc"] for r in normalize_records(docs, False).collect()}
+    assert found == {
+        "0": {"id": "1", "ismobile": "yes", "a1": None},
+        "1": {"key_one": "x", "b_c": "{not json", "t": "[1,2]"},
+        "2": {"a_b": "x", "c": "y"},
+        "3": {"a": "second"},
+        "4": {},
+    }
+
+
+def _json_parses(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("from_json(")
+
+
+def test_each_json_text_is_parsed_once(spark, tmp_path):
+    from sparkzone.plans import stations as st
+    from sparkzone.sources.documents import flatten_snapshots
+
+    records = [("p", '{"id": 1}'), ("q", '[{"id": 2}, 5]'), ("r", '[[{"id": 3}], {"id": 4}]'), ("s", "7")]
+    docs = spark.createDataFrame(records, "source_file_path STRING, record STRING")
+    flat = flatten_snapshots(docs)
+    # The list itself, and the lists within it.
+    assert _json_parses(flat) == 2
+    assert sorted(r["record"] for r in flat.collect()) == ['{"id": 1}', '{"id":2}', '{"id":3}', '{"id":4}']
+
+    maps = spark.sql("""select map('id', '7', 'name', 'x', 'sensors', '[{"id": 1}]') as doc""")
+    st.station_frame(maps).write.parquet(f"{tmp_path}/frame")
+    marts = st.station_marts(spark.read.parquet(f"{tmp_path}/frame"))
+    assert _json_parses(marts["mart_station_sensor_catalog"]) == 0
+    assert [tuple(r) for r in marts["bridge_station_sensor"].collect()] == [(7, 1)]
