@@ -107,20 +107,22 @@ def stratified_split(
     Rows are ordered by a seeded digest. Counts per digest prefix find the prefix in which a
     label's quota ends, and counts below it the longer prefix; of a label's rows about one in
     16 million are left to rank, and no order is longer than 4,096 prefixes.
+    What a step finds, a row per label, is written: its size is known then, so that rows meet it
+    where they are, instead of being exchanged by label, which would leave a task per label.
     """
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
     marked = df.withColumn("__digest", digest)
-    totals = marked.groupBy(label).agg(F.ceil(F.count("*") * F.lit(test)).alias("__take"))
+    totals = cut_lineage(marked.groupBy(label).agg(F.ceil(F.count("*") * F.lit(test)).alias("__take")), "split-totals")
     edge = null_safe_join(marked.select(label, "__digest"), totals, [label])
     for digits in (3, 6):
         edge = edge.withColumn("__prefix", F.substring("__digest", 1, digits))
         counts = edge.groupBy(label, "__prefix").agg(F.count("*").alias("__n"), F.first("__take").alias("__take"))
         running = Window.partitionBy(label).orderBy("__prefix").rowsBetween(Window.unboundedPreceding, 0)
         ends = counts.withColumn("__upto", F.sum("__n").over(running)).filter("__upto >= __take and __upto - __n < __take")
-        cut = ends.select(label, "__prefix", (F.col("__take") - F.col("__upto") + F.col("__n")).alias("__take"))
+        cut = cut_lineage(ends.select(label, "__prefix", (F.col("__take") - F.col("__upto") + F.col("__n")).alias("__take")), "split-cut")
         edge = null_safe_join(edge.drop("__take"), cut, [label, "__prefix"], "inner").drop("__prefix")
     ranked = edge.withColumn("__r", F.row_number().over(Window.partitionBy(label).orderBy("__digest")))
-    limits = ranked.filter("__r = __take").select(label, F.col("__digest").alias("__last"))
+    limits = cut_lineage(ranked.filter("__r = __take").select(label, F.col("__digest").alias("__last")), "split-limits")
     joined = null_safe_join(marked, limits, [label])
     in_test = F.coalesce(F.col("__digest") <= F.col("__last"), F.lit(False))
     return joined.filter(~in_test).select(*df.columns), joined.filter(in_test).select(*df.columns)

@@ -69,8 +69,8 @@ def usable_texts(df: DataFrame) -> DataFrame:
     return kept
 
 
-def fit_features(train: DataFrame, terms: int = MAX_TERMS) -> list:
-    """Fitted stages from text to unit TF-IDF vectors, with the smoothed ``idf + 1`` weighting."""
+def _fit_counts(train: DataFrame, terms: int) -> tuple[list, DataFrame]:
+    """Fitted stages from text to term counts, and the counted rows, written without their texts."""
     front = [
         RegexTokenizer(inputCol="tweet_text", outputCol="words", pattern=WORD, gaps=False, toLowercase=True),
         NGram(n=2, inputCol="words", outputCol="pairs"),
@@ -80,28 +80,37 @@ def fit_features(train: DataFrame, terms: int = MAX_TERMS) -> list:
     for stage in front:
         tokens = stage.transform(tokens)
     counts = CountVectorizer(inputCol="terms", outputCol="tf", vocabSize=terms).fit(tokens)
-    idf = IDF(inputCol="tf", outputCol="unused").fit(counts.transform(tokens))
+    counted = counts.transform(tokens).drop("tweet_text", "words", "pairs", "terms")
+    return [*front, counts], cut_lineage(counted, "counts")
+
+
+def _fit_weights(counted: DataFrame) -> list:
+    """Fitted stages from term counts to unit vectors, with the smoothed ``idf + 1`` weighting."""
+    idf = IDF(inputCol="tf", outputCol="unused").fit(counted)
     weights = DenseVector([w + 1.0 for w in idf.idf])
-    return [
-        *front,
-        counts,
-        ElementwiseProduct(scalingVec=weights, inputCol="tf", outputCol="weighted"),
-        Normalizer(p=2.0, inputCol="weighted", outputCol="features"),
-    ]
+    return [ElementwiseProduct(scalingVec=weights, inputCol="tf", outputCol="weighted"), Normalizer(p=2.0, inputCol="weighted", outputCol="features")]
+
+
+def fit_features(train: DataFrame, terms: int = MAX_TERMS) -> list:
+    """Fitted stages from text to unit TF-IDF vectors."""
+    count, counted = _fit_counts(train, terms)
+    return [*count, *_fit_weights(counted)]
 
 
 def train_classifier(df: DataFrame, key: str | None = None, terms: int = MAX_TERMS, iterations: int = 1000) -> Trained:
     """Exact 80/20 split per class, then fit on the train part and predict the test part."""
-    texts = usable_texts(df)
+    # A file of one row group is read by one task, however large; the passes below read even parts.
+    texts = usable_texts(cut_lineage(df.hint("rebalance"), "texts"))
     if key is None:
         texts, key = texts.withColumn("row_key", fingerprint("tweet_text", "disaster_type")), "row_key"
     # Labels, terms and weights are all fitted on these rows.
     train, test = (cut_lineage(part, "split") for part in stratified_split(texts, "disaster_type", key, 0.2, SEED))
     train_size, test_size = train.count(), test.count()
     indexer = StringIndexer(inputCol="disaster_type", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
-    stages = fit_features(train, terms)
-    prepared = indexer.transform(train)
-    for stage in stages:
+    count, counted = _fit_counts(train, terms)
+    weigh = _fit_weights(counted)
+    prepared = indexer.transform(counted)
+    for stage in weigh:
         prepared = stage.transform(prepared)
     # Written once: the fit passes over it once per iteration.
     prepared = cut_lineage(prepared.select("features", "label"), "training")
@@ -109,7 +118,7 @@ def train_classifier(df: DataFrame, key: str | None = None, terms: int = MAX_TER
     regression = LogisticRegression(
         maxIter=iterations, family="multinomial", regParam=1.0 / train_size, elasticNetParam=0.0, standardization=False
     ).fit(prepared)
-    model = PipelineModel([*stages, regression])
+    model = PipelineModel([*count, *weigh, regression])
     labels = list(indexer.labels)
     return Trained(model, labels, predict(model, labels, test), train_size, test_size)
 

@@ -13,7 +13,8 @@ def training(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as texts, labelled by the quality reviewers gave them."""
     docs = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id")
     kind = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").otherwise("poor")
-    rows = docs.select(F.col("doc_id").alias("id"), "text", kind.alias("kind"))
+    # The documents of one row group are one task of the scan; every core gets some of them.
+    rows = docs.select(F.col("doc_id").alias("id"), "text", kind.alias("kind")).hint("rebalance")
     facts = star.text_features(rows, "id", "text", "kind")
     return facts.select("tweet_id", "tweet_text", "disaster_type", "word_count")
 

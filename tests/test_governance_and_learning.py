@@ -92,6 +92,30 @@ def test_training_metrics_and_abstention(spark, tmp_path):
             classifier.usable_texts(broken)
 
 
+def test_one_task_of_texts_is_spread_before_it_is_split(spark, monkeypatch):
+    # Some MB in one task, as a file of one row group is read.
+    body = F.concat_ws(" ", *[F.sha2(F.concat(F.col("id").cast("string"), F.lit(f"-{i}")), 512) for i in range(4)])
+    label = F.when(F.col("id") % 2 == 0, "even").otherwise("odd")
+    df = spark.range(0, 16_000, 1, 1).select("id", body.alias("tweet_text"), label.alias("disaster_type"), F.lit(4).alias("word_count"))
+    tasks = []
+    split = classifier.stratified_split
+
+    def watched(texts, *rest):
+        tasks.append(texts.select(F.spark_partition_id()).distinct().count())
+        return split(texts.limit(200), *rest)
+
+    monkeypatch.setattr(classifier, "stratified_split", watched)
+    classifier.train_classifier(df, key="id", iterations=1)
+    assert tasks[0] > 1
+
+
+def test_counted_rows_are_stored_without_texts(spark):
+    df = spark.createDataFrame(TEXTS, "tweet_text STRING, disaster_type STRING")
+    stages, counted = classifier._fit_counts(df, 100)
+    assert set(counted.columns) == {"disaster_type", "tf"} and counted.count() == 3 and counted.inputFiles()
+    assert len(stages) == 4
+
+
 def test_classification_metrics_by_hand(spark):
     pairs = [("a", "a")] * 3 + [("a", "b")] + [("b", "b")] * 2 + [("c", "a")]
     m = profile.classification_metrics(spark.createDataFrame(pairs, "t STRING, p STRING"), "t", "p").first()

@@ -59,6 +59,13 @@ def test_a_hot_group_and_value_are_cut(spark):
     assert largest <= 2 * 30_000 / 30
 
 
+def test_split_leaves_rows_where_they_are(spark):
+    # Two labels: an exchange by label would bring the rows of eight tasks to two.
+    df = spark.range(0, 4_000, 1, 8).select("id", F.when(F.col("id") % 10 == 0, "rare").otherwise("usual").alias("grp"))
+    for part in stratified_split(df, "grp", "id"):
+        assert part.select(F.spark_partition_id()).distinct().count() == 8
+
+
 def test_split_is_exact_and_repeatable(spark, skewed):
     train, test = stratified_split(skewed, "grp", "id")
     assert train.count() + test.count() == 3000
