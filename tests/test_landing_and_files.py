@@ -300,3 +300,24 @@ def test_rows_without_their_object_and_a_repeatable_sample(spark):
     assert gates.missing_objects(catalogue, files.limit(0), "at").count() == 5
     assert sorted(gates.sampled_paths(catalogue, "at")) == ["/a", "/b", "/c"]
     assert gates.sampled_paths(catalogue, "at", 2) == gates.sampled_paths(catalogue.repartition(3), "at", 2)
+
+
+def test_a_single_row_group_is_spread_whatever_its_splits(spark, tmp_path):
+    path = str(tmp_path / "one")
+    spark.range(0, 40_000, 1, 1).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")).write.parquet(path)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {n: spark.conf.get(n) for n in names}
+    try:
+        for n in names:
+            spark.conf.set(n, "65536")
+        scan = spark.read.parquet(path)
+        held = lambda df: sorted(r["n"] for r in tables.rows_per_partition(df).collect())
+        assert scan.rdd.getNumPartitions() >= 4 and held(scan) == [40_000]
+        dealt = tables.spread(scan)
+        assert len(held(dealt)) >= 4 and max(held(dealt)) < 20_000
+        assert sorted(dealt.collect()) == sorted(scan.collect())
+    finally:
+        for n, value in old.items():
+            spark.conf.set(n, value)
+    even = spark.range(0, 4_000, 1, 4)
+    assert tables.spread(even) is even and tables.spread(even.limit(0)).count() == 0
