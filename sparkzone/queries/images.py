@@ -8,7 +8,7 @@ from .. import sharedfs
 from ..operators import gates
 from ..plans import images as im
 from ..sources.files import profile_images
-from ..sources.tables import list_files
+from ..sources.tables import SMALL_FILES, list_files, spread_files
 from .registry import DATE, query, table
 
 
@@ -179,7 +179,8 @@ def catalogue_objects(spark, folder):
     stored = F.col("s_acctbal") >= 0
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
     image = _bitmap(F.lit(2), F.lit(2))
-    suppliers.where(stored).select(image.alias("image"), "s_suppkey").write.partitionBy("s_suppkey").option("lineSep", " ").text(root)
+    owners = spread_files(suppliers.where(stored), by=["s_suppkey"])
+    owners.select(image.alias("image"), "s_suppkey").write.options(**SMALL_FILES).partitionBy("s_suppkey").option("lineSep", " ").text(root)
     files = list_files(spark, root)
     # The writer chose the names of the files; the catalogue knows those it saw, and expects others.
     key = F.regexp_extract("path", "s_suppkey=([0-9-]+)", 1).try_cast("long")

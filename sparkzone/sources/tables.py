@@ -111,6 +111,23 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(max(cores, scan.rdd.getNumPartitions(), -(-held["rows"] // ROWS_PER_TASK)))
 
 
+# Files of one task, where few rows make a file each: creating one costs some ten milliseconds.
+FILES_PER_TASK = 500
+# Options of such a write. Hadoop's local file system puts a checksum file beside each file and starts processes
+# to set the modes of both, which takes most of the time of a small file. Other file systems don't see these.
+SMALL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
+def spread_files(rows: DataFrame, per_file: int = 1, by: Sequence[str] = ()) -> DataFrame:
+    """Rows dealt out ahead of a write of one file per ``per_file`` of them, whose time goes by files, not bytes.
+
+    A table that is small as a scan would be written by one task. Rows alike in ``by`` stay in one
+    task, so in one file of a folder per key. The rows are counted, so only for plain scans.
+    """
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // (per_file * FILES_PER_TASK)))
+    return rows.repartition(tasks, *by)
+
+
 def discover_datasets(spark: SparkSession, base: str) -> list[str]:
     """Dataset folders directly below ``base``, sorted; each must hold data."""
     found = [p for p in sharedfs.child_folders(spark, base) if is_dataset_folder(p.rstrip("/").rsplit("/", 1)[-1])]

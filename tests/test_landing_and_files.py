@@ -11,6 +11,7 @@ from sparkzone import sharedfs
 from sparkzone.operators import gates, integrity
 from sparkzone.operators.gates import GateError
 from sparkzone.plans import images as im, landing
+from sparkzone.queries import images as image_queries
 from sparkzone.functions.imagebytes import image_facts
 from sparkzone.sources import files, tables
 from sparkzone.sources.files import CATALOGUE_COLUMNS, profile_images
@@ -321,3 +322,19 @@ def test_a_single_row_group_is_spread_whatever_its_splits(spark, tmp_path):
             spark.conf.set(n, value)
     even = spark.range(0, 4_000, 1, 4)
     assert tables.spread(even) is even and tables.spread(even.limit(0)).count() == 0
+
+
+def suppliers_of_one_task(spark, tmp_path, *more):
+    """Forty suppliers in one row group, and the folders that a query over them makes."""
+    some = [(k, k % 3, -5.0 if k % 4 == 0 else 5.0) for k in range(40)] + list(more)
+    spark.createDataFrame(some, "s_suppkey LONG, s_nationkey INT, s_acctbal DOUBLE").coalesce(1).write.parquet(str(tmp_path / "tables" / "supplier.parquet"))
+    return str(tmp_path / "tables"), lambda spark, label: str(tmp_path / label)
+
+
+def test_objects_of_one_row_group_are_written_by_many_tasks_and_a_key_by_one(spark, tmp_path, monkeypatch):
+    folder, new_folder = suppliers_of_one_task(spark, tmp_path, (1, 0, 5.0), (1, 0, 5.0))
+    monkeypatch.setattr(sharedfs, "new_folder", new_folder)
+    found = rows(image_queries.catalogue_objects(spark, folder), "s_nationkey")
+    assert found == [(0, 16, 4, False, True), (1, 13, 3, False, True), (2, 13, 3, False, True)]
+    made = [(p.parent.name, p.name[:10]) for p in (tmp_path / "objects").rglob("part-*")]
+    assert len(made) == len({key for key, _ in made}) == 30 and len({task for _, task in made}) > 1
