@@ -159,8 +159,8 @@ def image_files_incremental(spark, folder):
     image = _bitmap(size(4), size(3))
     made = table(spark, folder, "supplier").select("s_suppkey", F.when(key % 5 == 0, F.left(image, F.lit(50))).otherwise(image).alias("image"))
     for run in (1, 2, 3):
-        files = made.where((1 + key % 2 == run) if run < 3 else F.lit(False))
-        files.select("image").write.mode("append").option("maxRecordsPerFile", 1).option("lineSep", " ").text(f"{root}/landing")
+        files = spread_files(made.where((1 + key % 2 == run) if run < 3 else F.lit(False)))
+        files.select("image").write.options(**SMALL_FILES).mode("append").option("maxRecordsPerFile", 1).option("lineSep", " ").text(f"{root}/landing")
         known = spark.read.parquet(f"{root}/catalogue") if run > 1 else None
         profile_images(spark, f"{root}/landing", DATE, known).write.parquet(f"{root}/catalogue/run={run}")
     blob = lambda name, kind: F.get_json_object("metadata_blob", f"$.{name}").cast(kind).alias(name)

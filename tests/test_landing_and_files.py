@@ -338,3 +338,12 @@ def test_objects_of_one_row_group_are_written_by_many_tasks_and_a_key_by_one(spa
     assert found == [(0, 16, 4, False, True), (1, 13, 3, False, True), (2, 13, 3, False, True)]
     made = [(p.parent.name, p.name[:10]) for p in (tmp_path / "objects").rglob("part-*")]
     assert len(made) == len({key for key, _ in made}) == 30 and len({task for _, task in made}) > 1
+
+
+def test_image_files_of_one_row_group_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    folder, new_folder = suppliers_of_one_task(spark, tmp_path)
+    monkeypatch.setattr(sharedfs, "new_folder", new_folder)
+    found = image_queries.image_files_incremental(spark, folder)
+    assert {r["run"]: r["n"] for r in found.groupBy("run").agg(F.sum("n").alias("n")).collect()} == {1: 20, 2: 20}
+    made = [p.name for p in (tmp_path / "bitmaps" / "landing").glob("part-*") if p.stat().st_size]
+    assert len(made) == 40 and len({name[:10] for name in made}) > 1
