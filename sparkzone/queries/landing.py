@@ -228,7 +228,8 @@ def csv_many_files(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     turned = orders.select("o_totalprice", "o_orderstatus", "o_custkey", "o_orderkey")
     for part in (orders.filter("o_orderstatus = 'F'"), turned.filter("o_orderstatus = 'O'"), orders.drop("o_totalprice").filter("o_orderstatus = 'P'")):
-        part.write.mode("append").option("header", True).option("maxRecordsPerFile", 100).csv(f"{root}/raw")
+        dealt = tables.spread_files(part, per_file=100)
+        dealt.write.options(**tables.SMALL_FILES).mode("append").option("header", True).option("maxRecordsPerFile", 100).csv(f"{root}/raw")
     read = tables.read_raw_csv(spark, f"{root}/raw")
     return read.groupBy("o_orderstatus").agg(
         F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"), F.sum("o_custkey").alias("customers"), F.round(F.sum("o_totalprice"), 2).alias("price")

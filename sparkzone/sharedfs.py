@@ -53,12 +53,22 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in fs.listStatus(target) if s.isDirectory())
 
 
+# Entries of a folder that are asked one by one, at several calls into the JVM each; those of a larger folder come from one scan.
+FEW_ENTRIES = 1_000
+
+
 def data_files(spark: SparkSession, path: str) -> list[str]:
     """Non-hidden, non-empty files directly under a folder, or the file itself."""
     fs, target = _hadoop_path(spark, path)
+    entries = fs.listStatus(target)
+    if len(entries) > FEW_ENTRIES:
+        folder = str(entries[0].getPath().getParent().toString())
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).filter("length > 0").select("path")
+        named = (r["path"].rpartition("/") for r in listed.collect())
+        return sorted(f"{folder}/{name}" for parent, _, name in named if parent == folder and not name.startswith(("_", ".")))
     return sorted(
         str(s.getPath().toString())
-        for s in fs.listStatus(target)
+        for s in entries
         if s.isFile() and s.getLen() > 0 and not s.getPath().getName().startswith(("_", "."))
     )
 

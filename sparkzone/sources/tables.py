@@ -23,6 +23,8 @@ def read_raw_csv(spark: SparkSession, path: str, encoding: str | None = None, mu
 
     Files are listed one by one, so ``year=...`` folders do not become columns. The headers of a
     few are read one after another, which opens their first block only; those of many in one job.
+    The texts of many files are stored in the shared folder, as opening these again for the types
+    and for the rows costs more than the copy.
     """
     files = sharedfs.data_files(spark, path)
     if not files:
@@ -39,12 +41,15 @@ def read_raw_csv(spark: SparkSession, path: str, encoding: str | None = None, mu
     if not texts:
         raise GateError(f"no header under {path}")
     text = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), texts)
+    if len(files) > MANY_FILES and not schema:
+        text = sharedfs.cut_lineage(text, "texts")
     kinds = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(schema)} if schema else _probe_types(text)
     return text.select(*[F.col(f"`{n}`").cast(kinds.get(n, "string")).alias(n) for n in text.columns])
 
 
-# Files whose headers are read one by one.
+# Files whose headers are read one by one, and those that are opened twice for their texts.
 FEW_FILES = 16
+MANY_FILES = 1_000
 
 
 def _by_first_line(spark: SparkSession, files: list[str], encoding: str) -> list[list[str]]:

@@ -11,7 +11,7 @@ from sparkzone import sharedfs
 from sparkzone.operators import gates, integrity
 from sparkzone.operators.gates import GateError
 from sparkzone.plans import images as im, landing
-from sparkzone.queries import images as image_queries
+from sparkzone.queries import images as image_queries, landing as landing_queries
 from sparkzone.functions.imagebytes import image_facts
 from sparkzone.sources import files, tables
 from sparkzone.sources.files import CATALOGUE_COLUMNS, profile_images
@@ -347,3 +347,31 @@ def test_image_files_of_one_row_group_are_written_by_many_tasks(spark, tmp_path,
     assert {r["run"]: r["n"] for r in found.groupBy("run").agg(F.sum("n").alias("n")).collect()} == {1: 20, 2: 20}
     made = [p.name for p in (tmp_path / "bitmaps" / "landing").glob("part-*") if p.stat().st_size]
     assert len(made) == 40 and len({name[:10] for name in made}) > 1
+
+
+def test_csv_files_of_one_row_group_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    some = [(k, k % 7, "FOP"[k % 3], k / 4) for k in range(2_400)]
+    spark.createDataFrame(some, "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_totalprice DOUBLE").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(sharedfs, "new_folder", lambda spark, label: str(tmp_path / label))
+    found = {r["o_orderstatus"]: tuple(r)[1:] for r in landing_queries.csv_many_files(spark, str(tmp_path)).collect()}
+    for status in "FOP":
+        mine = [r for r in some if r[2] == status]
+        price = sum(r[3] for r in mine) if status != "P" else None
+        assert found[status] == (800, sum(r[0] for r in mine), sum(r[1] for r in mine), price)
+    made = [p for p in (tmp_path / "files" / "raw").glob("part-*")]
+    assert len({p.name[:10] for p in made}) > 1 and max(len(p.read_text().splitlines()) for p in made) == 101
+
+
+def test_many_files_are_listed_and_read_as_few_are(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "many files"
+    for i in range(20):
+        csv(folder, "n,A b\n" + f"{i},x\n{i},\n" if i % 2 else f"A b,n,day\ny,{i},2024-01-0{i % 9 + 1}\n", f"a %20 é{i}.csv")
+    for name, text in (("_hidden.csv", "n\n1\n"), (".h.csv", "n\n1\n"), ("_k=1", "n\n1\n"), ("none.csv", "")):
+        csv(folder, text, name)
+    csv(folder / "k=1", "n\n7\n")
+    few, kept = sharedfs.data_files(spark, str(folder)), tables.read_raw_csv(spark, str(folder))
+    monkeypatch.setattr(sharedfs, "FEW_ENTRIES", 0)
+    monkeypatch.setattr(tables, "MANY_FILES", 0)
+    assert len(few) == 20 and sharedfs.data_files(spark, str(folder)) == few and sharedfs.data_files(spark, few[0]) == few[:1]
+    again = tables.read_raw_csv(spark, str(folder))
+    assert again.schema == kept.schema and rows(again, *again.columns) == rows(kept, *kept.columns) and again.count() == 30
