@@ -252,3 +252,32 @@ def test_each_json_text_is_parsed_once(spark, tmp_path):
     marts = st.station_marts(spark.read.parquet(f"{tmp_path}/frame"))
     assert _json_parses(marts["mart_station_sensor_catalog"]) == 0
     assert [tuple(r) for r in marts["bridge_station_sensor"].collect()] == [(7, 1)]
+
+
+def test_a_list_of_stations_is_parsed_once_per_asset(spark):
+    """An exploded column is also filtered; where it's an expression, that parses it again."""
+    doc = {"id": "7", "name": "x", "sensors": '[{"id": 1}, {"id": 1}]', "instruments": '[{"id": 5, "name": "i"}, null]', "licenses": "none"}
+    frame = st.station_frame(spark.createDataFrame([(doc,), ({"id": "8"},)], "doc map<string,string>"))
+    found = {}
+    for array, name in (("sensors", "sensor"), ("instruments", "instrument"), ("licenses", "license")):
+        dimension = st.dim_sensor(frame) if name == "sensor" else st.dim_item(frame, array, name)
+        bridge = st.bridge_station(frame, array, name)
+        assert _json_parses(dimension) == 1 and _json_parses(bridge) == 1
+        found[name] = rows(dimension.select(f"{name}_id"), f"{name}_id"), rows(bridge, f"{name}_id")
+    assert found == {"sensor": ([(1,)], [(7, 1)]), "instrument": ([(None,), (5,)], [(7, None), (7, 5)]), "license": ([], [])}
+
+
+def test_a_record_is_cleaned_in_one_step(spark):
+    """A payload is copied for itself, its check, its records, its stations and their maps, not for each value in between."""
+    from sparkzone.plans.documents import normalize_records
+    from sparkzone.sources.documents import parse_payloads
+
+    record = json.dumps(station(1, country_name="own", Locality="later", note="[T] ", **{"A b": 1, "a-B": 2}))
+    payloads = spark.createDataFrame([("a", record), ("b", f"[[{record}], {record}]"), ("c", f"{record} x")], "source_file_path STRING, payload STRING")
+    found = normalize_records(parse_payloads(payloads).docs, True)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") <= 5
+    docs = {r["source_file_path"]: r["doc"] for r in found.collect()}
+    assert sorted(docs) == ["a", "b"] and found.count() == 3
+    picked = ("country_name", "country_code", "locality", "note", "a_b", "latitude", "owner_id", "instruments")
+    for doc in docs.values():
+        assert [doc[k] for k in picked] == ["spain", "es", "later", "[t]", "2", "41.5", "1", "none"]
