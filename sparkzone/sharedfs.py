@@ -53,6 +53,20 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in fs.listStatus(target) if s.isDirectory())
 
 
+def count_entries(spark: SparkSession, path: str) -> int:
+    """Files and folders directly under a folder, or 1 for a file."""
+    fs, target = _hadoop_path(spark, path)
+    return len(fs.listStatus(target))
+
+
+def folder_of(spark: SparkSession, path: str) -> tuple[str, int]:
+    """A folder, or that of a file, as its file system names it, and how deep it lies."""
+    fs, target = _hadoop_path(spark, path)
+    status = fs.getFileStatus(target)
+    folder = status.getPath() if status.isDirectory() else status.getPath().getParent()
+    return str(folder.toString()), int(folder.depth())
+
+
 # Entries of a folder that are asked one by one, at several calls into the JVM each; those of a larger folder come from one scan.
 FEW_ENTRIES = 1_000
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructType
 from .. import sharedfs
 from ..functions.names import is_dataset_folder
 from ..operators.gates import GateError, require_columns, require_paths
+from ..operators.rows import computed_once, once
 
 
 def read_raw_csv(spark: SparkSession, path: str, encoding: str | None = None, multi_line: bool = False, schema: str | None = None) -> DataFrame:
@@ -23,16 +24,32 @@ def read_raw_csv(spark: SparkSession, path: str, encoding: str | None = None, mu
 
     Files are listed one by one, so ``year=...`` folders do not become columns. The headers of a
     few are read one after another, which opens their first block only; those of many in one job.
-    The texts of many files are stored in the shared folder, as opening these again for the types
-    and for the rows costs more than the copy.
+    A folder of more than ``MANY_FILES`` is scanned as one, and the driver never names its files; the
+    texts are stored in the shared folder, as opening the files again for the types and for the rows
+    costs more than the copy.
     """
+    options = {"header": True, "encoding": encoding or "UTF-8", "multiLine": multi_line, "mode": "FAILFAST", "escape": '"'}
+    many = not multi_line and sharedfs.count_entries(spark, path) > MANY_FILES
+    text = _texts_of_folder(spark, path, options) if many else _texts_of_files(spark, path, options)
+    if many and not schema:
+        text = sharedfs.cut_lineage(text, "texts")
+    kinds = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(schema)} if schema else _probe_types(text)
+    return text.select(*[F.col(f"`{n}`").cast(kinds.get(n, "string")).alias(n) for n in text.columns])
+
+
+# Files whose headers are read one by one, and those that are named one by one.
+FEW_FILES = 16
+MANY_FILES = 1_000
+
+
+def _texts_of_files(spark: SparkSession, path: str, options: dict) -> DataFrame:
+    """Rows of files named one by one, all columns as texts."""
     files = sharedfs.data_files(spark, path)
     if not files:
         raise GateError(f"no CSV under {path}")
-    options = {"header": True, "encoding": encoding or "UTF-8", "multiLine": multi_line, "mode": "FAILFAST", "escape": '"'}
     # A reader is made for each use, as one keeps the schema it was given.
     reader = lambda: spark.read.options(**options)
-    alike = _by_first_line(spark, files, options["encoding"]) if len(files) > FEW_FILES and not multi_line else [[f] for f in files]
+    alike = _by_first_line(spark, files, options["encoding"]) if len(files) > FEW_FILES and not options["multiLine"] else [[f] for f in files]
     by_header: dict[tuple[str, ...], list[str]] = {}
     for group in alike:
         by_header.setdefault(tuple(reader().csv(group[0]).columns), []).extend(group)
@@ -40,16 +57,57 @@ def read_raw_csv(spark: SparkSession, path: str, encoding: str | None = None, mu
     texts = [reader().schema(_string_schema(names)).csv(sorted(group)) for names, group in by_header.items() if names]
     if not texts:
         raise GateError(f"no header under {path}")
-    text = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), texts)
-    if len(files) > MANY_FILES and not schema:
-        text = sharedfs.cut_lineage(text, "texts")
-    kinds = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(schema)} if schema else _probe_types(text)
-    return text.select(*[F.col(f"`{n}`").cast(kinds.get(n, "string")).alias(n) for n in text.columns])
+    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), texts)
 
 
-# Files whose headers are read one by one, and those that are opened twice for their texts.
-FEW_FILES = 16
-MANY_FILES = 1_000
+def _lines(spark: SparkSession, encoding: str, path: str | list[str], **options) -> DataFrame:
+    """Lines as a CSV reader splits and decodes them, one value each."""
+    # A separator that no text has and no quote; a line that has it all the same is kept whole by the last column.
+    plain = {"sep": "\u0001", "quote": "", "escape": "\u0002", "encoding": encoding, "columnNameOfCorruptRecord": "whole"}
+    return spark.read.options(**plain, **options).schema("line STRING, whole STRING").csv(path).withColumn("line", F.coalesce("whole", "line"))
+
+
+def _texts_of_folder(spark: SparkSession, path: str, options: dict) -> DataFrame:
+    """The same for a folder of many files, which are opened once and never named to the driver.
+
+    One scan stores their lines with file and place. The first line of a file is its header; the driver sees
+    each distinct one, and one file that has it. Lines meet their header by file, so a large file is many tasks.
+    """
+    folder, depth = sharedfs.folder_of(spark, path)
+    at = F.col("_metadata")
+    scanned = _lines(spark, options["encoding"], path, recursiveFileLookup=True).select(
+        F.regexp_replace(at["file_path"], "^[^/]*:(//[^/]*)?", "").alias("path"), at["file_name"].alias("file"), at["file_block_start"].alias("start"), "line"
+    )
+    # Conditions on file metadata prune the listing. Files in folders below, and those named as hidden, are not of the table.
+    own = scanned.where((F.regexp_count("path", F.lit("/")) == depth + 1) & ~F.substring("file", 1, 1).isin("_", "."))
+    # A blank line is no row.
+    filled = own.where(F.rlike("line", F.lit(r"[^\x00-\x20]"))).select("file", "start", F.monotonically_increasing_id().alias("nth"), "line")
+    lines = sharedfs.cut_lineage(filled, "lines")
+    first = lines.groupBy("file").agg(F.min_by(F.struct("line", "nth"), F.struct("start", "nth")).alias("top"))
+    headers = first.groupBy("top.line").agg(F.min("file").alias("file")).orderBy("file").collect()
+    if not headers:
+        raise GateError(f"no CSV header under {path}")
+    named = spark.conf.get("spark.sql.caseSensitive") == "true"
+    spelled: dict[str, str] = {}
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for header in headers:
+        # The reader names the columns, as it does for few files. Names in metadata are encoded.
+        found = [f"{folder}/{name}" for name in (unquote(header["file"]), header["file"])]
+        names = tuple(spark.read.options(**options).csv(found[0] if sharedfs.exists(spark, found[0]) else found[1]).columns)
+        by_header.setdefault(names, []).append(header["line"])
+        for name in names:
+            spelled.setdefault(name if named else name.lower(), name)
+
+    def texts(names: tuple[str, ...]) -> Column:
+        own = {(n if named else n.lower()): n for n in names}
+        row = lambda read: F.struct(*[(read[own[k]] if k in own else F.lit(None).cast("string")).alias(n) for k, n in spelled.items()])
+        return once(F.from_csv("line", _string_schema(names), {k: options[k] for k in ("mode", "escape")}), row)
+
+    # One pass over the lines, whatever the number of headers: a line is parsed by its own.
+    by = [(F.col("top.line").isin(same), texts(names)) for names, same in by_header.items()]
+    parsed = reduce(lambda made, case: made.when(*case), by[1:], F.when(*by[0]))
+    rows = lines.join(first, "file").where(F.col("nth") != F.col("top.nth"))
+    return computed_once(rows, "row", parsed).select("row.*")
 
 
 def _by_first_line(spark: SparkSession, files: list[str], encoding: str) -> list[list[str]]:
@@ -57,14 +115,14 @@ def _by_first_line(spark: SparkSession, files: list[str], encoding: str) -> list
 
     What returns is the listing itself, in groups: a header line is one row, however many files have it.
     """
-    # A separator and a quote that no text has: a line is one value, in the given encoding.
-    lines = spark.read.options(sep="\u0001", quote="\u0002", escape="\u0002", encoding=encoding).schema("line STRING").csv(files)
+    lines = _lines(spark, encoding, files)
     at = F.col("_metadata")
     starts = lines.select("line", at["file_name"].alias("file"), at["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("nth"))
     first = starts.where("start = 0 and trim(line) <> ''").groupBy("file").agg(F.min_by("line", "nth").alias("line"))
     groups = first.groupBy("line").agg(F.collect_list("file").alias("files")).collect()
     named = {f.rsplit("/", 1)[-1]: f for f in files}
-    found = [sorted(named[unquote(name) if unquote(name) in named else name] for name in g["files"]) for g in groups]
+    # In the order of their first files, which is that of the columns.
+    found = sorted(sorted(named[unquote(name) if unquote(name) in named else name] for name in g["files"]) for g in groups)
     # A file of empty lines has none; it is read like any other.
     seen = {f for group in found for f in group}
     return found + [[f] for f in files if f not in seen]

@@ -375,3 +375,27 @@ def test_many_files_are_listed_and_read_as_few_are(spark, tmp_path, monkeypatch)
     assert len(few) == 20 and sharedfs.data_files(spark, str(folder)) == few and sharedfs.data_files(spark, few[0]) == few[:1]
     again = tables.read_raw_csv(spark, str(folder))
     assert again.schema == kept.schema and rows(again, *again.columns) == rows(kept, *kept.columns) and again.count() == 30
+
+
+def test_a_folder_of_many_files_is_read_without_naming_them(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "many %20 files"
+    for i in range(12):
+        csv(folder, ("\n  \nB,n\r\n" f'"x,""{i}""",{i}\r\n\t\r\n' "y\u0001z,\r\n") if i % 2 else f"n,day\n{i},2024-01-01\n", f"a é%20{i}.csv")
+    csv(folder, "\n", "blank.csv"), csv(folder, "n\n99\n", "_hidden.csv"), csv(folder / "below", "n\n98\n"), csv(folder / "k=1", "n\n97\n")
+    kept = tables.read_raw_csv(spark, str(folder))
+    assert kept.count() == 18
+
+    def named(*_):
+        raise AssertionError("files were named to the driver")
+
+    monkeypatch.setattr(tables, "MANY_FILES", 5)
+    monkeypatch.setattr(sharedfs, "data_files", named)
+    monkeypatch.setattr(tables, "_by_first_line", named)
+    read = tables.read_raw_csv(spark, str(folder))
+    assert read.schema == kept.schema and rows(read, *read.columns) == rows(kept, *kept.columns)
+    assert {r["B"] for r in read.collect()} == {None, "y\u0001z", *(f'x,"{i}"' for i in range(1, 12, 2))}
+    fixed = tables.read_raw_csv(spark, str(folder), schema="n INT")
+    assert fixed.dtypes[0] == ("n", "int") and fixed.agg(F.sum("n")).first()[0] == 66
+    csv(folder, "n,day\n1,2024-01-01,one too many\n", "broken.csv")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        tables.read_raw_csv(spark, str(folder)).collect()
